@@ -1,7 +1,7 @@
-"""Validity checks: each takes a value and gives a boolean Column.
+"""Validity checks: each turns a value into a boolean SQL expression.
 
-Null fails every check with ``false``, except the two pattern checks, which
-answer null with null ("not known").
+Null fails every check with ``false``, except the pattern checks, which answer
+null with null ("not known").
 """
 
 from __future__ import annotations
@@ -9,49 +9,44 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from creditmart import fixed_values as fixed
+from creditmart.functions import text_literal
 
-Check = Callable[[Column], Column]
+Check = Callable[[str], str]
 
 
 def matches(pattern: str) -> Check:
-    return lambda value: value.rlike(pattern)
+    return lambda value: f"{value} RLIKE r'{pattern}'"
 
 
 def within(low: float, high: float) -> Check:
-    return lambda value: value.isNotNull() & value.between(low, high)
+    return lambda value: f"({value} IS NOT NULL AND {value} BETWEEN {low} AND {high})"
 
 
 def within_or_null(low: float, high: float) -> Check:
-    return lambda value: value.isNull() | value.between(low, high)
+    return lambda value: f"({value} IS NULL OR {value} BETWEEN {low} AND {high})"
 
 
-def positive(value: Column) -> Column:
-    return value.isNotNull() & (value > 0)
+def positive(value: str) -> str:
+    return f"({value} IS NOT NULL AND {value} > 0)"
 
 
-def non_negative(value: Column) -> Column:
-    return value.isNotNull() & (value >= 0)
+def non_negative(value: str) -> str:
+    return f"({value} IS NOT NULL AND {value} >= 0)"
 
 
 def one_of(values: Sequence[str]) -> Check:
-    accepted = [value.upper() for value in values]
-    return lambda value: value.isNotNull() & value.isin(accepted)
+    accepted = ", ".join(text_literal(value.upper()) for value in values)
+    return lambda value: f"({value} IS NOT NULL AND {value} IN ({accepted}))"
 
 
 def snapshot_in_range(as_of: dt.date | None) -> Check:
     """Between the earliest accepted snapshot and ``as_of`` (today if None)."""
-    first = F.lit(dt.date.fromisoformat(fixed.EARLIEST_SNAPSHOT))
-    last = F.current_date() if as_of is None else F.lit(as_of)
-    return lambda value: value.isNotNull() & value.between(first, last)
+    first = f"DATE '{fixed.EARLIEST_SNAPSHOT}'"
+    last = "current_date()" if as_of is None else f"DATE '{as_of}'"
+    return lambda value: f"({value} IS NOT NULL AND {value} BETWEEN {first} AND {last})"
 
 
-def names_a_loan_type(value: Column) -> Column:
-    return (
-        value.isNotNull()
-        & (value != fixed.LOAN_TYPE_PLACEHOLDER)
-        & (F.length(value) > 0)
-    )
+def names_a_loan_type(value: str) -> str:
+    placeholder = text_literal(fixed.LOAN_TYPE_PLACEHOLDER)
+    return f"({value} IS NOT NULL AND {value} <> {placeholder} AND length({value}) > 0)"

@@ -1,4 +1,4 @@
-"""Typed values out of dirty text, as plain Column expressions.
+"""Typed values out of dirty text.
 
 ANSI mode stays on, so everything that may fail goes through a ``try_`` form:
 text that cannot be read gives null and never stops a job.
@@ -6,69 +6,68 @@ text that cannot be read gives null and never stops a job.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from creditmart import fixed_values as fixed
-
-_DECIMAL_POINT_NUMBER = r"^[+-]?\d*\.\d*$"
+from creditmart.functions import text_literal
 
 
-def strip_noise(value: Column) -> Column:
-    """Text of ``value`` without the formatting characters people put into numbers."""
+def strip_noise(value: str) -> str:
+    """Text without the formatting characters people put into numbers."""
     # translate() drops a set of characters in one pass, without a regex
-    return F.translate(value.cast("string"), fixed.NUMBER_NOISE, "")
+    return f"translate(CAST({value} AS STRING), {text_literal(fixed.NUMBER_NOISE)}, '')"
 
 
-def to_float(value: Column) -> Column:
-    return strip_noise(value).try_cast("float")
+def to_float(value: str) -> str:
+    return f"try_cast({strip_noise(value)} AS FLOAT)"
 
 
-def to_int(value: Column) -> Column:
+def to_int(value: str) -> str:
     """Integer part of a plain number; scientific notation and overflow give null."""
     text = strip_noise(value)
-    whole = F.substring_index(text, ".", 1)
-    truncated = F.when(whole.isin("", "+", "-"), F.lit(0)).otherwise(whole.try_cast("int"))
-    return F.coalesce(
-        text.try_cast("int"),
-        F.when(text.rlike(_DECIMAL_POINT_NUMBER), truncated),
-    )
+    # The sign, a zero, and the digits before the point: '28.9' -> '028', '-.5' -> '-0'.
+    # Tried only where the plain cast gives nothing.
+    whole = rf"regexp_replace({text}, r'^([+-]?)(\d*)\.\d*$', '$10$2')"
+    return f"coalesce(try_cast({text} AS INT), try_cast({whole} AS INT))"
 
 
-def to_date(value: Column) -> Column:
+def to_date(value: str) -> str:
     """Date out of ``d/M/yy`` (two-digit years are 20yy) or ISO text."""
-    text = value.cast("string")
     # A failed parse with a pattern throws and catches inside the JVM, which is
     # slow, so the pattern is tried only where its separator occurs.
-    return F.coalesce(
-        F.when(text.contains("/"), F.try_to_date(text, "d/M/yy")),
-        text.try_cast("date"),
+    text = f"CAST({value} AS STRING)"
+    return (
+        f"coalesce(CASE WHEN contains({text}, '/') THEN try_to_date({text}, 'd/M/yy') END,"
+        f" try_cast({text} AS DATE))"
     )
 
 
-def standardise(value: Column) -> Column:
-    return F.upper(F.trim(value))
+def standardise(value: str) -> str:
+    return f"upper(trim({value}))"
 
 
-def history_months(age: Column) -> Column:
+def history_months(age: str) -> str:
     """``10 Years and 9 Months`` as 129; a missing part counts as 0, null stays null."""
 
-    def part(pattern: str) -> Column:
+    def part(pattern: str) -> str:
         # regexp_extract gives '' where nothing matches
-        number = F.regexp_extract(age, pattern, 1).try_cast("int")
-        return F.coalesce(number, F.lit(0)).cast("long")
+        return f"CAST(coalesce(try_cast(regexp_extract({age}, r'{pattern}', 1) AS INT), 0) AS BIGINT)"
+
+    months = f"{part(fixed.YEARS_PATTERN)} * 12 + {part(fixed.MONTHS_PATTERN)}"
+    return f"CASE WHEN {age} IS NOT NULL THEN try_cast({months} AS INT) END"
+
 
-    months = part(fixed.YEARS_PATTERN) * 12 + part(fixed.MONTHS_PATTERN)
-    return F.when(age.isNotNull(), months.try_cast("int"))
+def credit_mix(value: str) -> str:
+    """Standardised credit mix; the placeholder is null."""
+    return standardise(f"nullif({value}, {text_literal(fixed.CREDIT_MIX_PLACEHOLDER)})")
 
 
-def loan_type_text(value: Column) -> Column:
+def loan_type_text(value: str) -> str:
     """Trimmed loan-type list; an empty one is null."""
-    return F.when(value != "", F.trim(value))
+    return f"trim(nullif({value}, ''))"
 
 
-def loan_types(value: Column) -> Column:
-    """The loan types named in a list such as ``Auto Loan, and Payday Loan``."""
-    parts = F.split(F.replace(value, F.lit(" and "), F.lit(",")), ",")
-    named = F.transform(parts, lambda part: F.btrim(part, F.lit(" \t\n\x0b\f\r")))
-    return F.filter(named, lambda name: name.contains(fixed.LOAN_TYPE_MARK))
+def loan_types(value: str) -> str:
+    """Array of the loan types named in a list such as ``Auto Loan, and Payday Loan``."""
+    blanks = text_literal(" \t\n\x0b\f\r")
+    parts = f"split(replace({value}, ' and ', ','), ',')"
+    named = f"transform({parts}, part -> btrim(part, {blanks}))"
+    return f"array_distinct(filter({named}, name -> contains(name, {text_literal(fixed.LOAN_TYPE_MARK)})))"

@@ -5,10 +5,10 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditmart.functions import checks, parsing
+from creditmart.functions import checks, parsing, project, text_literal
 
 # A vocabulary becomes columns, so it has to fit a table schema.
 MAX_VOCABULARY = 1000
@@ -20,39 +20,27 @@ _MAX_MONTHS_BACK = 60_000_000
 
 def days_past_due(loans: DataFrame) -> DataFrame:
     """Month on book, instalments missed, first missed date and days past due."""
-    due, overdue = F.col("due_amt"), F.col("overdue_amt")
-    ratio = F.try_divide(overdue.cast("double"), due.cast("double"))
-    missed = F.when(
-        overdue.isNotNull() & (due > 0), F.least(F.ceil(ratio), F.lit(_MAX_INT)).cast("int")
-    ).otherwise(0)
-    months_back = F.least(F.col("installments_missed"), F.lit(_MAX_MONTHS_BACK))
-    first_missed = F.when(
-        F.col("installments_missed") > 0, F.add_months("snapshot_date", -months_back)
+    ratio = "try_divide(CAST(overdue_amt AS DOUBLE), CAST(due_amt AS DOUBLE))"
+    missed = (
+        "CASE WHEN overdue_amt IS NOT NULL AND due_amt > 0"
+        f" THEN CAST(least(ceil({ratio}), {_MAX_INT}) AS INT) ELSE 0 END"
     )
-    dpd = F.when(overdue > 0, F.datediff("snapshot_date", "first_missed_date"))
-    return (
-        loans.withColumns(
-            {"mob": F.col("installment_num").cast("int"), "installments_missed": missed}
-        )
-        .withColumn("first_missed_date", first_missed)
-        .withColumn("dpd", F.coalesce(dpd, F.lit(0)))
+    first_missed = (
+        "CASE WHEN installments_missed > 0"
+        f" THEN add_months(snapshot_date, -least(installments_missed, {_MAX_MONTHS_BACK})) END"
     )
+    dpd = "coalesce(CASE WHEN overdue_amt > 0 THEN datediff(snapshot_date, first_missed_date) END, 0)"
+    loans = project(loans, {"mob": "CAST(installment_num AS INT)", "installments_missed": missed})
+    return project(project(loans, {"first_missed_date": first_missed}), {"dpd": dpd})
 
 
 def loan_type_vocabulary(financials: DataFrame, column: str = "Type_of_Loan") -> DataFrame:
-    """Distinct loan types in the data and the number of customers naming each."""
+    """Distinct loan types in the data and the number of rows naming each."""
     # Lists repeat across customers, so count equal lists first: the explode and
     # the second shuffle then work on distinct lists only.
-    lists = (
-        financials.where(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count("*").alias("rows"))
-    )
+    lists = financials.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("rows"))
     return (
-        lists.select(
-            F.explode(F.array_distinct(parsing.loan_types(F.col(column)))).alias("loan_type"),
-            "rows",
-        )
+        lists.selectExpr(f"explode({parsing.loan_types(column)}) AS loan_type", "rows")
         .groupBy("loan_type")
         .agg(F.sum("rows").alias("customers"))
     )
@@ -78,19 +66,19 @@ def loan_type_indicators(
     A type counts where it occurs as whole words in the list. Spellings that
     share a column name (``Pay Loan``, ``Pay-Loan``) are combined.
     """
-    text = F.col(column)
-    named: dict[str, Column] = {}
+    found: dict[str, list[str]] = {}
     for loan_type in vocabulary:
-        name = indicator_name(loan_type)
-        found = text.rlike(rf"(?<!\w){re.escape(loan_type)}(?!\w)")
-        named[name] = named[name] | found if name in named else found
-    named["has_any_loan"] = checks.names_a_loan_type(text)
-    return financials.withColumns(
-        {name: F.coalesce(found, F.lit(False)).cast("int") for name, found in named.items()}
+        words = text_literal(rf"(?<!\w){re.escape(loan_type)}(?!\w)")
+        found.setdefault(indicator_name(loan_type), []).append(f"{column} RLIKE {words}")
+    found["has_any_loan"] = [checks.names_a_loan_type(column)]
+    return project(
+        financials,
+        {name: f"CAST(coalesce({' OR '.join(tests)}, false) AS INT)" for name, tests in found.items()},
     )
 
 
 def credit_history(financials: DataFrame) -> DataFrame:
     """Credit history in months."""
-    months = parsing.history_months(F.col("Credit_History_Age"))
-    return financials.withColumn("Credit_History_Age_Months", months)
+    return project(
+        financials, {"Credit_History_Age_Months": parsing.history_months("Credit_History_Age")}
+    )

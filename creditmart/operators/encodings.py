@@ -2,48 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from creditmart import fixed_values as fixed
+from creditmart.functions import project, text_literal
 
 
-def _indicator(condition: Column) -> Column:
+def _indicator(condition: str) -> str:
     """1 where the condition holds, 0 where it does not or is unknown."""
-    return F.coalesce(condition, F.lit(False)).cast("int")
+    return f"CASE WHEN {condition} THEN 1 ELSE 0 END"
 
 
 def occupation_group(df: DataFrame, column: str = "Occupation") -> DataFrame:
-    return df.withColumn("is_PMET", _indicator(F.col(column).isin(fixed.PMET_OCCUPATIONS)))
+    titles = ", ".join(text_literal(title) for title in fixed.PMET_OCCUPATIONS)
+    return project(df, {"is_PMET": _indicator(f"{column} IN ({titles})")})
 
 
 def payment_behaviour(df: DataFrame, column: str = "Payment_Behaviour") -> DataFrame:
     """High spending as 0/1 and the payment size as 0 (small), 1, 2 (large)."""
-    text = F.col(column)
-    size = F.when(text.contains("LARGE_VALUE"), 2).when(text.contains("MEDIUM_VALUE"), 1)
-    return df.withColumns(
-        {
-            "spending_level": _indicator(text.contains("HIGH_SPENT")),
-            "value_size": size.otherwise(0),
-        }
+    size = (
+        f"CASE WHEN contains({column}, 'LARGE_VALUE') THEN 2"
+        f" WHEN contains({column}, 'MEDIUM_VALUE') THEN 1 ELSE 0 END"
+    )
+    return project(
+        df,
+        {"spending_level": _indicator(f"contains({column}, 'HIGH_SPENT')"), "value_size": size},
     )
 
 
 def minimum_payment(df: DataFrame, column: str = "Payment_of_Min_Amount") -> DataFrame:
-    return df.withColumns(
+    return project(
+        df,
         {
-            "payment_min_yes": _indicator(F.col(column) == "YES"),
-            "payment_min_nm": _indicator(F.col(column) == "NM"),
-        }
+            "payment_min_yes": _indicator(f"{column} = 'YES'"),
+            "payment_min_nm": _indicator(f"{column} = 'NM'"),
+        },
     )
 
 
 def credit_mix(df: DataFrame, column: str = "Credit_Mix") -> DataFrame:
-    return df.withColumns(
-        {
-            f"credit_mix_{mix}": _indicator(F.col(column) == mix.upper())
-            for mix in ("good", "standard", "bad")
-        }
+    return project(
+        df,
+        {f"credit_mix_{mix.lower()}": _indicator(f"{column} = '{mix}'") for mix in ("GOOD", "STANDARD", "BAD")},
     )
 
 

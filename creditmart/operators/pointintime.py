@@ -19,10 +19,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditmart import fixed_values as fixed
+from creditmart.functions import quoted
 
 KEY = "Customer_ID"
 TIME = "snapshot_date"
@@ -39,15 +40,13 @@ class State:
     frame: DataFrame
 
     def per_day(self) -> DataFrame:
-        payload = [c for c in self.frame.columns if c != KEY]
+        payload = ", ".join(quoted(c) for c in self.frame.columns if c != KEY)
         # of several rows on one day the greatest is taken, column by column
-        return _dated(self.frame).groupBy(KEY, TIME).agg(
-            F.max(F.struct(*payload)).alias(self.name)
-        )
+        latest = F.expr(f"max(struct({payload}))").alias(self.name)
+        return _dated(self.frame).groupBy(KEY, TIME).agg(latest)
 
-    def lookups(self, order) -> list:
-        so_far = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        return [F.last(self.name, ignorenulls=True).over(so_far).alias(self.name)]
+    def lookups(self) -> list[str]:
+        return [f"last({self.name}, true) OVER ({_window('UNBOUNDED')}) AS {self.name}"]
 
 
 @dataclass(frozen=True)
@@ -61,26 +60,24 @@ class LookBack:
     count_name: str = "clickstream_snapshot_count"
 
     def per_day(self) -> DataFrame:
-        totals = [F.count("*").alias("_rows")]
-        for feature in self.features:
-            totals.append(F.sum(feature).alias(f"_sum_{feature}"))
-            totals.append(F.count(feature).alias(f"_n_{feature}"))
-        return _dated(self.frame).groupBy(KEY, TIME).agg(*totals)
+        totals = [F.expr(f"sum({f}) AS _sum_{f}") for f in self.features]
+        counts = [F.expr(f"count({f}) AS _n_{f}") for f in self.features]
+        rows = F.expr("count(*) AS _rows")
+        return _dated(self.frame).groupBy(KEY, TIME).agg(rows, *totals, *counts)
 
-    def lookups(self, order) -> list:
-        recent = order.rangeBetween(-self.days, Window.currentRow)
-
-        def total(column: str):
-            return F.sum(column).over(recent)
+    def lookups(self) -> list[str]:
+        def total(column: str) -> str:
+            return f"sum({column}) OVER ({_window(self.days)})"
 
         means = [
-            F.try_divide(total(f"_sum_{f}").cast("double"), total(f"_n_{f}")).alias(
-                f"avg_{f}_{self.suffix}"
-            )
+            f"try_divide(CAST({total(f'_sum_{f}')} AS DOUBLE), {total(f'_n_{f}')}) AS avg_{f}_{self.suffix}"
             for f in self.features
         ]
-        rows = F.coalesce(total("_rows"), F.lit(0).cast("long"))
-        return [*means, rows.alias(self.count_name)]
+        return [*means, f"coalesce({total('_rows')}, 0) AS {self.count_name}"]
+
+
+def _window(days_before: int | str) -> str:
+    return f"PARTITION BY {KEY} ORDER BY {_DAY} RANGE BETWEEN {days_before} PRECEDING AND CURRENT ROW"
 
 
 def _dated(frame: DataFrame) -> DataFrame:
@@ -90,14 +87,13 @@ def _dated(frame: DataFrame) -> DataFrame:
 
 def timeline(lookups: DataFrame, sources: Sequence[State | LookBack]) -> DataFrame:
     """For every distinct (customer, date) of ``lookups``, what the sources knew then."""
-    wanted = _dated(lookups.select(KEY, TIME)).distinct().withColumn(_LOOKUP, F.lit(True))
+    wanted = _dated(lookups.select(KEY, TIME)).distinct().selectExpr("*", f"true AS {_LOOKUP}")
     rows = reduce(
         lambda left, right: left.unionByName(right, allowMissingColumns=True),
         [wanted, *(source.per_day() for source in sources)],
-    ).withColumn(_DAY, F.unix_date(TIME))
-    order = Window.partitionBy(KEY).orderBy(_DAY)
-    answers = [column for source in sources for column in source.lookups(order)]
-    return rows.select(KEY, TIME, _LOOKUP, *answers).where(_LOOKUP).drop(_LOOKUP)
+    ).selectExpr("*", f"unix_date({TIME}) AS {_DAY}")
+    answers = [column for source in sources for column in source.lookups()]
+    return rows.selectExpr(KEY, TIME, _LOOKUP, *answers).where(_LOOKUP).drop(_LOOKUP)
 
 
 def as_of_join(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -109,10 +105,10 @@ def as_of_join(left: DataFrame, right: DataFrame) -> DataFrame:
     """
     known = timeline(left, [State("state", right)])
     new = [c for c in right.columns if c not in left.columns]
-    return left.join(known, [KEY, TIME], "left").select(
-        *left.columns,
-        *(F.col(f"state.{c}").alias(c) for c in new),
-        F.col(f"state.{TIME}").alias("source_date"),
+    return left.join(known, [KEY, TIME], "left").selectExpr(
+        *(quoted(c) for c in left.columns),
+        *(f"state.{quoted(c)} AS {quoted(c)}" for c in new),
+        f"state.{TIME} AS source_date",
     )
 
 

@@ -14,10 +14,10 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from enum import Enum
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditmart.functions import parsing
+from creditmart.functions import parsing, project, quoted, text_literal
 
 OUTCOME = "row_outcome"
 KEPT = "kept"
@@ -35,14 +35,17 @@ class Strategy(Enum):
     QUARANTINE = "quarantine"
 
 
+_REJECTIONS = {Strategy.DROP_ROW: DROPPED, Strategy.QUARANTINE: QUARANTINED}
+
+
 @dataclass(frozen=True)
 class Rule:
     column: str
-    check: Callable[[Column], Column]
+    check: Callable[[str], str]
     flag: str | None = None
     strategy: Strategy = Strategy.FLAG_ONLY
-    default: object = None
-    prepare: Callable[[Column], Column] | None = None
+    default: float | None = None
+    prepare: Callable[[str], str] | None = None
 
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -53,35 +56,30 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     between the kept and the quarantined ones. All checks of a column see its
     prepared value, so one column takes at most one prepare and one change.
     """
-    present = set(df.columns)
-    rules = [rule for rule in rules if rule.column in present]
+    types = dict(df.dtypes)
+    rules = [rule for rule in rules if rule.column in types]
     flags = [rule.flag or f"_check_{i}" for i, rule in enumerate(rules)]
+    prepared = {r.column: r.prepare(quoted(r.column)) for r in rules if r.prepare}
+    checked = {flag: rule.check(quoted(rule.column)) for flag, rule in zip(flags, rules)}
 
-    prepared = {r.column: r.prepare(F.col(r.column)) for r in rules if r.prepare}
-    checked = {flag: rule.check(F.col(rule.column)) for flag, rule in zip(flags, rules)}
-
-    handled: dict[str, Column] = {}
-    rejections: list[Column] = []
+    handled: dict[str, str] = {}
+    rejections: list[str] = []
     for flag, rule in zip(flags, rules):
-        valid, value = F.coalesce(F.col(flag), F.lit(False)), F.col(rule.column)
-        if rule.strategy is Strategy.DROP_ROW:
-            rejections.append(F.when(~valid, f"{DROPPED}:{rule.column}"))
-        elif rule.strategy is Strategy.QUARANTINE:
-            rejections.append(F.when(~valid, f"{QUARANTINED}:{rule.column}"))
+        valid, value = f"coalesce({quoted(flag)}, false)", quoted(rule.column)
+        if rule.strategy in _REJECTIONS:
+            outcome = text_literal(f"{_REJECTIONS[rule.strategy]}:{rule.column}")
+            rejections.append(f"CASE WHEN NOT {valid} THEN {outcome} END")
         elif rule.strategy is Strategy.NULL_VALUE:
-            handled[rule.column] = F.when(valid, value)
+            handled[rule.column] = f"CASE WHEN {valid} THEN {value} END"
         elif rule.strategy is Strategy.DEFAULT_VALUE and rule.default is not None:
-            default = F.lit(rule.default).cast(df.schema[rule.column].dataType)
-            handled[rule.column] = F.when(valid, value).otherwise(default)
-    outcome = F.coalesce(*rejections, F.lit(KEPT))
+            default = f"CAST({rule.default} AS {types[rule.column]})"
+            handled[rule.column] = f"CASE WHEN {valid} THEN {value} ELSE {default} END"
+    handled[OUTCOME] = f"coalesce({', '.join([*rejections, text_literal(KEPT)])})"
 
-    internal = [flag for flag, rule in zip(flags, rules) if rule.flag is None]
-    return (
-        df.withColumns(prepared)
-        .withColumns(checked)
-        .withColumns({**handled, OUTCOME: outcome})
-        .drop(*internal)
-    )
+    internal = tuple(flag for flag, rule in zip(flags, rules) if rule.flag is None)
+    if prepared:
+        df = project(df, prepared)
+    return project(project(df, checked), handled, without=internal)
 
 
 def kept_rows(flagged: DataFrame) -> DataFrame:
@@ -90,13 +88,12 @@ def kept_rows(flagged: DataFrame) -> DataFrame:
 
 def quarantined_rows(flagged: DataFrame, source: str) -> DataFrame:
     """Quarantined rows with the table they came from and the rule they failed."""
-    is_quarantined = F.col(OUTCOME).startswith(f"{QUARANTINED}:")
-    rule = F.substring_index(F.col(OUTCOME), ":", -1)
-    return (
-        flagged.where(is_quarantined)
-        .withColumns({"source": F.lit(source), "rule": rule})
-        .drop(OUTCOME)
-    )
+    named = {"source": text_literal(source), "rule": f"substring_index({OUTCOME}, ':', -1)"}
+    rejected = flagged.where(F.col(OUTCOME).startswith(f"{QUARANTINED}:"))
+    return project(rejected, named).drop(OUTCOME)
+
+
+_READERS = {"float": parsing.to_float, "int": parsing.to_int, "date": parsing.to_date}
 
 
 def type_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -105,15 +102,13 @@ def type_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
     Columns missing from ``df`` are skipped and columns without a type pass
     through. Numbers get a ``<column>_original`` copy for audits.
     """
-    readers = {"float": parsing.to_float, "int": parsing.to_int, "date": parsing.to_date}
-    typed, originals = [], []
-    for field in df.schema.fields:
-        value = F.col(f"`{field.name}`")
-        kind = types.get(field.name)
-        if kind is None or field.dataType.simpleString() == kind == "date":
-            typed.append(value)
-            continue
-        typed.append(readers.get(kind, lambda v: v.cast(kind))(value).alias(field.name))
-        if kind in ("float", "int"):
-            originals.append(value.alias(f"{field.name}_original"))
-    return df.select(*typed, *originals)
+    typed: dict[str, str] = {}
+    for name, found in df.dtypes:
+        wanted = types.get(name)
+        if wanted in ("float", "int"):
+            typed[f"{name}_original"] = quoted(name)
+        if wanted in _READERS and found != wanted:
+            typed[name] = _READERS[wanted](quoted(name))
+        elif wanted and found != wanted:
+            typed[name] = f"CAST({quoted(name)} AS {wanted})"
+    return project(df, typed)

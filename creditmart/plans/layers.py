@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditmart import fixed_values as fixed
-from creditmart.functions import parsing
+from creditmart.functions import parsing, project, quoted
 from creditmart.operators import derivations, encodings, labels, pointintime
 from creditmart.operators.pointintime import KEY, TIME
 from creditmart.operators.validation import apply_rules, kept_rows, type_columns
@@ -41,7 +41,7 @@ def bronze(raw: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     """
     if "snapshot_date" not in raw.columns:
         return raw
-    dated = raw.withColumn("snapshot_date", parsing.to_date(F.col("snapshot_date")))
+    dated = project(raw, {"snapshot_date": parsing.to_date("snapshot_date")})
     return dated.where(in_calendar(F.col("snapshot_date"), first, last))
 
 
@@ -99,10 +99,10 @@ def _features(encoded: DataFrame, table: str, with_flags: bool) -> DataFrame:
         is_flag = name.startswith("valid_")
         if name.endswith("_original") or (is_flag and not with_flags):
             continue
-        columns.append(F.col(name).alias(f"{table}_{name}") if name in shared else F.col(name))
+        columns.append(f"{name} AS {table}_{name}" if name in shared else quoted(name))
     if with_flags and "valid_credit_mix" in encoded.columns:
-        columns.append(F.col("valid_credit_mix"))
-    return encoded.select(columns)
+        columns.append("valid_credit_mix")
+    return encoded.selectExpr(columns)
 
 
 def feature_store(
@@ -134,12 +134,12 @@ def feature_store(
     # loans give the same (customer, date) pairs as ``base``, without waiting for its distinct
     known = pointintime.timeline(labels.at_month(loans, 0), [*states, clicks])
     taken = {KEY, TIME}
-    columns = [F.col(c) for c in APPLICATION_COLUMNS]
+    columns = list(APPLICATION_COLUMNS)
     for table, frame in tables.items():
         new = [c for c in frame.columns if c not in taken]
-        columns += [F.col(f"{table}.{c}").alias(c) for c in new]
+        columns += [f"{table}.{quoted(c)} AS {quoted(c)}" for c in new]
         taken.update(new)
-    columns += [F.col(f"avg_{feature}_last_6m") for feature in fixed.CLICK_FEATURES]
-    columns.append(F.coalesce(clicks.count_name, F.lit(0).cast("long")).alias(clicks.count_name))
-    columns.append(F.date_format("snapshot_date", "yyyy-MM-dd").alias("feature_snapshot_date"))
-    return base.join(known, [KEY, TIME], "left").select(columns)
+    columns += [f"avg_{feature}_last_6m" for feature in fixed.CLICK_FEATURES]
+    columns.append(f"coalesce({clicks.count_name}, 0) AS {clicks.count_name}")
+    columns.append("date_format(snapshot_date, 'yyyy-MM-dd') AS feature_snapshot_date")
+    return base.join(known, [KEY, TIME], "left").selectExpr(columns)

@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditmart import fixed_values as fixed
-from creditmart.functions import parsing
+from creditmart.functions import parsing, project
 from creditmart.operators import derivations, encodings, labels, pointintime, quality
 from creditmart.operators.validation import kept_rows, quarantined_rows, type_columns
 from creditmart.plans import layers
 from creditmart.plans.specs import ATTRIBUTES, CLICKSTREAM, FINANCIALS, LOAN_DAILY, TABLES
+from creditmart.session import tune
 from creditmart.sources import roles, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,13 +34,11 @@ QUERIES: dict[str, Query] = {}
 
 def query(build: Query) -> Query:
     def comparable(spark: SparkSession, folder: str) -> DataFrame:
-        result = build(spark, folder)
+        result = build(tune(spark), folder)
         casts = {"float": "double", "date": "string"}
-        return result.select(
-            *(
-                F.col(name).cast(casts[kind]).alias(name) if kind in casts else F.col(name)
-                for name, kind in result.dtypes
-            )
+        return project(
+            result,
+            {name: f"CAST({name} AS {casts[kind]})" for name, kind in result.dtypes if kind in casts},
         )
 
     QUERIES[build.__name__] = comparable
@@ -138,12 +137,12 @@ def v_clean_numeric(spark, folder):
 
 @query
 def v_parse_dates(spark, folder):
-    return roles.raw_loans(spark, folder).select(
+    return roles.raw_loans(spark, folder).selectExpr(
         "loan_id",
         "installment_num",
-        F.col("snapshot_date").alias("snapshot_text"),
-        parsing.to_date(F.col("snapshot_date")).alias("snapshot_date"),
-        parsing.to_date(F.col("loan_start_date")).alias("loan_start_date"),
+        "snapshot_date AS snapshot_text",
+        f"{parsing.to_date('snapshot_date')} AS snapshot_date",
+        f"{parsing.to_date('loan_start_date')} AS loan_start_date",
     )
 
 

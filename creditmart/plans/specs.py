@@ -7,11 +7,10 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditmart import fixed_values as fixed
-from creditmart.functions import checks, parsing
+from creditmart.functions import checks, parsing, project
 from creditmart.operators import derivations
 from creditmart.operators.validation import Rule, Strategy
 
@@ -96,15 +95,13 @@ CLICKSTREAM = TableSpec(
 def _attributes(attributes: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
     derived = {}
     if "Age" in attributes.columns:
-        age = F.col("Age")
         derived["Age_capped"] = (
-            F.when(age < fixed.AGE_FLOOR, fixed.AGE_BELOW_FLOOR)
-            .when(age > fixed.AGE_CEILING, fixed.AGE_ABOVE_CEILING)
-            .otherwise(age)
+            f"CASE WHEN Age < {fixed.AGE_FLOOR} THEN {fixed.AGE_BELOW_FLOOR}"
+            f" WHEN Age > {fixed.AGE_CEILING} THEN {fixed.AGE_ABOVE_CEILING} ELSE Age END"
         )
     if "Occupation" in attributes.columns:
-        derived["Occupation"] = parsing.standardise(F.col("Occupation"))
-    return attributes.withColumns(derived)
+        derived["Occupation"] = parsing.standardise("Occupation")
+    return project(attributes, derived)
 
 
 ATTRIBUTES = TableSpec(
@@ -128,17 +125,13 @@ ATTRIBUTES = TableSpec(
 # ---- financials -----------------------------------------------------------------
 
 
-def _credit_mix(value):
-    return parsing.standardise(F.when(value != fixed.CREDIT_MIX_PLACEHOLDER, value))
-
-
 def _financials(financials: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
     if "Type_of_Loan" in financials.columns:
         financials = derivations.loan_type_indicators(financials, vocabulary)
     if "Credit_History_Age" in financials.columns:
-        months = F.col("Credit_History_Age_Months")
-        valid = checks.within(*fixed.CREDIT_HISTORY_MONTHS_RANGE)(months)
-        financials = derivations.credit_history(financials).withColumn("valid_credit_history_age", valid)
+        valid = checks.within(*fixed.CREDIT_HISTORY_MONTHS_RANGE)("Credit_History_Age_Months")
+        financials = derivations.credit_history(financials)
+        financials = project(financials, {"valid_credit_history_age": valid})
     return financials
 
 
@@ -219,7 +212,7 @@ FINANCIALS = TableSpec(
             "valid_payment_of_min_amount",
             prepare=parsing.standardise,
         ),
-        Rule("Credit_Mix", checks.one_of(fixed.CREDIT_MIXES), "valid_credit_mix", prepare=_credit_mix),
+        Rule("Credit_Mix", checks.one_of(fixed.CREDIT_MIXES), "valid_credit_mix", prepare=parsing.credit_mix),
         Rule(
             "Type_of_Loan",
             checks.names_a_loan_type,

@@ -11,9 +11,19 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # wide tables make long generated methods; beyond this size HotSpot leaves
+    # a method uncompiled, and Spark does better without fusing that stage
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session that somebody else made."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def session(app_name: str = "creditmart", **settings: str) -> SparkSession:
     """A session with the settings above; the master comes from the launcher."""
     builder = SparkSession.builder.appName(app_name)

@@ -1,8 +1,7 @@
 """Raw extracts played by the retail test tables.
 
 Orders play loan snapshots, customers play attributes and financials, events
-play clickstream. The projections are SQL text that reads the same in Spark and
-in DuckDB; they plant the dirty values the rules are there for.
+play clickstream. They plant the dirty values the rules are there for.
 """
 
 from __future__ import annotations
@@ -16,11 +15,12 @@ MONTHS_PER_LOAN = 11
 
 def _month_start(months: str) -> str:
     """First day of the month ``months`` after January 2020."""
-    return f"make_date(2020 + CAST(floor(({months})/12.0) AS INT), CAST(({months}) % 12 AS INT) + 1, 1)"
+    return f"add_months(DATE '2020-01-01', CAST({months} AS INT))"
 
 
 _CUSTOMER_ID = "concat('CUS_0x', lower(hex({key})))"
-_CUSTOMER_SNAPSHOT = f"CAST({_month_start('c_custkey*7 % 60')} AS STRING)"
+_CUSTOMER_SNAPSHOT = f"CAST({_month_start('c_custkey*7 % 60')} AS STRING) AS snapshot_date"
+_CLICK_SNAPSHOT = f"CAST({_month_start('event_id*11 % 84')} AS STRING) AS snapshot_date"
 
 # ---- loans: one order gives one row per month on book k -------------------------
 
@@ -57,9 +57,7 @@ LOANS = [
     "CAST(CASE WHEN od >= due THEN 0 ELSE due - od END AS STRING) AS paid_amt",
     "CAST(od AS STRING) AS overdue_amt",
     "CAST(amt - k*inst AS STRING) AS balance",
-    "CASE WHEN ok % 2 = 0 THEN CAST(sd AS STRING)"
-    " ELSE concat(CAST(day(sd) AS STRING),'/',CAST(month(sd) AS STRING),'/',CAST(year(sd) % 100 AS STRING))"
-    " END AS snapshot_date",
+    "CASE WHEN ok % 2 = 0 THEN CAST(sd AS STRING) ELSE date_format(sd, 'd/M/yy') END AS snapshot_date",
 ]
 
 # ---- attributes -----------------------------------------------------------------
@@ -75,7 +73,6 @@ ATTRIBUTES = [
     "CASE c_custkey % 8 WHEN 0 THEN ' Lawyer' WHEN 1 THEN 'Media_Manager' WHEN 2 THEN '_______'"
     " WHEN 3 THEN 'mechanic ' WHEN 4 THEN 'Engineer' WHEN 5 THEN NULL WHEN 6 THEN 'Writer'"
     " ELSE 'Teacher' END AS Occupation",
-    f"{_CUSTOMER_SNAPSHOT} AS snapshot_date",
 ]
 
 # ---- financials -----------------------------------------------------------------
@@ -113,7 +110,6 @@ FINANCIALS = [
     " ELSE 'Low_spent_Small_value_payments' END AS Payment_Behaviour",
     "CASE WHEN c_custkey % 31 = 0 THEN '__-333333333333333333333333333__'"
     " ELSE CAST(c_custkey*19 % 1000 AS STRING) END AS Monthly_Balance",
-    f"{_CUSTOMER_SNAPSHOT} AS snapshot_date",
 ]
 
 # ---- clickstream ----------------------------------------------------------------
@@ -124,7 +120,6 @@ CLICKSTREAM = [
         f"CASE WHEN event_id % {30 + i} = 0 THEN NULL ELSE CAST(event_id*{3 + i} % 211 - 5 AS STRING) END AS {feature}"
         for i, feature in enumerate(fixed.CLICK_FEATURES, start=1)
     ),
-    f"CAST({_month_start('event_id*11 % 84')} AS STRING) AS snapshot_date",
 ]
 
 
@@ -148,15 +143,15 @@ def raw_loans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_attributes(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "customer", "c_custkey").selectExpr(*ATTRIBUTES)
+    return _table(spark, folder, "customer", "c_custkey").selectExpr(*ATTRIBUTES, _CUSTOMER_SNAPSHOT)
 
 
 def raw_financials(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "customer", "c_custkey").selectExpr(*FINANCIALS)
+    return _table(spark, folder, "customer", "c_custkey").selectExpr(*FINANCIALS, _CUSTOMER_SNAPSHOT)
 
 
 def raw_clickstream(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "events", "event_id").selectExpr(*CLICKSTREAM)
+    return _table(spark, folder, "events", "event_id").selectExpr(*CLICKSTREAM, _CLICK_SNAPSHOT)
 
 
 RAW = {

@@ -16,16 +16,36 @@ def _lines(parts: list[str]) -> str:
 
 # ---- role views -----------------------------------------------------------------
 
+def _month_start(months: str) -> str:
+    return f"make_date(2020 + CAST(floor(({months})/12.0) AS INT), CAST(({months}) % 12 AS INT) + 1, 1)"
+
+
+_CUSTOMER_SNAPSHOT = f"CAST({_month_start('c_custkey*7 % 60')} AS STRING) AS snapshot_date"
+
 RAW = {
     "raw_loans": f"""
-      SELECT {_lines(roles.LOANS)} FROM (
-        SELECT {_lines(roles.LOAN_AMOUNTS)} FROM (
-          SELECT {_lines(roles.LOAN_MONTHS)} FROM (
-            SELECT *, CAST(unnest(range(0, {roles.MONTHS_PER_LOAN})) AS INT) AS k FROM (
-              SELECT {_lines(roles.LOAN_BASE)} FROM orders))))""",
-    "raw_attributes": f"SELECT {_lines(roles.ATTRIBUTES)} FROM customer",
-    "raw_financials": f"SELECT {_lines(roles.FINANCIALS)} FROM customer",
-    "raw_clickstream": f"SELECT {_lines(roles.CLICKSTREAM)} FROM events",
+      WITH b AS (SELECT o_orderkey ok, o_custkey ck, CAST(floor(o_totalprice) AS BIGINT) amt,
+          (year(o_orderdate)-1995)*12 + month(o_orderdate)-1 m0 FROM orders),
+      e AS (SELECT *, CAST(floor(amt/10.0) AS BIGINT) inst, {_month_start('m0 + k')} sd
+        FROM (SELECT *, CAST(unnest(range(0, 11)) AS INT) AS k FROM b)),
+      f AS (SELECT *, CASE WHEN k=0 THEN 0 ELSE inst END due,
+          CASE WHEN k>0 AND ok % 5 = 0 THEN inst * ((ok + k*k) % 4) + ok % 3 ELSE 0 END od FROM e)
+      SELECT concat('LN_', CAST(ok AS STRING)) loan_id,
+        CASE WHEN ok % 97 = 0 THEN concat('BAD_', CAST(ck AS STRING)) WHEN ok % 101 = 0 THEN NULL
+          ELSE concat('CUS_0x', lower(hex(ck))) END Customer_ID,
+        CAST({_month_start('m0')} AS STRING) loan_start_date, '10' tenure, CAST(k AS STRING) installment_num,
+        CASE ok % 11 WHEN 0 THEN concat('_', CAST(amt AS STRING)) WHEN 1 THEN concat('$', CAST(amt AS STRING))
+          WHEN 2 THEN '0' WHEN 3 THEN 'n/a' ELSE CAST(amt AS STRING) END loan_amt,
+        CAST(due AS STRING) due_amt, CAST(CASE WHEN od >= due THEN 0 ELSE due - od END AS STRING) paid_amt,
+        CAST(od AS STRING) overdue_amt, CAST(amt - k*inst AS STRING) balance,
+        CASE WHEN ok % 2 = 0 THEN CAST(sd AS STRING)
+          ELSE concat(CAST(day(sd) AS STRING),'/',CAST(month(sd) AS STRING),'/',CAST(year(sd) % 100 AS STRING))
+          END snapshot_date FROM f""",
+    "raw_attributes": f"SELECT {_lines(roles.ATTRIBUTES)}, {_CUSTOMER_SNAPSHOT} FROM customer",
+    "raw_financials": f"SELECT {_lines(roles.FINANCIALS)}, {_CUSTOMER_SNAPSHOT} FROM customer",
+    "raw_clickstream": f"""
+      SELECT {_lines(roles.CLICKSTREAM)}, CAST({_month_start('event_id*11 % 84')} AS STRING) AS snapshot_date
+      FROM events""",
 }
 
 # ---- typed values ---------------------------------------------------------------
