@@ -116,9 +116,11 @@ def look_back_join(left: DataFrame, clicks: DataFrame, **window) -> DataFrame:
     """Left join with the clickstream averages of the look-back window."""
     look_back = LookBack(clicks, **window)
     known = timeline(left, [look_back])
-    joined = left.join(known, [KEY, TIME], "left")
-    return joined.withColumn(
-        look_back.count_name, F.coalesce(look_back.count_name, F.lit(0).cast("long"))
+    means = [f"avg_{f}_{look_back.suffix}" for f in look_back.features]
+    return left.join(known, [KEY, TIME], "left").selectExpr(
+        *(quoted(c) for c in left.columns),
+        *means,
+        f"coalesce({look_back.count_name}, 0) AS {look_back.count_name}",
     )
 
 
@@ -149,4 +151,4 @@ def customer_join(left: DataFrame, right: DataFrame) -> DataFrame:
     The names the left side already has are dropped from the right one.
     """
     new = [c for c in right.columns if c not in left.columns]
-    return left.join(right.select(KEY, *new), KEY, "left")
+    return left.join(right.select(KEY, *new), KEY, "left").select(*left.columns, *new)

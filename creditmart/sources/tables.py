@@ -53,9 +53,10 @@ def replace_partitions(
 
     written = Observation()
     counts = [F.count_if(is_in(values)).alias(f"rows_{i}") for i, values in enumerate(old)]
-    counted = df.observe(written, F.count(F.lit(1)).alias("rows"), *counts)
     if gather:
-        counted = counted.hint("rebalance", *partition_by)
+        df = df.hint("rebalance", *partition_by)
+    # observed above the rebalance: a shuffle that turns out empty is cut away with all below it
+    counted = df.observe(written, F.count(F.lit(1)).alias("rows"), *counts)
     if order_within:
         counted = counted.sortWithinPartitions(*partition_by, *order_within)
     (
