@@ -1,0 +1,96 @@
+"""Shapes of the physical plans."""
+
+import datetime as dt
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from creditmart.operators import labels
+from creditmart.plans import job, layers, queries
+from creditmart.plans.specs import LOAN_DAILY, TABLES
+from creditmart.sources import roles, tables
+
+SF = "/root/testdata/sf0.001"
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas")
+
+
+def plan(df, formatted=True):
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
+@pytest.mark.parametrize("name", contract.queries())
+def test_no_nested_loops_and_no_python(spark, name):
+    text = plan(contract.queries()[name](spark, SF))
+    assert not [node for node in FORBIDDEN if node in text]
+
+
+def test_scans_read_only_the_columns_needed(spark):
+    text = plan(contract.queries()["label_store"](spark, SF))
+    # the order's price is needed for what is due, nothing else of the nine columns is
+    schema = re.search(r"ReadSchema: struct<(.*)>", text).group(1)
+    assert {field.split(":")[0] for field in schema.split(",")} == {
+        "o_orderkey",
+        "o_custkey",
+        "o_totalprice",
+        "o_orderdate",
+    }
+
+
+def exchanges(text):
+    return len(re.findall(r"^\(\d+\) Exchange", text, re.M))
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """Silver tables of the role views."""
+    run = job.Run(spark, str(tmp_path_factory.mktemp("mart")), "r", dt.date(2023, 1, 1), dt.date(2023, 12, 1), queries.AS_OF)
+    for name, spec in TABLES.items():
+        raw = layers.bronze(roles.RAW[name](spark, SF), run.first, run.last)
+        run._silver_table(spec, raw.withColumn(job.PERIOD, F.col("snapshot_date")))
+    return run
+
+
+def test_labels_need_no_shuffle_and_prune(spark, stored):
+    loans = stored.silver_table(LOAN_DAILY)
+    text = plan(labels.label_loans(loans.where(F.col(job.PERIOD) == dt.date(2023, 7, 1))))
+    assert exchanges(text) == 0
+    assert re.search(r"PartitionFilters: .*period", text)
+    assert re.search(r"PushedFilters: .*EqualTo\(mob,6\)", text)
+    assert "ReadSchema: struct<loan_id:string,Customer_ID:string,snapshot_date:date,mob:int,dpd:int>" in text
+
+
+def test_cleaning_needs_no_shuffle(spark, stored):
+    raw = LOAN_DAILY.empty_raw(spark)
+    assert exchanges(plan(layers.silver(LOAN_DAILY, raw, queries.AS_OF))) == 0
+
+
+def test_features_share_one_timeline(spark, stored):
+    silver = {name: stored.silver_table(spec).drop(job.PERIOD) for name, spec in TABLES.items()}
+    text = plan(
+        layers.feature_store(
+            silver["loan_daily"], silver["attributes"], silver["financials"], silver["clickstream"]
+        )
+    )
+    # three sources, one window pass and one join
+    assert len(re.findall(r"^\(\d+\) Window", text, re.M)) == 1
+    assert len(re.findall(r"^\(\d+\) \w*Join", text, re.M)) == 1
+    # all four reductions combine on the map side: each aggregate comes twice, around its shuffle
+    assert len(re.findall(r"^\(\d+\) \w*Aggregate", text, re.M)) == 10
+
+
+def test_hot_month_is_split_on_write(spark, tmp_path):
+    """A month with most of the rows is written by several tasks."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        df = spark.range(200000).selectExpr(
+            "uuid() AS text", "IF(id % 3 < 2, '2023-01-01', CAST(date_add(DATE '2023-01-02', CAST(id % 5 AS INT)) AS STRING)) AS d"
+        )
+        path = str(tmp_path / "t")
+        assert tables.replace_partitions(df, path, ["d"], lambda p: True, gather=True) == 200000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = [f for f in spark.read.parquet(path).inputFiles() if "d=2023-01-01" in f]
+    assert len(files) > 3
