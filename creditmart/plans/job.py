@@ -12,12 +12,11 @@ for any range of months, and a range that runs again replaces its months.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from creditmart import fixed_values as fixed
 from creditmart.operators import derivations, labels
@@ -26,7 +25,6 @@ from creditmart.operators.validation import (
     DROPPED,
     OUTCOME,
     QUARANTINED,
-    Strategy,
     kept_rows,
     quarantined_rows,
 )
@@ -121,14 +119,18 @@ class Run:
             order_within=["mob"] if spec is LOAN_DAILY else [],
         )
         self.rows.update({f"silver.{spec.name}.{fate}": rows for fate, rows in fates.get.items()})
-        if any(rule.strategy is Strategy.QUARANTINE for rule in spec.rules):
-            tables.replace_partitions(
-                quarantined_rows(flagged, spec.name),
-                self.path("quarantine"),
-                ["source", "rule", PERIOD],
-                lambda partition: partition["source"] == spec.name and self.covers(partition[PERIOD]),
-                gather=True,
-            )
+        self._quarantine(spec, flagged, fates.get[QUARANTINED])
+
+    def _quarantine(self, spec: TableSpec, flagged: DataFrame, rows: int) -> None:
+        """Write the rows taken out; a second pass only where there are or were some."""
+
+        def replaces(partition: dict[str, str]) -> bool:
+            return partition["source"] == spec.name and self.covers(partition[PERIOD])
+
+        path, partition_by = self.path("quarantine"), ["source", "rule", PERIOD]
+        if rows or any(map(replaces, tables.partition_values(self.spark, path, partition_by))):
+            taken_out = quarantined_rows(flagged, spec.name)
+            tables.replace_partitions(taken_out, path, partition_by, replaces, gather=True)
 
     def _extend_vocabulary(self, raw: DataFrame) -> list[str]:
         """Loan types of these and all earlier months, kept as a small table."""
@@ -141,18 +143,29 @@ class Run:
         return vocabulary
 
     def vocabulary(self) -> list[str]:
-        schema = T.StructType([T.StructField("loan_type", T.StringType())])
         path = self.path("silver", "loan_types")
-        return derivations.vocabulary_list(tables.read_table(self.spark, path, schema))
-
-    def silver_table(self, spec: TableSpec) -> DataFrame:
-        """All months of a silver table under one schema, the same for every month."""
-        empty = spec.empty_raw(self.spark).withColumn(PERIOD, F.lit(None).cast("date"))
+        if not files.exists(self.spark, path):
+            return []
+        return derivations.vocabulary_list(self.spark.read.schema("loan_type string").parquet(path))
+
+    def silver_table(
+        self, spec: TableSpec, months: Callable[[str], bool] = lambda month: True
+    ) -> DataFrame:
+        """The wanted months of a silver table, under the same schema for every month.
+
+        A month that was never written is empty. A table whose source has no
+        dates comes without them.
+        """
         vocabulary = self.vocabulary() if spec is FINANCIALS else []
-        schema = layers.silver(spec, empty, self.as_of, vocabulary).schema
+        empty = spec.empty_raw(self.spark).withColumn(PERIOD, F.lit(None).cast("date"))
+        empty = layers.silver(spec, empty, self.as_of, vocabulary)
         path = self.path("silver", spec.name)
-        rows = tables.read_table(self.spark, path, schema)
-        if files.exists(self.spark, path) and TIME not in self.spark.read.parquet(path).columns:
+        written = [p[PERIOD] for p in tables.partition_values(self.spark, path, [PERIOD])]
+        wanted = [month for month in written if months(month)]
+        rows = tables.read_partitions(self.spark, path, PERIOD, wanted, empty.schema)
+        if rows is None:
+            return empty
+        if TIME not in self.spark.read.parquet(f"{path}/{PERIOD}={wanted[0]}").columns:
             rows = rows.drop(TIME, f"valid_{TIME}")
         if vocabulary:
             # months written before a loan type was first seen have no column for it
@@ -164,21 +177,27 @@ class Run:
     def gold(self) -> None:
         if not files.exists(self.spark, self.path("silver", LOAN_DAILY.name)):
             raise FileNotFoundError("no silver loans: features and labels need them")
-        loans = self.silver_table(LOAN_DAILY).where(F.col(PERIOD).between(self.first, self.last))
+        loans = self.silver_table(LOAN_DAILY, self.covers)
         self.rows["gold.label_store"] = tables.replace_partitions(
             labels.label_loans(loans, self.dpd, self.mob),
             self.path("gold", "label_store"),
             ["snapshot_date"],
             lambda partition: self.covers(partition["snapshot_date"]),
         )
+
         # the state of a customer may date from any earlier month
-        past = F.col(PERIOD) <= self.last
-        recent = F.col(PERIOD) >= F.date_sub(F.lit(self.first), fixed.LOOK_BACK_DAYS)
+        def past(month: str) -> bool:
+            return month <= self.last.isoformat()
+
+        def recent(month: str) -> bool:
+            oldest = self.first.replace(day=1) - dt.timedelta(fixed.LOOK_BACK_DAYS)
+            return oldest.isoformat() <= month <= self.last.isoformat()
+
         features = layers.feature_store(
             loans.drop(PERIOD),
-            self.silver_table(TABLES["attributes"]).where(past).drop(PERIOD),
-            self.silver_table(FINANCIALS).where(past).drop(PERIOD),
-            self.silver_table(TABLES["clickstream"]).where(past & recent).drop(PERIOD),
+            self.silver_table(TABLES["attributes"], past).drop(PERIOD),
+            self.silver_table(FINANCIALS, past).drop(PERIOD),
+            self.silver_table(TABLES["clickstream"], recent).drop(PERIOD),
         )
         self.rows["gold.feature_store"] = tables.replace_partitions(
             features,
@@ -191,9 +210,7 @@ class Run:
     def label_store(self) -> DataFrame:
         """All labels of the run as one frame."""
         schema = "loan_id string, Customer_ID string, label int, label_def string, snapshot_date date"
-        return tables.read_table(
-            self.spark, self.path("gold", "label_store"), T.StructType.fromDDL(schema)
-        )
+        return self.spark.read.schema(schema).parquet(self.path("gold", "label_store"))
 
     def feature_store(self) -> DataFrame:
         """All features of the run as one frame."""

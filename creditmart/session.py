@@ -17,16 +17,26 @@ SETTINGS = {
 }
 
 
+# Partitions a shuffle starts with, per core. The adaptive plan merges small
+# ones; it does not split large ones, so the start has to suit large data.
+_SHUFFLE_PARTITIONS_PER_CORE = 3
+_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a session that somebody else made."""
+    """Apply the settings to a session, also one that somebody else made."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if spark.conf.get(_INITIAL_PARTITIONS, None) is None:
+        cores = spark.sparkContext.defaultParallelism
+        wanted = max(_SHUFFLE_PARTITIONS_PER_CORE * cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        spark.conf.set(_INITIAL_PARTITIONS, str(wanted))
     return spark
 
 
 def session(app_name: str = "creditmart", **settings: str) -> SparkSession:
-    """A session with the settings above; the master comes from the launcher."""
+    """A tuned session; the master comes from the launcher."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**SETTINGS, **settings}.items():
+    for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())

@@ -71,22 +71,25 @@ def replace_partitions(
     return written.get["rows"]
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table under its contract; one that was never written is empty.
-
-    Columns a partition lacks read as null. Filters on partition columns prune.
+def read_partitions(
+    spark: SparkSession,
+    path: str,
+    column: str,
+    values: Sequence[str],
+    schema: T.StructType | None = None,
+) -> DataFrame | None:
+    """Some partitions of a table; None if there are none.
+
+    Only their folders are listed, however many the table has. Under a schema,
+    columns that a partition lacks read as null; without one, the result has all
+    columns that any of the partitions has.
     """
-    if not files.exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
-
-
-def read_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> DataFrame | None:
-    """Some partitions of a table, with all columns any of them has; None if there are none."""
     if not values:
         return None
     folders = [_folder(path, {column: value}) for value in values]
-    return spark.read.options(basePath=path, mergeSchema=True).parquet(*folders)
+    reader = spark.read.option("basePath", path)
+    reader = reader.schema(schema) if schema else reader.option("mergeSchema", True)
+    return reader.parquet(*folders)
 
 
 def preview(df: DataFrame, rows: int = 10, order_by: str | None = None) -> DataFrame:
