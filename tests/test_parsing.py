@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from creditmart.functions import parsing
+from creditmart.functions import checks, parsing
 
 
 def parse(spark, expression, texts):
@@ -25,6 +25,8 @@ def parse(spark, expression, texts):
         ("-500", -500.0),
         ("__-333333333333333333333333333__", -3.3333332949471825e26),
         ("1e3", 1000.0),
+        ("-Infinity", float("-inf")),
+        ("+inf", float("inf")),
         ("!@9#%8", None),
         ("_", None),
         ("", None),
@@ -100,7 +102,14 @@ def test_loan_type_text(spark):
     assert parse(spark, parsing.loan_type_text("x"), list(cases)) == list(cases.values())
 
 
-NUMBER_LIKE = st.text(alphabet="0123456789+-._, $eE", max_size=12)
+def test_not_a_number_passes_as_a_positive_amount(spark):
+    (value,) = parse(spark, parsing.to_float("x"), ["NaN"])
+    assert value != value
+    assert parse(spark, checks.positive(parsing.to_float("x")), ["NaN", "n/a"]) == [True, False]
+
+
+SPECIAL = st.sampled_from(["inf", "+Infinity", "-INF", "infinity", "1f", "1d", "0x1p3", "i", "na"])
+NUMBER_LIKE = st.text(alphabet="0123456789+-._, $eE", max_size=12) | SPECIAL
 DATE_LIKE = st.text(alphabet="0123456789/- T", max_size=12) | st.dates(
     dt.date(2000, 1, 1), dt.date(2099, 12, 31)
 ).map(lambda d: f"{d.day}/{d.month}/{d.year % 100:02}")
