@@ -31,13 +31,10 @@ def to_int(value: str) -> str:
 
 def to_date(value: str) -> str:
     """Date out of ``d/M/yy`` (two-digit years are 20yy) or ISO text."""
-    # A failed parse with a pattern throws and catches inside the JVM, which is
-    # slow, so the pattern is tried only where its separator occurs.
-    text = f"CAST({value} AS STRING)"
-    return (
-        f"coalesce(CASE WHEN contains({text}, '/') THEN try_to_date({text}, 'd/M/yy') END,"
-        f" try_cast({text} AS DATE))"
-    )
+    # Turned into ISO and cast: parsing with a pattern throws and catches inside
+    # the JVM for every text of the other form.
+    slashes = r"^0*(\d{1,2})/0*(\d{1,2})/(\d\d)\z"
+    return f"try_cast(regexp_replace(CAST({value} AS STRING), r'{slashes}', '20$3-$2-$1') AS DATE)"
 
 
 def standardise(value: str) -> str:

@@ -57,7 +57,8 @@ LOANS = [
     "CAST(CASE WHEN od >= due THEN 0 ELSE due - od END AS STRING) AS paid_amt",
     "CAST(od AS STRING) AS overdue_amt",
     "CAST(amt - k*inst AS STRING) AS balance",
-    "CASE WHEN ok % 2 = 0 THEN CAST(sd AS STRING) ELSE date_format(sd, 'd/M/yy') END AS snapshot_date",
+    "CASE WHEN ok % 2 = 0 THEN CAST(sd AS STRING)"
+    " ELSE concat(day(sd), '/', month(sd), '/', year(sd) % 100) END AS snapshot_date",
 ]
 
 # ---- attributes -----------------------------------------------------------------

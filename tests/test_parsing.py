@@ -63,7 +63,11 @@ def test_date(spark):
         "2023-01-01": dt.date(2023, 1, 1),
         "2023-01-01T10/2": dt.date(2023, 1, 1),
         "2023-1-5": dt.date(2023, 1, 5),
+        "001/5/23": dt.date(2023, 5, 1),
+        "29/2/24": dt.date(2024, 2, 29),
         "31/2/23": None,
+        "0/1/23": None,
+        "1/5/23\n": None,
         "2023-02-30": None,
         "1/5/2023": None,
         "soon": None,
