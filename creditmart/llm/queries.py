@@ -4,13 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditmart.llm import mixing, packing, quality_rules, secret_scan, simhash_dedup
+from creditmart.llm import mixing, packing, quality_classifier, quality_rules, secret_scan, simhash_dedup
 from creditmart.llm.common import table
 
 
+def _held_out() -> Column:
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(False))
+
+
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~_held_out())
+    model = quality_classifier.learn(docs, labels)
+    found = quality_classifier.scored(docs, model)
+    return found.select("doc_id", _held_out().alias("held_out"), "score", "predicted")
+
+
 def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -36,6 +48,7 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_classifier": quality,
     "op3_simhash_dedup": simhash,
     "op4_quality_rules": rules,
     "op5_packing": packing_sequences,
