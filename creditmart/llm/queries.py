@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditmart.llm import mixing, packing, quality_classifier, quality_rules, secret_scan, simhash_dedup
+from creditmart.llm import chat_format, mixing, nearest_neighbours, packing, quality_classifier, quality_rules, secret_scan, simhash_dedup
 from creditmart.llm.common import table
 
 
@@ -38,10 +38,21 @@ def packing_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return chat_format.read_back(chat_format.formatted(turns.unionByName(probe)))
+
+
 def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scanned(table(spark, sf_dir, "documents"))
 
 
+def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
+
+
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mixed(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -52,7 +63,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_dedup": simhash,
     "op4_quality_rules": rules,
     "op5_packing": packing_sequences,
+    "op6_chat_format": chats,
     "op8_secret_scan": secrets,
+    "op9_nearest_neighbours": neighbours,
     "op10_source_mix": source_mix,
 }
 
