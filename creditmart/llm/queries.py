@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditmart.llm import chat_format, mixing, nearest_neighbours, packing, quality_classifier, quality_rules, secret_scan, simhash_dedup
+from creditmart.llm import (
+    chat_format,
+    html_extraction,
+    mixing,
+    nearest_neighbours,
+    packing,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    simhash_dedup,
+)
 from creditmart.llm.common import table
 
 
@@ -45,6 +55,10 @@ def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.formatted(turns.unionByName(probe)))
 
 
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extracted(table(spark, sf_dir, "pages"))
+
+
 def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scanned(table(spark, sf_dir, "documents"))
 
@@ -64,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": rules,
     "op5_packing": packing_sequences,
     "op6_chat_format": chats,
+    "op7_html_extraction": main_texts,
     "op8_secret_scan": secrets,
     "op9_nearest_neighbours": neighbours,
     "op10_source_mix": source_mix,
