@@ -17,10 +17,15 @@ from creditmart.llm import (
     quality_rules,
     secret_scan,
     simhash_dedup,
+    suffix_dedup,
 )
 from creditmart.llm.common import table
 
 
+def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def _held_out() -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(False))
 
@@ -73,6 +78,7 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": repeats,
     "op2_quality_classifier": quality,
     "op3_simhash_dedup": simhash,
     "op4_quality_rules": rules,
