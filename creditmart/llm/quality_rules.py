@@ -21,7 +21,7 @@ BUCKETS = 16_384
 #: Added to each bucket of both multinomials.
 SMOOTHING = 1.0
 #: Documents whose mean log ratio is below are rejected.
-MIN_RATIO = -0.30
+MIN_RATIO = -0.09
 #: Form of a text whose n-grams count for the target.
 TRUSTED = (
     "n_words >= 20 AND 100 * n_symbols <= n_words AND n_dup_lines = 0 AND n_repeat_words = 0"
