@@ -90,4 +90,50 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_source_mix": source_mix,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Fingerprints, hashed n-grams, token ids, trees and samples of hashes have no SQL; tests
+#: hold those queries against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op10_source_mix": r"""
+WITH sized AS (
+  SELECT doc_id, source,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    (CAST(CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT) AS DOUBLE) + 0.5)
+      / 281474976710656.0 AS u
+  FROM documents),
+by_source AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+weighted AS (
+  SELECT *, CAST(3 * source_size AS DOUBLE) AS full_size,
+    CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS DOUBLE) AS weight
+  FROM by_source),
+leveled AS (
+  SELECT *,
+    (CAST(sum(source_size) OVER () AS DOUBLE) - coalesce(sum(full_size) OVER below, 0.0))
+      / (sum(weight) OVER () - coalesce(sum(weight) OVER below, 0.0)) AS level
+  FROM weighted
+  WINDOW below AS (ORDER BY full_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+goals AS (
+  SELECT source, source_size,
+    CASE WHEN full_size > weight * level
+      THEN weight * max(CASE WHEN full_size > weight * level THEN level END) OVER () ELSE full_size END AS target
+  FROM leveled),
+rates AS (
+  SELECT *, least(3, coalesce(CAST(floor(target / nullif(source_size, 0)) AS BIGINT), 0)) AS copies FROM goals),
+rests AS (
+  SELECT *, greatest(target - copies * source_size, 0.0) AS rest,
+    CASE WHEN source_size > 0 THEN target / source_size - copies ELSE 0.0 END AS p
+  FROM rates),
+ranked AS (
+  SELECT s.doc_id, s.size, r.*,
+    (s.u / (1 - s.u)) / (greatest(r.p, 1e-12) / (1 - least(r.p, 1 - 1e-12))) AS place
+  FROM sized s JOIN rests r ON s.source IS NOT DISTINCT FROM r.source),
+summed AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, doc_id, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM ranked WHERE size > 0)
+SELECT doc_id, size, source_size, target,
+  CAST(size * least(3, copies + CASE WHEN rest > 0 AND before + size / 2.0 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM summed
+UNION ALL
+SELECT doc_id, size, source_size, target, CAST(0 AS BIGINT) FROM ranked WHERE size = 0""",
+}
