@@ -1,0 +1,74 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from creditmart.llm import secret_scan
+from creditmart.llm.tokenizing import encoder
+
+BASE = {
+    "assign": (re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 6),
+    "access": (re.compile(r"AKIA[A-Z0-9]+"), 0, 20),
+    "hex": (re.compile(r"[0-9a-f]+"), 0, 24),
+}
+TEXTS = [
+    "", None, "nothing here", "password = 'hunter22' and more", "secret: token:abcdefg", "PassWord:\"x.y/z=1\"", "secret=tok",
+    "ſecret=abcdefgh toKen=abcdefgh", "AKIA" + "A1" * 10 + " AKIA123", "AKIAAKIA" + "Z" * 16, "é" * 5 + "0123456789abcdef" * 2 + "!",
+    "0123456789ABCDEF" * 2, "api_key=0123456789abcdef0123456789abcdef", "apikey : abc", "token=token=token=abcdef",
+    "key Xq7ZpL0vT9sKd3RfWm2Yb8Ng here", "3f2504e0-4f88-11d3-9a0c-0305e82c3301", "see aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa",
+    "word " * 20000 + "password=abcdef1",
+]
+
+
+def base_spans(text):
+    found = []
+    for order, (kind, (pattern, group, least)) in enumerate(BASE.items()):
+        found += [(m.start(), order, kind, m.end()) for m in pattern.finditer(text) if len(m.group(group)) >= least]
+    return [(kind, start, end) for start, _, kind, end in sorted(found)]
+
+
+@pytest.fixture(scope="module")
+def found(spark):
+    rows = [(i, t, "x") for i, t in enumerate(TEXTS)] + [(3, TEXTS[3], "y")]
+    return secret_scan.scanned(spark.createDataFrame(rows, "doc_id long, text string, spans string")).collect()
+
+
+def test_base_spans(found):
+    for r in found:
+        spans = base_spans(TEXTS[r.doc_id] or "")
+        listed = ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest(), TEXTS[r.doc_id]
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == kind for k, _, _ in spans) for kind in BASE)
+        assert set(filter(None, listed.split(","))) <= set(r.spans.split(","))
+        assert all(s.startswith("random:") for s in set(r.spans.split(",")) - set(listed.split(",")) if s)
+
+
+def test_random_strings_by_tokens():
+    coder = encoder()
+    rng = random.Random(1)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choices(letters, k=32)) for _ in range(200)]
+    caught = sum(any(k == "random" for _, k, _ in secret_scan.spans(f"x {key} y", coder)) for key in keys)
+    assert caught >= 190
+    for text in (
+        "internationalization-of-software-systems", "2024-01-01-release-notes-final-v2", "https://example.com/some/long/path/to/a/page",
+        "D41D8CD98F00B204E9800998ECF8427E", "550e8400-e29b-41d4-a716-446655440000", "12345678901234567890123456789",
+    ):
+        assert not [s for s in secret_scan.spans(text, coder) if s[1] == "random"], text
+
+
+def test_redaction_changes_nothing_else(spark):
+    rows = [(i, t, len(t or "")) for i, t in enumerate(TEXTS)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    out = {r.doc_id: r for r in secret_scan.redacted(df).collect()}
+    assert secret_scan.redacted(df).columns == df.columns
+    assert out[1].text is None and out[2].text == TEXTS[2]
+    assert out[3].text == "[SECRET] and more" and out[3].n_chars == len(out[3].text)
+    for r in out.values():
+        assert not base_spans(r.text or "")
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert secret_scan.scanned(empty).collect() == [] and secret_scan.redacted(empty).collect() == []
