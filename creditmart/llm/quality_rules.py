@@ -5,6 +5,10 @@ shuffle carries n-gram counts, which are combined on the map side into at most
 ``BUCKETS`` rows a task. The ratio of the two multinomials is one array of ``BUCKETS``
 numbers, so its size does not depend on the corpus.
 
+The n-grams are words, and pairs of neighbours by their shape: letters read as a or A,
+digits as 0. Shapes are few, so their counts are firm at any size of the corpus and
+tell texts of words from lists, shouting and symbols in every language.
+
 Trusted texts, which make up the target multinomial, are those that pass strict rules
 of form (``TRUSTED``); the raw multinomial counts every text. Rules need no join, so
 that no text is moved to find the trusted ones.
@@ -21,13 +25,16 @@ BUCKETS = 16_384
 #: Added to each bucket of both multinomials.
 SMOOTHING = 1.0
 #: Documents whose mean log ratio is below are rejected.
-MIN_RATIO = -0.09
+MIN_RATIO = -0.30
 #: Form of a text whose n-grams count for the target.
 TRUSTED = (
-    "n_words >= 20 AND 100 * n_symbols <= n_words AND n_dup_lines = 0 AND n_repeat_words = 0"
+    "n_words >= 20 AND 100 * n_symbols <= n_words"
     " AND 100 * n_capitals <= 40 * n_words AND 100 * n_exclaimed <= 5 * n_words"
 )
 
+#: What runs of characters are replaced with in the shape of a word, one after the other.
+SHAPES = {r"[\p{Ll}\p{Lo}\p{M}\p{Lt}\p{Lm}]+": "a", r"\p{Lu}+": "A", r"\p{N}+": "0"}
+
 WINDOW_WORDS = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -65,21 +72,24 @@ def _repeat_words(grams: Column) -> Column:
     return F.when(F.size(F.array_distinct(grams)) == F.size(grams), F.lit(0)).otherwise(count)
 
 
-def _windows(hashes: Column, size: int) -> Column:
-    """Hash of each run of ``size`` words, from the hashes of the words."""
-    starts = F.sequence(F.lit(0), F.size(hashes) - size)
-    runs = F.transform(starts, lambda i: F.xxhash64(*(hashes[i + k] for k in range(size))))
-    return F.when(F.size(hashes) >= size, runs).otherwise(F.array().cast("array<bigint>"))
+def _windows(items: Column, size: int) -> Column:
+    """Hash of each run of ``size`` items of an array."""
+    starts = F.sequence(F.lit(0), F.size(items) - size)
+    runs = F.transform(starts, lambda i: F.xxhash64(*(items[i + k] for k in range(size))))
+    return F.when(F.size(items) >= size, runs).otherwise(F.array().cast("array<bigint>"))
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """``docs`` with the counts of the rules and, as ``_features``, hashed words and word pairs."""
+    """``docs`` with the counts of the rules and, as ``_features``, hashed words and pairs of shapes."""
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    own = docs.withColumns({"_words": words(F.col("text")), "_lines": lines})
+    shapes = text
+    for letters, shape in SHAPES.items():
+        shapes = F.regexp_replace(shapes, letters, shape)
+    own = docs.withColumns({"_words": words(F.col("text")), "_lines": lines, "_shapes": words(shapes)})
     own = own.withColumn("_hashes", F.transform("_words", lambda word: F.xxhash64(word)))
     own = own.withColumn("_grams", _windows(F.col("_hashes"), WINDOW_WORDS))
-    pairs = _windows(F.col("_hashes"), 2)
+    pairs = _windows(F.col("_shapes"), 2)
     return own.select(
         *docs.columns,
         F.size("_words").cast("long").alias("n_words"),

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import pytest
+import regex
 import xxhash
 
 from creditmart.llm import quality_rules
@@ -30,10 +31,10 @@ def signed(n):
 
 
 def chained(values):
-    """Spark's xxhash64 over several longs: each is hashed with the hash before as seed."""
+    """Spark's xxhash64 over several strings: each is hashed with the hash before as seed."""
     h = 42
     for v in values:
-        h = xxhash.xxh64_intdigest((v % (1 << 64)).to_bytes(8, "little"), h)
+        h = xxhash.xxh64_intdigest(v.encode(), h)
     return signed(h)
 
 
@@ -54,14 +55,18 @@ def counts(text):
 
 def features(text):
     hashes = [signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in WORDS.findall(text or "")]
-    return [h % quality_rules.BUCKETS for h in hashes + [chained(p) for p in zip(hashes, hashes[1:])]]
+    shapes = text or ""
+    for letters, shape in quality_rules.SHAPES.items():
+        shapes = regex.sub(letters, shape, shapes)
+    shapes = WORDS.findall(shapes)
+    return [h % quality_rules.BUCKETS for h in hashes + [chained(p) for p in zip(shapes, shapes[1:])]]
 
 
 def trusted(text):
     c = counts(text)
     capitals, exclaimed = len(re.findall(r"[A-Z]{2,}", text or "")), len(re.findall(r"[!?]{2,}", text or ""))
     return (
-        c["n_words"] >= 20 and 100 * c["n_symbols"] <= c["n_words"] and not c["n_dup_lines"] and not c["n_repeat_words"]
+        c["n_words"] >= 20 and 100 * c["n_symbols"] <= c["n_words"]
         and 100 * capitals <= 40 * c["n_words"] and 100 * exclaimed <= 5 * c["n_words"]
     )
 
@@ -115,4 +120,4 @@ def test_clean_documents_stay(spark):
     rows = quality_rules.judged(spark.read.parquet(f"{sf}/documents.parquet")).join(labels, "doc_id").collect()
     clean = [r for r in rows if r.quality == 1 and not r.base_failed]
     bad = [r for r in rows if r.quality == 0]
-    assert all(r.kept for r in clean) and sum(r.kept for r in bad) < 0.25 * len(bad)
+    assert all(r.kept for r in clean) and sum(r.kept for r in bad) < 0.05 * len(bad)
