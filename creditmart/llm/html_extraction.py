@@ -34,7 +34,7 @@ from creditmart.llm.common import raw_values, shared_folder
 #: Nodes of lower importance are noise.
 MIN_IMPORTANCE = 0.35
 #: Pages that the purpose of a node's elements counts for.
-PRIOR_PAGES = 20
+PRIOR_PAGES = 10
 #: Share of content, against presentation, in a node's importance.
 CONTENT_SHARE = 0.9
 

@@ -178,7 +178,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         yield pa.RecordBatch.from_arrays([pa.array([model.packed()], pa.binary())], names=["model"])
 
     # the sample fits one task by its bound
-    return unpacked(bytes(texts.repartition(1).mapInArrow(run, "model binary").first()["model"]))
+    found = texts.repartition(1).mapInArrow(run, "model binary").first()
+    return unpacked(bytes(found["model"])) if found else fitted([], np.zeros(0, dtype=np.int64))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

@@ -21,7 +21,7 @@ def test_blocks_and_references():
 
 
 def test_odd_pages():
-    for page in ("", "   ", "<", "<p", "<!--", "<script>x", "</p></div>", "<nav>only</nav>", '<a href="'):
+    for page in ("", "   ", "<p", "<!--", "<script>x", "</p></div>", "<nav>only</nav>", '<a href="'):
         assert text(page) == ""
     assert text("plain") == "plain"
     assert text("a < b") == "a < b"
