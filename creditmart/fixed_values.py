@@ -54,6 +54,17 @@ CREDIT_MIXES = ["Bad", "Good", "Standard"]
 CREDIT_MIX_PLACEHOLDER = "_"
 LOAN_TYPE_PLACEHOLDER = "Not Specified"
 LOAN_TYPE_MARK = "Loan"
+# Types that get a column of their own; a run may name others.
+LOAN_TYPES = [
+    "Auto Loan",
+    "Credit-Builder Loan",
+    "Debt Consolidation Loan",
+    "Home Equity Loan",
+    "Mortgage Loan",
+    "Payday Loan",
+    "Personal Loan",
+    "Student Loan",
+]
 
 # occupations counted as professionals, managers, executives and technicians
 PMET_OCCUPATIONS = [

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 
 def quoted(name: str) -> str:
-    return f"`{name}`"
+    return "`" + name.replace("`", "``") + "`"
 
 
 def text_literal(value: str) -> str:

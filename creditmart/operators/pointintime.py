@@ -148,7 +148,12 @@ def history_join(left: DataFrame, right: DataFrame) -> DataFrame:
 def customer_join(left: DataFrame, right: DataFrame) -> DataFrame:
     """Left join on the customer alone, for a table without dates.
 
-    The names the left side already has are dropped from the right one.
+    Every left row comes once: of several right rows of a customer the greatest is
+    taken, column by column. The names the left side already has are dropped from the
+    right one.
     """
     new = [c for c in right.columns if c not in left.columns]
-    return left.join(right.select(KEY, *new), KEY, "left").select(*left.columns, *new)
+    payload = F.max(F.struct(*(quoted(c) for c in new))).alias("_row")
+    once = right.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(payload)
+    joined = left.join(once, KEY, "left")
+    return joined.select(*(quoted(c) for c in left.columns), *(f"_row.{quoted(c)}" for c in new))

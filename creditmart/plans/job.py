@@ -34,27 +34,35 @@ from creditmart.sources import extracts, files, tables
 
 LAYERS = ("bronze", "silver", "gold")
 PERIOD = "period"
+UNDATED = "undated"
 
 
 @dataclass
 class Run:
-    """One run of the datamart and the counts its writes observed."""
+    """One run of the datamart and the counts its writes observed.
+
+    Without ``first`` and ``last`` it takes all months there are. ``loan_types`` are the
+    types that get an indicator in gold; silver keeps all types of every row.
+    """
 
     spark: SparkSession
     base: str
     run_id: str
-    first: dt.date = dt.date.fromisoformat(fixed.FIRST_MONTH)
-    last: dt.date = dt.date.fromisoformat(fixed.LAST_MONTH)
+    first: dt.date | None = None
+    last: dt.date | None = None
     as_of: dt.date | None = None
     dpd: int = fixed.LABEL_DPD
     mob: int = fixed.LABEL_MOB
+    loan_types: Sequence[str] = tuple(fixed.LOAN_TYPES)
     rows: dict[str, int] = field(default_factory=dict)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.base.rstrip("/"), self.run_id, *parts])
 
     def covers(self, month: str) -> bool:
-        return self.first.replace(day=1).isoformat() <= month <= self.last.isoformat()
+        """Does the run take a month? A table's part without a month goes with any."""
+        after = self.first is None or self.first.replace(day=1).isoformat() <= month
+        return after and (self.last is None or month <= self.last.isoformat())
 
     # ---- bronze ---------------------------------------------------------------
 
@@ -65,13 +73,19 @@ class Run:
             target = self.path("bronze", extracts.bronze_folder(source))
             rows = layers.bronze(raw, self.first, self.last)
             if "snapshot_date" in raw.columns:
+                found = Observation()
+                counted = layers.bronze(raw.observe(found, F.count(F.lit(1)).alias("rows")), self.first, self.last)
                 self.rows[f"bronze.{source}"] = tables.replace_partitions(
-                    rows,
+                    counted,
                     target,
                     ["snapshot_date"],
                     lambda partition: self.covers(partition["snapshot_date"]),
                     gather=True,
                 )
+                # where no row stays, the plan may drop the scan and with it the count
+                kept = self.rows[f"bronze.{source}"]
+                all_rows = found.get["rows"] if kept else raw.count()
+                self.rows[f"bronze.{source}.left_out"] = all_rows - kept
             else:
                 written = Observation()
                 rows.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
@@ -83,9 +97,8 @@ class Run:
         partitions = tables.partition_values(self.spark, path, ["snapshot_date"])
         months = [p["snapshot_date"] for p in partitions if self.covers(p["snapshot_date"])]
         if not partitions and files.exists(self.spark, path):
-            # a source without dates belongs to the first month
-            first = F.lit(self.first.replace(day=1))
-            return self.spark.read.parquet(path).withColumn(PERIOD, first)
+            # a source without dates is one table, whatever months the run has
+            return self.spark.read.parquet(path)
         rows = tables.read_partitions(self.spark, path, "snapshot_date", months)
         return rows and rows.withColumn(PERIOD, F.col("snapshot_date"))
 
@@ -101,7 +114,6 @@ class Run:
                 self._silver_table(spec, raw)
 
     def _silver_table(self, spec: TableSpec, raw: DataFrame) -> None:
-        vocabulary = self._extend_vocabulary(raw) if spec is FINANCIALS else ()
         flagged = layers.flagged(spec, raw, self.as_of)
         fates, outcome = Observation(), F.substring_index(OUTCOME, ":", 1)
         counted = flagged.observe(
@@ -109,15 +121,19 @@ class Run:
             F.count(F.lit(1)).alias("in"),
             *(F.count_if(outcome == fate).alias(fate) for fate in (DROPPED, QUARANTINED)),
         )
-        # bronze files hold one month each, so tasks do too: no shuffle needed
-        self.rows[f"silver.{spec.name}"] = tables.replace_partitions(
-            spec.derive(kept_rows(counted), vocabulary),
-            self.path("silver", spec.name),
-            [PERIOD],
-            lambda partition: self.covers(partition[PERIOD]),
-            # gold asks for single months on book
-            order_within=["mob"] if spec is LOAN_DAILY else [],
-        )
+        typed, path = spec.derive(kept_rows(counted)), self.path("silver", spec.name)
+        if PERIOD in raw.columns:
+            # bronze files hold one month each, so tasks do too: no shuffle needed
+            self.rows[f"silver.{spec.name}"] = tables.replace_partitions(
+                typed,
+                path,
+                [PERIOD],
+                lambda partition: self.covers(partition[PERIOD]),
+                # gold asks for single months on book
+                order_within=["mob"] if spec is LOAN_DAILY else [],
+            )
+        else:
+            self.rows[f"silver.{spec.name}"] = tables.replace_table(typed, path)
         self.rows.update({f"silver.{spec.name}.{fate}": rows for fate, rows in fates.get.items()})
         self._quarantine(spec, flagged, fates.get[QUARANTINED])
 
@@ -125,52 +141,40 @@ class Run:
         """Write the rows taken out; a second pass only where there are or were some."""
 
         def replaces(partition: dict[str, str]) -> bool:
-            return partition["source"] == spec.name and self.covers(partition[PERIOD])
+            covered = self.covers(partition[PERIOD]) if PERIOD in flagged.columns else partition[PERIOD] == UNDATED
+            return partition["source"] == spec.name and covered
 
         path, partition_by = self.path("quarantine"), ["source", "rule", PERIOD]
         if rows or any(map(replaces, tables.partition_values(self.spark, path, partition_by))):
-            taken_out = quarantined_rows(flagged, spec.name)
+            period = F.col(PERIOD).cast("string") if PERIOD in flagged.columns else F.lit(UNDATED)
+            taken_out = quarantined_rows(flagged, spec.name).withColumn(PERIOD, period)
             tables.replace_partitions(taken_out, path, partition_by, replaces, gather=True)
 
-    def _extend_vocabulary(self, raw: DataFrame) -> list[str]:
-        """Loan types of these and all earlier months, kept as a small table."""
-        if "Type_of_Loan" not in raw.columns:
-            return self.vocabulary()
-        found = derivations.vocabulary_list(layers.loan_type_vocabulary(raw, self.as_of))
-        vocabulary = sorted({*found, *self.vocabulary()})
-        table = self.spark.createDataFrame([(v,) for v in vocabulary], "loan_type string")
-        table.coalesce(1).write.mode("overwrite").parquet(self.path("silver", "loan_types"))
-        return vocabulary
-
-    def vocabulary(self) -> list[str]:
-        path = self.path("silver", "loan_types")
-        if not files.exists(self.spark, path):
-            return []
-        return derivations.vocabulary_list(self.spark.read.schema("loan_type string").parquet(path))
+    def vocabulary(self) -> DataFrame:
+        """Loan types of all months and the rows naming them: what ``loan_types`` is picked from."""
+        return derivations.loan_type_vocabulary(self._stored(FINANCIALS))
 
     def silver_table(
         self, spec: TableSpec, months: Callable[[str], bool] = lambda month: True
     ) -> DataFrame:
         """The wanted months of a silver table, under the same schema for every month.
 
-        A month that was never written is empty. A table whose source has no
-        dates comes without them.
+        A month that was never written is empty. A table whose source has no dates
+        comes whole and without them. Financials have an indicator for each of the
+        run's loan types, made from what silver keeps, so all months have the same.
         """
-        vocabulary = self.vocabulary() if spec is FINANCIALS else []
-        empty = spec.empty_raw(self.spark).withColumn(PERIOD, F.lit(None).cast("date"))
-        empty = layers.silver(spec, empty, self.as_of, vocabulary)
+        rows = self._stored(spec, months)
+        return derivations.loan_type_indicators(rows, self.loan_types) if spec is FINANCIALS else rows
+
+    def _stored(self, spec: TableSpec, months: Callable[[str], bool] = lambda month: True) -> DataFrame:
+        empty = layers.silver(spec, spec.empty_raw(self.spark), self.as_of)
+        dated = empty.withColumn(PERIOD, F.lit(None).cast("date"))
         path = self.path("silver", spec.name)
         written = [p[PERIOD] for p in tables.partition_values(self.spark, path, [PERIOD])]
-        wanted = [month for month in written if months(month)]
-        rows = tables.read_partitions(self.spark, path, PERIOD, wanted, empty.schema)
-        if rows is None:
-            return empty
-        if TIME not in self.spark.read.parquet(f"{path}/{PERIOD}={wanted[0]}").columns:
-            rows = rows.drop(TIME, f"valid_{TIME}")
-        if vocabulary:
-            # months written before a loan type was first seen have no column for it
-            rows = rows.fillna(0, [derivations.indicator_name(v) for v in vocabulary])
-        return rows
+        if not written and files.exists(self.spark, path):
+            return self.spark.read.schema(empty.drop(TIME, f"valid_{TIME}").schema).parquet(path)
+        rows = tables.read_partitions(self.spark, path, PERIOD, [m for m in written if months(m)], dated.schema)
+        return dated if rows is None else rows
 
     # ---- gold -----------------------------------------------------------------
 
@@ -187,11 +191,11 @@ class Run:
 
         # the state of a customer may date from any earlier month
         def past(month: str) -> bool:
-            return month <= self.last.isoformat()
+            return self.last is None or month <= self.last.isoformat()
 
         def recent(month: str) -> bool:
-            oldest = self.first.replace(day=1) - dt.timedelta(fixed.LOOK_BACK_DAYS)
-            return oldest.isoformat() <= month <= self.last.isoformat()
+            oldest = self.first and self.first.replace(day=1) - dt.timedelta(fixed.LOOK_BACK_DAYS)
+            return (oldest is None or oldest.isoformat() <= month) and past(month)
 
         features = layers.feature_store(
             loans.drop(PERIOD),

@@ -8,7 +8,6 @@ months at once. Reading and writing tables is up to ``job``.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,18 +22,24 @@ from creditmart.plans.specs import FINANCIALS, TableSpec
 # ---- bronze -------------------------------------------------------------------
 
 
-def in_calendar(day, first: dt.date, last: dt.date):
-    """Is ``day`` the first of a month from ``first``'s month to ``last``?"""
-    return (day == F.trunc(day, "month")) & day.between(F.trunc(F.lit(first), "month"), F.lit(last))
+def in_calendar(day, first: dt.date | None, last: dt.date | None):
+    """Is ``day`` the first of a month from ``first``'s month to ``last``? Without a limit, of any month."""
+    inside = day == F.trunc(day, "month")
+    if first:
+        inside &= day >= F.trunc(F.lit(first), "month")
+    return inside & (day <= F.lit(last)) if last else inside
 
 
 def month_calendar(span: DataFrame) -> DataFrame:
-    """All first days of a month from ``first`` to ``last`` (columns of ``span``)."""
+    """All first days of a month from ``first`` to ``last`` (columns of ``span``).
+
+    The span has to come from checked dates: they lie between fixed limits.
+    """
     months = F.sequence(F.trunc("first", "month"), F.col("last"), F.expr("INTERVAL 1 MONTH"))
     return span.select(F.explode(months).alias("snapshot_date"))
 
 
-def bronze(raw: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+def bronze(raw: DataFrame, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
     """Raw rows of the calendar's snapshots, all columns as text but the snapshot date.
 
     A source without snapshot dates passes unchanged.
@@ -57,15 +62,14 @@ def silver(
     spec: TableSpec,
     raw: DataFrame,
     as_of: dt.date | None = None,
-    vocabulary: Sequence[str] = (),
 ) -> DataFrame:
     """The kept rows with the table's derived columns."""
-    return spec.derive(kept_rows(flagged(spec, raw, as_of)), vocabulary)
+    return spec.derive(kept_rows(flagged(spec, raw, as_of)))
 
 
 def loan_type_vocabulary(financials_raw: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """Loan types named in the kept rows of a raw or bronze financials table."""
-    return derivations.loan_type_vocabulary(kept_rows(flagged(FINANCIALS, financials_raw, as_of)))
+    return derivations.loan_type_vocabulary(silver(FINANCIALS, financials_raw, as_of))
 
 
 # ---- gold ---------------------------------------------------------------------
@@ -97,7 +101,7 @@ def _features(encoded: DataFrame, table: str, with_flags: bool) -> DataFrame:
     columns = []
     for name in encodings.drop_non_predictive(encoded).columns:
         is_flag = name.startswith("valid_")
-        if name.endswith("_original") or (is_flag and not with_flags):
+        if name.endswith("_original") or name == derivations.LOAN_TYPES or (is_flag and not with_flags):
             continue
         columns.append(f"{name} AS {table}_{name}" if name in shared else quoted(name))
     if with_flags and "valid_credit_mix" in encoded.columns:
@@ -133,12 +137,14 @@ def feature_store(
     clicks = pointintime.LookBack(clickstream)
     # loans give the same (customer, date) pairs as ``base``, without waiting for its distinct
     known = pointintime.timeline(labels.at_month(loans, 0), [*states, clicks])
-    taken = {KEY, TIME}
+    taken = {*APPLICATION_COLUMNS, *(f"avg_{f}_last_6m" for f in fixed.CLICK_FEATURES), clicks.count_name}
     columns = list(APPLICATION_COLUMNS)
     for table, frame in tables.items():
-        new = [c for c in frame.columns if c not in taken]
-        columns += [f"{table}.{quoted(c)} AS {quoted(c)}" for c in new]
-        taken.update(new)
+        for name in (c for c in frame.columns if c not in (KEY, TIME)):
+            # a name that is taken gets the table in front, so that neither column is lost
+            free = f"{table}_{name}" if name in taken else name
+            columns.append(f"{table}.{quoted(name)} AS {quoted(free)}")
+            taken.add(free)
     columns += [f"avg_{feature}_last_6m" for feature in fixed.CLICK_FEATURES]
     columns.append(f"coalesce({clicks.count_name}, 0) AS {clicks.count_name}")
     columns.append("date_format(snapshot_date, 'yyyy-MM-dd') AS feature_snapshot_date")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditmart import fixed_values as fixed
-from creditmart.functions import parsing, project
+from creditmart.functions import checks, parsing, project, quoted
 from creditmart.operators import derivations, encodings, labels, pointintime, quality
 from creditmart.operators.validation import kept_rows, quarantined_rows, type_columns
 from creditmart.plans import layers
@@ -29,6 +29,16 @@ AS_OF = dt.date(2024, 12, 31)
 FIRST = dt.date.fromisoformat(fixed.FIRST_MONTH)
 LAST = dt.date.fromisoformat(fixed.LAST_MONTH)
 
+# the types that the role views name
+LOAN_TYPES = [
+    "Auto Loan",
+    "Credit-Builder Loan",
+    "Home Equity Loan",
+    "Mortgage Loan",
+    "Payday Loan",
+    "Student Loan",
+]
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -38,7 +48,7 @@ def query(build: Query) -> Query:
         casts = {"float": "double", "date": "string"}
         return project(
             result,
-            {name: f"CAST({name} AS {casts[kind]})" for name, kind in result.dtypes if kind in casts},
+            {name: f"CAST({quoted(name)} AS {casts[kind]})" for name, kind in result.dtypes if kind in casts},
         )
 
     QUERIES[build.__name__] = comparable
@@ -66,9 +76,8 @@ def clickstream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def financials(spark: SparkSession, folder: str) -> DataFrame:
-    raw = roles.raw_financials(spark, folder)
-    vocabulary = derivations.vocabulary_list(layers.loan_type_vocabulary(raw, AS_OF))
-    return layers.silver(FINANCIALS, raw, AS_OF, vocabulary)
+    silver = layers.silver(FINANCIALS, roles.raw_financials(spark, folder), AS_OF)
+    return derivations.loan_type_indicators(silver, LOAN_TYPES).drop(derivations.LOAN_TYPES)
 
 
 def features(spark: SparkSession, folder: str, with_flags: bool = False) -> DataFrame:
@@ -102,8 +111,9 @@ def loan_partition_scan(spark, folder):
 
 @query
 def month_calendar(spark, folder):
-    """Every month of the loans' span with its rows, gaps included."""
+    """Every month of the span of the loans' valid dates with its rows, gaps included."""
     days = typed("loan_daily", spark, folder).select("snapshot_date")
+    days = days.where(checks.snapshot_in_range(AS_OF)("snapshot_date"))
     span = days.agg(F.min("snapshot_date").alias("first"), F.max("snapshot_date").alias("last"))
     counts = quality.partition_counts(days)
     return (
@@ -299,7 +309,7 @@ def loan_type_flags(spark, folder):
 
 @query
 def loan_type_pivot(spark, folder):
-    """One indicator column per loan type found in the data."""
+    """One indicator column per loan type."""
     table = financials(spark, folder)
     return table.select("Customer_ID", *(c for c in table.columns if c.startswith("has_")))
 
@@ -440,7 +450,13 @@ def feature_store(spark, folder):
 @query
 def feature_preview(spark, folder):
     """The first ten rows of the feature store."""
-    return tables.preview(features(spark, folder), 10, "loan_id")
+    # one row per application, so the first ten applications have the first ten rows
+    first = tables.preview(layers.applications(loans(spark, folder)), 10, "loan_id").select("loan_id")
+    chosen = labels.at_month(loans(spark, folder), 0).join(first, "loan_id", "left_semi")
+    rows = layers.feature_store(
+        chosen, attributes(spark, folder), financials(spark, folder), clickstream(spark, folder)
+    )
+    return tables.preview(rows, 10, "loan_id")
 
 
 @query
@@ -468,10 +484,10 @@ def high_quality_subset(spark, folder):
 
 @query
 def quality_report(spark, folder):
-    """Share of valid values per table, snapshot and flag."""
+    """Valid, invalid and unknown values per table, snapshot and flag."""
     silver = {"loan_daily": loans, "attributes": attributes, "financials": financials, "clickstream": clickstream}
     reports = [
-        quality.long_quality_report(table(spark, folder), name, "snapshot_date")
+        quality.quality_report(table(spark, folder), name, "snapshot_date")
         for name, table in silver.items()
     ]
     return reduce(DataFrame.unionByName, reports)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +21,7 @@ class TableSpec:
     source: str
     types: dict[str, str]
     rules: tuple[Rule, ...]
-    derive: Callable[[DataFrame, Sequence[str]], DataFrame]
+    derive: Callable[[DataFrame], DataFrame]
     id_strategy: Strategy = Strategy.FLAG_ONLY
     date_strategy: Strategy = Strategy.NULL_VALUE
 
@@ -69,7 +69,7 @@ LOAN_DAILY = TableSpec(
             for amount in ("due_amt", "paid_amt", "overdue_amt", "balance")
         ),
     ),
-    derive=lambda loans, vocabulary: derivations.days_past_due(loans),
+    derive=lambda loans: derivations.days_past_due(loans),
 )
 
 # ---- clickstream ----------------------------------------------------------------
@@ -86,13 +86,13 @@ CLICKSTREAM = TableSpec(
         Rule(feature, checks.non_negative, f"valid_{feature}", Strategy.DEFAULT_VALUE, 0)
         for feature in fixed.CLICK_FEATURES
     ),
-    derive=lambda clicks, vocabulary: clicks,
+    derive=lambda clicks: clicks,
 )
 
 # ---- attributes -----------------------------------------------------------------
 
 
-def _attributes(attributes: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
+def _attributes(attributes: DataFrame) -> DataFrame:
     derived = {}
     if "Age" in attributes.columns:
         derived["Age_capped"] = (
@@ -125,9 +125,9 @@ ATTRIBUTES = TableSpec(
 # ---- financials -----------------------------------------------------------------
 
 
-def _financials(financials: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
+def _financials(financials: DataFrame) -> DataFrame:
     if "Type_of_Loan" in financials.columns:
-        financials = derivations.loan_type_indicators(financials, vocabulary)
+        financials = derivations.loan_types(financials)
     if "Credit_History_Age" in financials.columns:
         valid = checks.within(*fixed.CREDIT_HISTORY_MONTHS_RANGE)("Credit_History_Age_Months")
         financials = derivations.credit_history(financials)

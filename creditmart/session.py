@@ -17,20 +17,15 @@ SETTINGS = {
 }
 
 
-# Partitions a shuffle starts with, per core. The adaptive plan merges small
-# ones; it does not split large ones, so the start has to suit large data.
-_SHUFFLE_PARTITIONS_PER_CORE = 3
-_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-
-
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a session, also one that somebody else made."""
+    """Apply the settings to a session, also one that somebody else made.
+
+    The number of shuffle partitions stays the caller's: spark.sql.shuffle.partitions
+    has to suit the data (about 200 MB each for the largest shuffle), not the cores.
+    The adaptive plan merges small partitions; it does not split large ones.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
-    if spark.conf.get(_INITIAL_PARTITIONS, None) is None:
-        cores = spark.sparkContext.defaultParallelism
-        wanted = max(_SHUFFLE_PARTITIONS_PER_CORE * cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        spark.conf.set(_INITIAL_PARTITIONS, str(wanted))
     return spark
 
 

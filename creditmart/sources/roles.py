@@ -125,16 +125,12 @@ CLICKSTREAM = [
 
 
 def _table(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
-    """A test table, read by at least as many tasks as there are cores.
+    """A test table, dealt out by its key.
 
-    A small table is one file and would be read, and multiplied, by one task.
-    A large one comes in many splits already and is not shuffled.
+    The tables come as one file each, which one task would read and multiply. The
+    plan is the same at every size and on every machine; small shares are merged.
     """
-    table = spark.read.parquet(f"{folder}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() < cores:
-        return table.repartition(cores, key)
-    return table
+    return spark.read.parquet(f"{folder}/{name}.parquet").repartition(key)
 
 
 def raw_loans(spark: SparkSession, folder: str) -> DataFrame:

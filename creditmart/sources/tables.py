@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,16 +46,13 @@ def replace_partitions(
     """
     spark = df.sparkSession
     old = [v for v in partition_values(spark, path, partition_by) if replaces(v)]
-
-    def is_in(values: dict[str, str]) -> Column:
-        return reduce(lambda a, b: a & b, [F.col(c).cast("string") == v for c, v in values.items()])
-
     written = Observation()
-    counts = [F.count_if(is_in(values)).alias(f"rows_{i}") for i, values in enumerate(old)]
+    # as many values as the write makes folders, however many the table has
+    parts = F.collect_set(F.struct(*(F.col(c).cast("string").alias(c) for c in partition_by)))
     if gather:
         df = df.hint("rebalance", *partition_by)
     # observed above the rebalance: a shuffle that turns out empty is cut away with all below it
-    counted = df.observe(written, F.count(F.lit(1)).alias("rows"), *counts)
+    counted = df.observe(written, F.count(F.lit(1)).alias("rows"), parts.alias("parts"))
     if order_within:
         counted = counted.sortWithinPartitions(*partition_by, *order_within)
     (
@@ -65,12 +61,20 @@ def replace_partitions(
         .partitionBy(*partition_by)
         .parquet(path)
     )
-    for i, values in enumerate(old):
-        if written.get[f"rows_{i}"] == 0:
+    new = {tuple(part[c] for c in partition_by) for part in written.get["parts"]}
+    for values in old:
+        if tuple(values[c] for c in partition_by) not in new:
             files.remove(spark, _folder(path, values))
     return written.get["rows"]
 
 
+def replace_table(df: DataFrame, path: str) -> int:
+    """Write ``df`` as the whole content of a table without partitions; its row count."""
+    written = Observation()
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return written.get["rows"]
+
+
 def read_partitions(
     spark: SparkSession,
     path: str,

@@ -316,12 +316,19 @@ SNAPSHOT = "CAST(snapshot_date AS VARCHAR) AS snapshot_date"
 
 
 def _quality(table: str, flags: list[str]) -> str:
-    shares = ", ".join(f"avg(CAST({f} AS INTEGER)) AS {f.replace('valid_', 'pct_valid_', 1)}" for f in flags)
-    names = ", ".join(f.replace("valid_", "pct_valid_", 1) for f in flags)
-    return f"""
-      SELECT '{'loan_daily' if table == 'loans' else table}' AS source, {SNAPSHOT}, metric, share
-      FROM (SELECT snapshot_date, {shares} FROM {table} GROUP BY snapshot_date)
-        UNPIVOT INCLUDE NULLS (share FOR metric IN ({names}))"""
+    source = "loan_daily" if table == "loans" else table
+    parts = [
+        f"""
+      SELECT '{source}' AS source, {SNAPSHOT}, '{flag}' AS flag,
+        count(*) FILTER (WHERE {flag}) AS rows_valid,
+        count(*) FILTER (WHERE NOT {flag}) AS rows_invalid,
+        count(*) FILTER (WHERE {flag} IS NULL) AS rows_unknown,
+        CASE WHEN count({flag}) > 0
+          THEN CAST(count(*) FILTER (WHERE {flag}) AS DOUBLE) / count({flag}) END AS share_valid
+      FROM {table} GROUP BY snapshot_date"""
+        for flag in flags
+    ]
+    return " UNION ALL ".join(parts)
 
 
 COMMON_FLAGS = ["valid_customer_id", "valid_snapshot_date"]
@@ -357,7 +364,7 @@ BODIES = {
     "month_calendar": """
       SELECT CAST(m.d AS VARCHAR) AS snapshot_date, count(l.snapshot_date) AS rows
       FROM (SELECT CAST(unnest(generate_series(min(snapshot_date), max(snapshot_date), INTERVAL 1 MONTH)) AS DATE) AS d
-        FROM typed_loans) m LEFT JOIN typed_loans l ON l.snapshot_date = m.d GROUP BY m.d""",
+        FROM typed_loans WHERE snapshot_date BETWEEN DATE '2020-01-01' AND DATE '2024-12-31') m LEFT JOIN typed_loans l ON l.snapshot_date = m.d GROUP BY m.d""",
     "partition_counts": "\nUNION ALL ".join(
         f"SELECT '{source}' AS source, {SNAPSHOT}, count(*) AS rows FROM {table} GROUP BY snapshot_date"
         for source, table in [

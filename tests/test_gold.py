@@ -90,7 +90,9 @@ def test_counts_add_up(spark):
         assert row.rows_in == row.rows_kept + row.rows_dropped + row.rows_quarantined
 
 
-def test_quality_report_is_one_row_overall(spark):
-    (row,) = quality.quality_report(queries.attributes(spark, SF)).collect()
-    assert set(row.asDict()) == {"pct_valid_customer_id", "pct_valid_snapshot_date", "pct_valid_age", "pct_valid_ssn"}
-    assert 0 < row.pct_valid_age < 1
+def test_quality_report_counts_unknown_values(spark):
+    df = spark.createDataFrame([("d", True), ("d", False), ("d", None), ("e", None)], "day string, valid_x boolean")
+    rows = {r.day: r for r in quality.quality_report(df, "t", "day").collect()}
+    d, e = rows["d"], rows["e"]
+    assert (d.source, d.flag, d.rows_valid, d.rows_invalid, d.rows_unknown, d.share_valid) == ("t", "valid_x", 1, 1, 1, 0.5)
+    assert (e.rows_valid, e.rows_unknown, e.share_valid) == (0, 1, None)

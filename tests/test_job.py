@@ -6,7 +6,7 @@ import os
 
 import pytest
 
-from creditmart.plans import job
+from creditmart.plans import job, layers
 from creditmart.plans.specs import TABLES
 from creditmart.sources import extracts, tables
 
@@ -149,7 +149,7 @@ def test_new_loan_types_join_the_vocabulary(spark, raw, tmp_path):
     run(spark, raw, tmp_path)
     write_csv(raw, "features_financials", [financial("CUS_0x2", "2023-02-01", Type_of_Loan="Student Loan")])
     later = run(spark, raw, tmp_path, first=dt.date(2023, 2, 1), last=dt.date(2023, 2, 1))
-    assert later.vocabulary() == ["Auto Loan", "Student Loan"]
+    assert {r.loan_type for r in later.vocabulary().collect()} == {"Auto Loan", "Student Loan"}
     rows = {r.Customer_ID: r for r in later.silver_table(TABLES["financials"]).collect()}
     assert (rows["CUS_0x1"].has_auto_loan, rows["CUS_0x1"].has_student_loan) == (1, 0)
     assert (rows["CUS_0x2"].has_auto_loan, rows["CUS_0x2"].has_student_loan) == (0, 1)
@@ -175,6 +175,58 @@ def test_source_without_dates(spark, raw, tmp_path):
     assert {r.loan_id: r.Age for r in done.feature_store().collect()} == {"LN1": 30, "LN2": 40}
 
 
+def test_month_by_month_gives_the_same_loan_types(spark, raw, tmp_path):
+    first = financial("CUS_0x1", "2023-01-01", Type_of_Loan="Second Home Loan")
+    second = financial("CUS_0x2", "2023-02-01", Type_of_Loan="Home Loan")
+    write_csv(raw, "features_financials", [first, second])
+    settings = dict(loan_types=["Home Loan"])
+    whole = run(spark, raw, tmp_path, **settings)
+    for month in (JANUARY, dt.date(2023, 2, 1)):
+        parts = run(spark, raw, tmp_path, run_id="parts", first=month, last=month, **settings)
+    for done in (whole, parts):
+        rows = {r.Customer_ID: r.has_home_loan for r in done.silver_table(TABLES["financials"]).collect()}
+        assert rows == {"CUS_0x1": 1, "CUS_0x2": 1}
+
+
+def test_undated_source_month_by_month(spark, raw, tmp_path):
+    undated = [{k: v for k, v in r.items() if k != "snapshot_date"} for r in RAW["features_attributes"]]
+    write_csv(raw, "features_attributes", undated + undated[:1])
+    write_csv(raw, "lms_loan_daily", loan(1, "CUS_0x1", 1) + loan(2, "CUS_0x2", 2))
+    whole = run(spark, raw, tmp_path)
+    for month in (JANUARY, dt.date(2023, 2, 1)):
+        parts = run(spark, raw, tmp_path, run_id="parts", first=month, last=month)
+    assert sorted(r.loan_id for r in parts.feature_store().collect()) == ["LN1", "LN2"]
+    assert content(parts.feature_store()) == content(whole.feature_store())
+
+
+def test_all_months_by_default(spark, raw, tmp_path):
+    done = run(spark, raw, tmp_path, first=None, last=None)
+    assert done.rows["bronze.lms_loan_daily"] == len(LOANS)
+    assert {r.loan_id for r in done.feature_store().collect()} == {"LN1", "LN2"}
+
+
+def test_colliding_columns_are_kept(spark, raw, tmp_path):
+    write_csv(raw, "features_attributes", [{**r, "note": "a"} for r in RAW["features_attributes"]])
+    write_csv(raw, "features_financials", [{**r, "note": "f"} for r in RAW["features_financials"]])
+    for name in ("features_attributes", "features_financials"):
+        assert "note" in extracts.read_extract(spark, f"{raw}/{name}.csv").columns
+    done = run(spark, raw, tmp_path)
+    attributes, financials = (spark.read.parquet(done.path("silver", t)) for t in ("attributes", "financials"))
+    loans = done.silver_table(TABLES["loan_daily"])
+    clicks = done.silver_table(TABLES["clickstream"])
+    frames = [frame.drop("period") for frame in (loans, attributes, financials, clicks)]
+    row = layers.feature_store(*frames).where("loan_id = 'LN1'").first()
+    assert (row.note, row.financials_note) == ("a", "f")
+
+
+def test_many_partitions_take_one_observation(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(500).selectExpr("id", "CAST(id AS STRING) AS d")
+    assert tables.replace_partitions(df, path, ["d"], lambda p: True) == 500
+    assert tables.replace_partitions(df.where("id < 3"), path, ["d"], lambda p: True) == 3
+    assert len(tables.partition_values(spark, path, ["d"])) == 3
+
+
 def test_extra_and_missing_columns(spark, raw, tmp_path):
     rows = [{**{k: v for k, v in r.items() if k != "SSN"}, "note": "x"} for r in RAW["features_attributes"]]
     write_csv(raw, "features_attributes", rows)
@@ -188,6 +240,7 @@ def test_off_calendar_rows_stay_out(spark, raw, tmp_path):
     write_csv(raw, "feature_clickstream", [click("CUS_0x1", d, "1") for d in ("2023-01-15", "2022-12-01", "junk", "2023-02-01")])
     done = run(spark, raw, tmp_path, only=["bronze"])
     assert done.rows["bronze.feature_clickstream"] == 1
+    assert done.rows["bronze.feature_clickstream.left_out"] == 3
 
 
 def test_parameters(spark, raw, tmp_path):

@@ -4,9 +4,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from creditmart.plans.queries import QUERIES
+from oracles import ORACLE_SQL as ORACLES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
