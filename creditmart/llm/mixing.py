@@ -120,7 +120,8 @@ def mix(docs: DataFrame) -> DataFrame:
     Documents of size 0 have no words to mix and leave, as do rows without a doc_id,
     which no decision can name.
     """
-    copies = mixed(docs.where("doc_id IS NOT NULL")).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("copies").alias("_copies"))
-    once = copies.groupBy("_id").agg(F.max("_copies").alias("_copies"))
-    rows = docs.join(once, F.col("doc_id") == F.col("_id"))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    found = mixed(docs.where("doc_id IS NOT NULL")).where("copies > 0")
+    once = found.groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").cast("int").alias("_copies"))
+    whole = docs.select(F.col("doc_id").alias("_own"), F.struct(*map(F.col, docs.columns)).alias("_row"))
+    rows = whole.join(once, F.col("_own") == F.col("_id"))
+    return rows.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")

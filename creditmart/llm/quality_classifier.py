@@ -161,7 +161,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     by_id = known.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("quality").cast("int").alias("label"))
     sample = by_id.orderBy(F.xxhash64("_id"), "_id").limit(sample_rows)
     # at most ``sample_rows`` ids and labels
-    texts = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
     texts = texts.select(F.col("_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "label")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -131,16 +131,9 @@ def log_ratios(rows: DataFrame) -> DataFrame:
     return whole.select(F.transform("all", ratio).alias("ratios"))
 
 
-def judged(docs: DataFrame, min_ratio: float = MIN_RATIO) -> DataFrame:
-    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, log_ratio and kept.
-
-    Null, empty and blank texts have no words and fail the base rules; log_ratio is then
-    0. Repeated rows are judged alike and each counts in the raw corpus. Other columns
-    stay; one that is named like a result gives way to it. An empty table stays empty.
-    """
-    clean = docs.select(*(c for c in docs.columns if c not in RESULTS))
-    rows = measured(clean)
+def _verdicts(docs: DataFrame, min_ratio: float) -> DataFrame:
+    """The rows of ``docs`` as the struct ``_row``, beside what was found about each."""
+    rows = measured(docs.select(F.struct(*map(F.col, docs.columns)).alias("_row"), "text"))
     ratios = log_ratios(measured(docs.select("text"))).first()["ratios"]  # BUCKETS numbers, whatever the corpus
     table = F.split(F.lit(",".join(f"{ratio:.6f}" for ratio in ratios)), ",").cast("array<double>")
     mean = F.aggregate("_features", F.lit(0.0), lambda total, bucket: total + table[bucket])
@@ -149,7 +142,24 @@ def judged(docs: DataFrame, min_ratio: float = MIN_RATIO) -> DataFrame:
     scored = rows.withColumns({"base_failed": failed, "log_ratio": ratio})
     scored = scored.withColumn("kept", ~F.col("base_failed") & (F.col("log_ratio") >= min_ratio))
     # results leave through a generator, so that a filter on them is not moved below and computed again
-    return scored.select(*clean.columns, F.inline_outer(F.array(F.struct(*RESULTS))))
+    return scored.select("_row", F.inline_outer(F.array(F.struct(*RESULTS))))
+
+
+def judged(docs: DataFrame, min_ratio: float = MIN_RATIO) -> DataFrame:
+    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    base_failed, log_ratio and kept.
+
+    Null, empty and blank texts have no words and fail the base rules; log_ratio is then
+    0. Repeated rows are judged alike and each counts in the raw corpus. Other columns
+    stay; one that is named like a result gives way to it. An empty table stays empty.
+    """
+    own = [F.col("_row").getField(c).alias(c) for c in docs.columns if c not in RESULTS]
+    return _verdicts(docs, min_ratio).select(*own, *RESULTS)
+
+
+def kept(docs: DataFrame, min_ratio: float = MIN_RATIO) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, all columns as they are."""
+    return _verdicts(docs, min_ratio).where("kept").select("_row.*")
 
 
 RESULTS = (

@@ -125,24 +125,24 @@ def redacted(docs: DataFrame, max_chars_per_token: float = MAX_CHARS_PER_TOKEN,
     ``n_chars``, where there is one, is counted anew for texts that change.
     """
     schema = docs.schema
-    position = schema.fieldNames().index("text")
+    names = schema.fieldNames()
+    position = names.index("text")
+    counted = names.index("n_chars") if "n_chars" in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(ranks_path)
         for batch in batches:
-            column = batch.column(position)
-            kept = [
+            before = batch.column(position)
+            after = [
                 value if value is None else masked(value, spans(value, coder, max_chars_per_token))
-                for value in (item.as_py() for item in column)
+                for value in (item.as_py() for item in before)
             ]
             columns = list(batch.columns)
-            columns[position] = pa.array(kept, column.type)
+            columns[position] = pa.array(after, before.type)
+            if counted is not None:
+                known = zip(batch.column(counted).to_pylist(), before, after, strict=True)
+                anew = [n if n is None or old.as_py() == new else type(n)(len(new)) for n, old, new in known]
+                columns[counted] = pa.array(anew, batch.column(counted).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    if "n_chars" not in docs.columns:
-        return docs.mapInArrow(run, schema)
-    before = docs.withColumn("_before", F.length("text"))
-    schema = before.schema
-    changed = (F.length("text") != F.col("_before")) & F.col("n_chars").isNotNull()
-    counted = F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return before.mapInArrow(run, schema).withColumn("n_chars", counted).select(*docs.columns)
+    return docs.mapInArrow(run, schema)

@@ -248,8 +248,8 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     """
     found = near_duplicates(docs.where("doc_id IS NOT NULL"))
     keepers = found.groupBy("component_id").agg(F.min("doc_id").alias("_kept")).select("_kept").distinct()
-    rows = docs.join(keepers, F.col("doc_id") == F.col("_kept"), "left_semi")
-    content = [F.xxhash64(c) for c in rows.columns if c != "doc_id"]
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(*content))
-    first = rows.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    whole = docs.select(F.col("doc_id").alias("_own"), F.struct(*map(F.col, docs.columns)).alias("_row"))
+    rows = whole.join(keepers, F.col("_own") == F.col("_kept"), "left_semi")
+    rank = F.row_number().over(Window.partitionBy("_own").orderBy(F.xxhash64("_row")))
+    first = rows.withColumn("_rank", rank).where("_rank = 1").select("_row.*")
     return first.unionByName(docs.where("doc_id IS NULL"))

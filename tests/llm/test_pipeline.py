@@ -2,6 +2,8 @@
 
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from creditmart.llm import mixing, quality_rules, secret_scan, simhash_dedup
 from creditmart.llm.tokenizing import encoder
@@ -45,11 +47,15 @@ def test_odd_rows(spark):
     text = " ".join(f"some word{i}" for i in range(40))
     rows = [(1, text, "en", "a", 5), (1, text, "en", "a", 5), (None, text, None, None, None), (2, None, "en", "a", 0),
             (3, "", "en", None, 0), (4, text + " more", None, "b", None), (5, "z " * 100_000, "en", "b", 1)]
-    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, size string")
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, kept string")
+    clashing = ("_row", "_words", "_features", "_copies", "_kept", "_rank", "_id", "_own", "size", "fp", "target", "bucket")
+    for name in clashing:
+        df = df.withColumn(name, F.lit("mine"))
     for rows_of in (df, df.where("doc_id = 77")):
         docs = rows_of
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, SF)
             assert name == "packing" or out.columns == df.columns
+            assert name == "packing" or out.where("kept <> 'x' OR _row <> 'mine' OR target <> 'mine'").count() == 0
             docs = spark.createDataFrame(out.collect(), out.schema)
         assert rows_of is df or docs.count() == 0
