@@ -19,7 +19,7 @@ def _month_start(months: str) -> str:
 
 
 _CUSTOMER_ID = "concat('CUS_0x', lower(hex({key})))"
-_CUSTOMER_SNAPSHOT = f"CAST({_month_start('c_custkey*7 % 60')} AS STRING) AS snapshot_date"
+_CUSTOMER_SNAPSHOT = f"CAST({_month_start('months')} AS STRING) AS snapshot_date"
 _CLICK_SNAPSHOT = f"CAST({_month_start('event_id*11 % 84')} AS STRING) AS snapshot_date"
 
 # ---- loans: one order gives one row per month on book k -------------------------
@@ -61,10 +61,22 @@ LOANS = [
     " ELSE concat(day(sd), '/', month(sd), '/', year(sd) % 100) END AS snapshot_date",
 ]
 
+# ---- snapshots of customers: one customer gives several, some give none ------------
+
+# k = 3 falls on the day of k = 0, with other values
+ATTRIBUTE_SNAPSHOTS, FINANCIAL_SNAPSHOTS = 4, 3
+WITHOUT_SNAPSHOTS = "c_custkey % 29 = 0"
+SNAPSHOTS = [
+    "c_custkey AS id_key",
+    "c_custkey + 7*k AS c_custkey",
+    "c_name",
+    "(c_custkey*7 + 13*(k % 3)) % 60 AS months",
+]
+
 # ---- attributes -----------------------------------------------------------------
 
 ATTRIBUTES = [
-    f"{_CUSTOMER_ID.format(key='c_custkey')} AS Customer_ID",
+    f"{_CUSTOMER_ID.format(key='id_key')} AS Customer_ID",
     "c_name AS Name",
     "CASE c_custkey % 50 WHEN 1 THEN '-500' WHEN 2 THEN '8698' WHEN 3 THEN NULL WHEN 4 THEN '120'"
     " WHEN 5 THEN concat(CAST(18 + c_custkey*13 % 60 AS STRING),'_')"
@@ -79,7 +91,7 @@ ATTRIBUTES = [
 # ---- financials -----------------------------------------------------------------
 
 FINANCIALS = [
-    f"{_CUSTOMER_ID.format(key='c_custkey')} AS Customer_ID",
+    f"{_CUSTOMER_ID.format(key='id_key')} AS Customer_ID",
     "CASE c_custkey % 40 WHEN 0 THEN '500' WHEN 1 THEN '24000000' WHEN 2 THEN NULL WHEN 3 THEN '5000'"
     " WHEN 4 THEN '1,250_00' ELSE concat(CAST(15000 + c_custkey*37 % 90000 AS STRING),'_') END AS Annual_Income",
     "CASE c_custkey % 41 WHEN 0 THEN '50' WHEN 1 THEN '2000000' WHEN 2 THEN NULL"
@@ -139,12 +151,17 @@ def raw_loans(spark: SparkSession, folder: str) -> DataFrame:
     return months.selectExpr(*LOAN_MONTHS).selectExpr(*LOAN_AMOUNTS).selectExpr(*LOANS)
 
 
+def _customer_snapshots(spark: SparkSession, folder: str, number: int) -> DataFrame:
+    customers = _table(spark, folder, "customer", "c_custkey").where(f"NOT {WITHOUT_SNAPSHOTS}")
+    return customers.selectExpr("c_custkey", "c_name", f"explode(sequence(0, {number - 1})) AS k").selectExpr(*SNAPSHOTS)
+
+
 def raw_attributes(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "customer", "c_custkey").selectExpr(*ATTRIBUTES, _CUSTOMER_SNAPSHOT)
+    return _customer_snapshots(spark, folder, ATTRIBUTE_SNAPSHOTS).selectExpr(*ATTRIBUTES, _CUSTOMER_SNAPSHOT)
 
 
 def raw_financials(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "customer", "c_custkey").selectExpr(*FINANCIALS, _CUSTOMER_SNAPSHOT)
+    return _customer_snapshots(spark, folder, FINANCIAL_SNAPSHOTS).selectExpr(*FINANCIALS, _CUSTOMER_SNAPSHOT)
 
 
 def raw_clickstream(spark: SparkSession, folder: str) -> DataFrame:

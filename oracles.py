@@ -20,7 +20,15 @@ def _month_start(months: str) -> str:
     return f"make_date(2020 + CAST(floor(({months})/12.0) AS INT), CAST(({months}) % 12 AS INT) + 1, 1)"
 
 
-_CUSTOMER_SNAPSHOT = f"CAST({_month_start('c_custkey*7 % 60')} AS STRING) AS snapshot_date"
+_CUSTOMER_SNAPSHOT = f"CAST({_month_start('months')} AS STRING) AS snapshot_date"
+
+
+def _snapshots(ks: str) -> str:
+    return f"""
+      SELECT c_custkey AS id_key, c_custkey + 7*k AS c_custkey, c_name, (c_custkey*7 + 13*(k % 3)) % 60 AS months
+      FROM customer, (SELECT unnest([{ks}]) AS k) WHERE c_custkey % 29 <> 0"""
+
+
 
 RAW = {
     "raw_loans": f"""
@@ -41,8 +49,8 @@ RAW = {
         CASE WHEN ok % 2 = 0 THEN CAST(sd AS STRING)
           ELSE concat(CAST(day(sd) AS STRING),'/',CAST(month(sd) AS STRING),'/',CAST(year(sd) % 100 AS STRING))
           END snapshot_date FROM f""",
-    "raw_attributes": f"SELECT {_lines(roles.ATTRIBUTES)}, {_CUSTOMER_SNAPSHOT} FROM customer",
-    "raw_financials": f"SELECT {_lines(roles.FINANCIALS)}, {_CUSTOMER_SNAPSHOT} FROM customer",
+    "raw_attributes": f"SELECT {_lines(roles.ATTRIBUTES)}, {_CUSTOMER_SNAPSHOT} FROM ({_snapshots('0, 1, 2, 3')})",
+    "raw_financials": f"SELECT {_lines(roles.FINANCIALS)}, {_CUSTOMER_SNAPSHOT} FROM ({_snapshots('0, 1, 2')})",
     "raw_clickstream": f"""
       SELECT {_lines(roles.CLICKSTREAM)}, CAST({_month_start('event_id*11 % 84')} AS STRING) AS snapshot_date
       FROM events""",
@@ -263,7 +271,11 @@ GOLD = {
       SELECT loan_id, Customer_ID, CASE WHEN dpd >= t.theta THEN 1 ELSE 0 END AS label,
         concat(t.theta, 'dpd_', mob, 'mob') AS label_def, snapshot_date
       FROM loans, (VALUES (30), (60), (90)) AS t(theta) WHERE mob IN (3, 6, 9)""",
-    "attribute_features": f"SELECT *, {PMET_FLAG} FROM attributes",
+    # of several rows of a customer on one day the greatest counts
+    "attribute_features": f"""
+      SELECT *, {PMET_FLAG} FROM attributes
+      QUALIFY row_number() OVER (PARTITION BY Customer_ID, snapshot_date
+        ORDER BY Age DESC NULLS LAST, Occupation DESC NULLS LAST) = 1""",
     "financial_features": f"SELECT *, {PAYMENT}, {MIN_PAYMENT}, {MIX} FROM financials",
     "click_windows": f"""
       SELECT a.loan_id, a.Customer_ID, a.snapshot_date,
@@ -422,8 +434,8 @@ BODIES = {
         CAST(first_missed_date AS VARCHAR) AS first_missed_date, dpd FROM loans""",
     "loan_type_vocab": f"""
       SELECT loan_type, count(*) AS customers FROM (
-        SELECT DISTINCT Customer_ID, trim(unnest(string_split(replace(Type_of_Loan, ' and ', ','), ','))) AS loan_type
-        FROM ({_KEPT})) WHERE contains(loan_type, 'Loan') GROUP BY loan_type""",
+        SELECT DISTINCT row_id, trim(unnest(string_split(replace(Type_of_Loan, ' and ', ','), ','))) AS loan_type
+        FROM (SELECT *, row_number() OVER () AS row_id FROM ({_KEPT}))) WHERE contains(loan_type, 'Loan') GROUP BY loan_type""",
     "loan_type_flags": "SELECT Customer_ID, Type_of_Loan, valid_type_of_loan, has_any_loan FROM financials",
     "loan_type_pivot": f"SELECT Customer_ID, {_lines(list(HAS.values()))}, has_any_loan FROM financials",
     "credit_history_months": """
@@ -440,7 +452,9 @@ BODIES = {
     "applications_mob0": f"SELECT loan_id, Customer_ID, {SNAPSHOT}, mob FROM applications",
     "left_join_customer": """
       SELECT a.loan_id, a.Customer_ID, CAST(a.snapshot_date AS VARCHAR) AS snapshot_date, a.mob, t.Age, t.Occupation
-      FROM applications a LEFT JOIN attributes t ON a.Customer_ID = t.Customer_ID""",
+      FROM applications a LEFT JOIN (
+        SELECT * FROM attributes QUALIFY row_number() OVER (PARTITION BY Customer_ID
+          ORDER BY Age DESC NULLS LAST, Occupation DESC NULLS LAST) = 1) t ON a.Customer_ID = t.Customer_ID""",
     "pit_join_attributes": """
       SELECT a.loan_id, a.Customer_ID, CAST(a.snapshot_date AS VARCHAR) AS snapshot_date, a.mob, t.Age, t.Occupation,
         CAST(t.snapshot_date AS VARCHAR) AS source_date
@@ -449,7 +463,7 @@ BODIES = {
     "asof_attributes": """
       SELECT a.loan_id, a.Customer_ID, CAST(a.snapshot_date AS VARCHAR) AS snapshot_date, a.mob, t.Age, t.Occupation,
         CAST(t.snapshot_date AS VARCHAR) AS source_date
-      FROM applications a ASOF LEFT JOIN attributes t
+      FROM applications a ASOF LEFT JOIN attribute_features t
         ON a.Customer_ID = t.Customer_ID AND a.snapshot_date >= t.snapshot_date""",
     "asof_financials": """
       SELECT a.loan_id, a.Customer_ID, CAST(a.snapshot_date AS VARCHAR) AS snapshot_date, a.mob,

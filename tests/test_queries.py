@@ -42,3 +42,21 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_history_fans_out_and_the_latest_does_not(spark):
+    rows = {name: QUERIES[name](spark, SF).count() for name in ("applications_mob0", "pit_join_attributes", "asof_attributes")}
+    assert rows["pit_join_attributes"] > rows["asof_attributes"] == rows["applications_mob0"]
+
+
+def test_building_a_query_reads_schemas_only(spark):
+    context = spark.sparkContext
+    context.setJobGroup("building", "building")
+    try:
+        for name in ("silver_financials", "feature_store", "training_set", "quality_report"):
+            QUERIES[name](spark, SF)
+        tracker = context.statusTracker()
+        stages = [s for job in tracker.getJobIdsForGroup("building") for s in tracker.getJobInfo(job).stageIds]
+        assert all(tracker.getStageInfo(s).name.startswith("parquet at") for s in stages)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
