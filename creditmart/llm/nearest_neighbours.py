@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 NEIGHBOURS = 5
-TABLES = 8
+TABLES = 10
 HASHES = 8
 WIDTH = 2.0
 PROBES = 75
