@@ -236,8 +236,12 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, bucket_rows: int =
                            F.col("fp") == F.col("node")).select("fp", "least", "root")
     reach = linked.groupBy("root").agg(F.min("least").alias("reached"))
     joined = linked.join(reach, "root").select("fp", "reached")
-    final = distinct.join(joined, "fp", "left").select("fp", F.coalesce("reached", "least").alias("component_id"))
-    return rows.join(final, "fp").select("doc_id", "fp", "component_id")
+    final = distinct.join(joined, "fp", "left")
+    # a key of its own gives the join a shuffle of its own, whose hot fingerprints the adaptive
+    # skew join can split; fed by the aggregate's partitions it could not
+    key = F.col("fp").bitwiseXOR(F.lit(1))
+    final = final.select(key.alias("_key"), F.coalesce("reached", "least").alias("component_id"))
+    return rows.join(final, key == F.col("_key")).select("doc_id", "fp", "component_id")
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
