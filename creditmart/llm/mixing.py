@@ -22,6 +22,14 @@ WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 BINS = 16_384
 SEED = "mix-1"
+#: Tables of one row per source are broadcast up to so many sources, and joined with a shuffle beyond.
+BROADCAST_SOURCES = 50_000
+
+
+def _per_source(rows: DataFrame) -> DataFrame:
+    """A table of one row per source, broadcast where its counted size allows."""
+    kept = durable(rows)
+    return F.broadcast(kept) if kept.count() <= BROADCAST_SOURCES else kept
 
 
 def uniform(doc_id: Column, seed: str = SEED) -> Column:
@@ -89,7 +97,7 @@ def mixed(docs: DataFrame, size: Column | None = None) -> DataFrame:
     keyed = rows.withColumn("same", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
     odds = F.col("u") / (1 - F.col("u"))
     wanted = F.greatest(F.col("p"), F.lit(1e-12)) / (1 - F.least("p", F.lit(1 - 1e-12)))
-    placed = keyed.join(goal.drop("source"), "same").withColumn("rank", odds / wanted)
+    placed = keyed.join(_per_source(goal.drop("source")), "same").withColumn("rank", odds / wanted)
     placed = placed.withColumn("bin", F.floor(F.col("rank") / (1 + F.col("rank")) * BINS).cast("int"))
 
     sums = placed.where("rest > 0 AND size > 0").groupBy("same", "bin", "rest").agg(F.sum("size").alias("bin_size"))
@@ -98,7 +106,7 @@ def mixed(docs: DataFrame, size: Column | None = None) -> DataFrame:
     border = reached.where("before < rest AND before + bin_size >= rest").select(
         "same", F.col("bin").alias("border"), F.col("before").alias("border_before")
     )
-    split = placed.join(border, "same", "left")
+    split = placed.join(_per_source(border), "same", "left")
     columns = ["doc_id", "source", "size", "source_size", "target", "copies"]
     whole = split.where("size = 0 OR rest <= 0 OR border IS NULL OR bin <> border")
     whole = whole.withColumn("extra", F.expr("size > 0 AND rest > 0 AND (border IS NULL OR bin < border)"))
