@@ -33,7 +33,7 @@ TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 STEP_WINDOWS = 64
 #: Pieces that are ranked together.
-RANKED_TOGETHER = 20_000
+RANKED_TOGETHER = 5_000
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
