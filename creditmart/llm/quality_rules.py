@@ -5,9 +5,9 @@ shuffle carries n-gram counts, which are combined on the map side into at most
 ``BUCKETS`` rows a task. The ratio of the two multinomials is one array of ``BUCKETS``
 numbers, so its size does not depend on the corpus.
 
-The n-grams are words, and pairs of neighbours by their shape: letters read as a or A,
-digits as 0. Shapes are few, so their counts are firm at any size of the corpus and
-tell texts of words from lists, shouting and symbols in every language.
+The n-grams are words, and pairs of marks: what words leave without their letters
+(commas, digits, symbols), each with the next. Marks are few, so their counts are firm at
+any size of the corpus and tell prose from lists, shouting and symbols in every language.
 
 Trusted texts, which make up the target multinomial, are those that pass strict rules
 of form (``TRUSTED``); the raw multinomial counts every text. Rules need no join, so
@@ -25,15 +25,15 @@ BUCKETS = 16_384
 #: Added to each bucket of both multinomials.
 SMOOTHING = 1.0
 #: Documents whose mean log ratio is below are rejected.
-MIN_RATIO = -0.30
+MIN_RATIO = -0.60
 #: Form of a text whose n-grams count for the target.
 TRUSTED = (
     "n_words >= 20 AND 100 * n_symbols <= n_words"
     " AND 100 * n_capitals <= 40 * n_words AND 100 * n_exclaimed <= 5 * n_words"
 )
 
-#: What runs of characters are replaced with in the shape of a word, one after the other.
-SHAPES = {r"[\p{Ll}\p{Lo}\p{M}\p{Lt}\p{Lm}]+": "a", r"\p{Lu}+": "A", r"\p{N}+": "0"}
+#: What a word loses to leave its marks.
+LETTERS = r"[\p{L}\p{M}]+"
 
 WINDOW_WORDS = 5
 MIN_WORDS = 10
@@ -80,25 +80,25 @@ def _windows(items: Column, size: int) -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """``docs`` with the counts of the rules and, as ``_features``, hashed words and pairs of shapes."""
+    """``docs`` with the counts of the rules and, as ``_features``, hashed words and pairs of marks."""
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    shapes = text
-    for letters, shape in SHAPES.items():
-        shapes = F.regexp_replace(shapes, letters, shape)
-    own = docs.withColumns({"_words": words(F.col("text")), "_lines": lines, "_shapes": words(shapes)})
+    own = docs.withColumns(
+        {"_words": words(F.col("text")), "_lines": lines, "_marks": F.regexp_replace(text, LETTERS, "")}
+    )
+    own = own.withColumn("_mark_words", words(F.col("_marks")))
     own = own.withColumn("_hashes", F.transform("_words", lambda word: F.xxhash64(word)))
     own = own.withColumn("_grams", _windows(F.col("_hashes"), WINDOW_WORDS))
-    pairs = _windows(F.col("_shapes"), 2)
+    pairs = _windows(F.col("_mark_words"), 2)
     return own.select(
         *docs.columns,
         F.size("_words").cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
-        F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
+        F.regexp_count("_marks", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         _repeat_words(F.col("_grams")).cast("long").alias("n_repeat_words"),
         F.regexp_count(text, F.lit(r"\p{Lu}\p{Lu}+")).cast("long").alias("n_capitals"),
-        F.regexp_count(text, F.lit(r"[!?]{2,}")).cast("long").alias("n_exclaimed"),
+        F.regexp_count("_marks", F.lit(r"[!?]{2,}")).cast("long").alias("n_exclaimed"),
         F.transform(F.concat("_hashes", pairs), lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int")).alias("_features"),
     )
 

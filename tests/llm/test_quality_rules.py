@@ -55,16 +55,14 @@ def counts(text):
 
 def features(text):
     hashes = [signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in WORDS.findall(text or "")]
-    shapes = text or ""
-    for letters, shape in quality_rules.SHAPES.items():
-        shapes = regex.sub(letters, shape, shapes)
-    shapes = WORDS.findall(shapes)
-    return [h % quality_rules.BUCKETS for h in hashes + [chained(p) for p in zip(shapes, shapes[1:])]]
+    marks = WORDS.findall(regex.sub(quality_rules.LETTERS, "", text or ""))
+    return [h % quality_rules.BUCKETS for h in hashes + [chained(p) for p in zip(marks, marks[1:])]]
 
 
 def trusted(text):
     c = counts(text)
-    capitals, exclaimed = len(re.findall(r"[A-Z]{2,}", text or "")), len(re.findall(r"[!?]{2,}", text or ""))
+    capitals = len(re.findall(r"[A-Z]{2,}", text or ""))
+    exclaimed = len(re.findall(r"[!?]{2,}", regex.sub(quality_rules.LETTERS, "", text or "")))
     return (
         c["n_words"] >= 20 and 100 * c["n_symbols"] <= c["n_words"]
         and 100 * capitals <= 40 * c["n_words"] and 100 * exclaimed <= 5 * c["n_words"]
