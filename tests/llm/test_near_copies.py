@@ -1,0 +1,70 @@
+"""The pipeline's near-duplicate stage against exact Jaccard similarities of all pairs."""
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from creditmart.llm import near_copies, simhash_dedup
+
+
+def near_copy(words, changes):
+    words = list(words)
+    for at in changes:
+        words[at] = f"other{at}"
+    return " ".join(words)
+
+
+def brute_kept(rows):
+    root = {i: i for i, _ in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    sets = {i: near_copies.shingles(t.encode()) for i, t in rows}
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if a < b and both >= 0.8 * len(sets[a] | sets[b]):
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    return sorted({find(i) for i in root})
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(3)
+    texts = []
+    for _ in range(12):
+        words = [f"w{rng.randrange(5000)}" for _ in range(200)]
+        texts.append(" ".join(words))
+        # each change takes five of 196 shingles: 0.95, 0.90, 0.86, 0.81, and 0.77, which is too far
+        texts += [near_copy(words, range(10, 10 + 30 * k, 30)) for k in (1, 2, 3, 4, 5)]
+    # copies of one text with one or two changes each: not all pairs are alike
+    words = [f"h{i}" for i in range(60)]
+    texts += [near_copy(words, rng.sample(range(60), rng.choice((1, 2)))) for _ in range(40)]
+    texts += ["Few words", "few WORDS", "few other words", "", " \n"]
+    return list(enumerate(texts))
+
+
+def test_planted_near_copies_leave(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["simhash_dedup"]
+    kept = sorted(r.doc_id for r in stage(spark, docs, "").collect())
+    assert kept == brute_kept(rows)
+    assert len(kept) < len(rows) // 2
+
+
+@pytest.mark.parametrize("block_texts", [2, 256])
+def test_links_in_blocks(spark, rows, block_texts):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    signed = near_copies.signatures(docs).cache()
+    node = {r.doc_id: r.node for r in signed.collect()}
+    found = near_copies.links(docs, signed, simhash_dedup.components, block_texts)
+    roots = {r.node: r.root for r in simhash_dedup.components(found).collect()}
+    least = {}
+    for i, n in sorted(node.items()):
+        least.setdefault(roots.get(n, n), i)
+    assert sorted(least.values()) == brute_kept(rows)
