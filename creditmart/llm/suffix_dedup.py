@@ -37,6 +37,8 @@ GRAM = 100
 #: Bytes of segments that are sorted together at least, and the most that one anchor may bring.
 BLOCK_BYTES = 1 << 20
 ANCHOR_BYTES = 3 << 19
+#: The most values that ``suffix_array`` can sort: three of them and their ranks fit 64 bits.
+SORTED_VALUES = (1 << 21) - 3
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _ALL = (1 << 64) - 1
 
@@ -265,7 +267,8 @@ def _sorted_blocks(parts: DataFrame, length: int, block_bytes: int) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int64(), pa.int32(), pa.int32())
         held: list[dict] = []
-        size, last = 0, None
+        coming: list[dict] = []  # segments of the anchor that is being read
+        size, more, last = 0, 0, None
 
         def closed() -> pa.RecordBatch:
             found = []
@@ -282,12 +285,23 @@ def _sorted_blocks(parts: DataFrame, length: int, block_bytes: int) -> DataFrame
                     name = (row["anchor"], row["whole"])
                     if name == last:
                         continue
-                    if size >= block_bytes and row["anchor"] != last[0]:
-                        yield closed()
-                        held, size = [], 0
+                    if coming and row["anchor"] != last[0]:
+                        if size + more > SORTED_VALUES:
+                            yield closed()
+                            held, size = [], 0
+                        held += coming
+                        size += more
+                        coming, more = [], 0
+                        if size >= block_bytes:
+                            yield closed()
+                            held, size = [], 0
                     last = name
-                    held.append(row)
-                    size += len(row["part"]) + 1
+                    coming.append(row)
+                    more += len(row["part"]) + 1
+        if size + more > SORTED_VALUES:
+            yield closed()
+            held = []
+        held += coming
         yield closed()
 
     ordered = parts.repartition("anchor").sortWithinPartitions("anchor", "whole")
