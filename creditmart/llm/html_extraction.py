@@ -73,6 +73,8 @@ _MARKUP = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
+#: Class names of an article that say what it is about or goes with, not what it is.
+_ABOUT = re.compile(r"(?<!\S)(?:category|tag|has|with|no)-\S*")
 
 
 class _Node:
@@ -100,7 +102,9 @@ def _purpose(tag: str, raw: str) -> tuple[str, bool]:
     hidden = "hidden" in given or given.get("aria-hidden") == "true"
     hidden |= "display:none" in given.get("style", "").replace(" ", "").lower()
     role = given.get("role", "").lower() in NOT_ARTICLE_ROLES
-    named = tag not in ARTICLE and tag not in ("html", "body")
+    if tag == "article":
+        names = _ABOUT.sub("", names)
+    named = tag not in ("main", "html", "body")
     named = named and any(part.lower() in NOT_ARTICLE_NAMES for part in _NAME.findall(names))
     return label, not (hidden or role or named)
 
@@ -124,7 +128,7 @@ def blocks(html: str) -> tuple[list[tuple[int, bool, bool, str]], dict[int, tupl
     def pop() -> None:
         nonlocal inside
         node = stack.pop()
-        inside -= node.tag in ARTICLE
+        inside -= node.tag in ARTICLE and node.kept
         if node.block is node:
             shapes[node.path] = (xxhash.xxh64_intdigest(" ".join(node.children)), node.kept)
 
@@ -189,7 +193,7 @@ def blocks(html: str) -> tuple[list[tuple[int, bool, bool, str]], dict[int, tupl
             if not siblings or siblings[-1] != label:
                 siblings.append(label)
         stack.append(node)
-        inside += tag in ARTICLE
+        inside += tag in ARTICLE and node.kept
     flush()
     while len(stack) > 1:
         pop()
@@ -199,11 +203,15 @@ def blocks(html: str) -> tuple[list[tuple[int, bool, bool, str]], dict[int, tupl
 def main_text(html: str, noisy: frozenset[int]) -> str:
     """The article of a page: the texts of nodes that are neither noisy nor of another purpose.
 
-    Where a page marks its article, nothing outside it is taken.
+    Where a page marks its article, nothing outside it is taken. Articles of another purpose
+    or of noise alone (comments, adverts) mark nothing, nor do articles that are shorter
+    together than the rest that stays (teasers beside the main text).
     """
     found, _ = blocks(html)
-    marked = any(inside for _, _, inside, _ in found)
-    return " ".join(text for path, kept, inside, text in found if kept and inside >= marked and _signed(path) not in noisy)
+    stays = [(inside, text) for path, kept, inside, text in found if kept and _signed(path) not in noisy]
+    inner = sum(len(text) for inside, text in stays if inside)
+    marked = inner > 0 and 2 * inner >= sum(len(text) for _, text in stays)
+    return " ".join(text for inside, text in stays if inside >= marked)
 
 
 def _signed(number: int) -> int:
