@@ -42,7 +42,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, ranks_pa
     """Pieces of every document: its ids and ``end_id``, cut at multiples of ``window``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(ranks_path)
+        coder = encoder(ranks_path, added=True)
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
         for batch in batches:
             owner, rows = [], []
