@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditmart.llm import near_copies
+from creditmart.functions import quoted
 from creditmart.llm.common import durable, raw_values
 
 MAX_BITS = 3
@@ -248,19 +248,13 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, bucket_rows: int =
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """``docs`` without near duplicates: of each component the row with the smallest doc_id.
 
-    Rows are linked whose sets of five-word shingles have a Jaccard similarity of 0.8 or
-    more; the three bits of ``near_duplicates`` would find little more than exact copies.
-    Of several rows with that doc_id, one stays; which one goes by their content. Rows
-    without a doc_id cannot be named by a decision and stay. All columns are kept.
+    Components are those of ``near_duplicates`` over the rows that have a doc_id. Of several
+    rows with the doc_id that stays, one does; which one goes by their content. Rows without
+    a doc_id cannot be named by a decision and stay. All columns are kept, whatever their names.
     """
-    named = docs.where("doc_id IS NOT NULL")
-    signed = durable(near_copies.signatures(named))
-    least = signed.groupBy("node").agg(F.min("doc_id").alias("least"))
-    roots = components(near_copies.links(named, signed, components)).withColumnRenamed("node", "_node")
-    found = least.join(roots, F.col("node") == F.col("_node"), "left")
-    found = found.groupBy(F.coalesce("root", "node").alias("component")).agg(F.min("least").alias("_kept"))
-    keepers = found.select("_kept").distinct()
-    whole = docs.select(F.col("doc_id").alias("_own"), F.struct(*map(F.col, docs.columns)).alias("_row"))
+    found = near_duplicates(docs.where("doc_id IS NOT NULL"))
+    keepers = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    whole = docs.select(F.col("doc_id").alias("_own"), F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("_row"))
     rows = whole.join(keepers, F.col("_own") == F.col("_kept"), "left_semi")
     rank = F.row_number().over(Window.partitionBy("_own").orderBy(F.xxhash64("_row")))
     first = rows.withColumn("_rank", rank).where("_rank = 1").select("_row.*")

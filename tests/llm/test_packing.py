@@ -12,9 +12,7 @@ ODD = ["", None, " ", "a  b\n\n c ", "<|endoftext|> x", "日本 語 🙂", "a" *
 
 
 def coder():
-    tokenizer = Tokenizer.from_file(path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(path("byte_bpe_50k.json"))
 
 
 @pytest.fixture(scope="module")
