@@ -18,6 +18,7 @@ from creditmart.llm import (
     secret_scan,
     simhash_dedup,
     suffix_dedup,
+    token_alignment,
 )
 from creditmart.llm.common import table
 
@@ -77,6 +78,10 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.aligned(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": repeats,
     "op2_quality_classifier": quality,
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": secrets,
     "op9_nearest_neighbours": neighbours,
     "op10_source_mix": source_mix,
+    "op13_token_alignment": alignment,
 }
 
 #: Fingerprints, hashed n-grams, token ids, trees and samples of hashes have no SQL; tests
