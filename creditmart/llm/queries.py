@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,7 @@ from creditmart.llm import (
     mixing,
     nearest_neighbours,
     packing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -78,6 +80,21 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def _with_planted_run(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """One row in ten repeats its words from some place on; a row without a doc_id none."""
+    place = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or place % 10 or not words:
+        return words
+    place //= 10
+    first = place % len(words)
+    period = 1 + (len(words) - first) // (3 + place % 8)
+    return [*words[:first], *(words[first + i % period] for i in range(len(words) - first))]
+
+
+def periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.collapsed(table(spark, sf_dir, "documents"), rewrite=_with_planted_run)
+
+
 def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.aligned(table(spark, sf_dir, "documents"))
 
@@ -93,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": secrets,
     "op9_nearest_neighbours": neighbours,
     "op10_source_mix": source_mix,
+    "op11_periodic_runs": periodic,
     "op13_token_alignment": alignment,
 }
 
