@@ -20,6 +20,7 @@ from creditmart.llm import (
     secret_scan,
     simhash_dedup,
     suffix_dedup,
+    super_kmers,
     token_alignment,
 )
 from creditmart.llm.common import table
@@ -95,6 +96,10 @@ def periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.collapsed(table(spark, sf_dir, "documents"), rewrite=_with_planted_run)
 
 
+def earlier_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return super_kmers.deduplicated(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.aligned(table(spark, sf_dir, "documents"))
 
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_nearest_neighbours": neighbours,
     "op10_source_mix": source_mix,
     "op11_periodic_runs": periodic,
+    "op12_super_kmers": earlier_passages,
     "op13_token_alignment": alignment,
 }
 
