@@ -22,6 +22,7 @@ import hashlib
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -49,10 +50,11 @@ _RESULT_SCHEMA = (
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Ids of a text, and the bytes that each id stands for."""
+    """Ids of texts, the bytes that each id stands for, and the bytes that ids stand for together."""
 
-    encode: Callable[[str], np.ndarray]
+    encode: Callable[[list[str]], list[list[int]]]
     tokens: list[bytes]
+    decode: Callable[[list[int]], bytes]
 
     def lengths(self) -> np.ndarray:
         return np.array([len(token) for token in self.tokens], dtype=np.int64)
@@ -62,10 +64,11 @@ def byte_level(ranks_path: str | None = None) -> Vocabulary:
     """The byte-level vocabulary over space + text; strings of special tokens are plain text."""
     coder = encoder(ranks_path)
 
-    def encode(text: str) -> np.ndarray:
-        return coder.encode_to_numpy(" " + text, disallowed_special=()).astype(np.int64)
+    def encode(texts: list[str]) -> list[list[int]]:
+        return [coder.encode_ordinary(" " + text) for text in texts]
 
-    return Vocabulary(encode, [coder.decode_single_token_bytes(i) for i in range(coder.n_vocab)])
+    tokens = [coder.decode_single_token_bytes(i) for i in range(coder.n_vocab)]
+    return Vocabulary(encode, tokens, coder.decode_bytes)
 
 
 def pieces(model_path: str | None = None) -> Vocabulary:
@@ -76,10 +79,17 @@ def pieces(model_path: str | None = None) -> Vocabulary:
         piece = coder.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if coder.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(text: str) -> np.ndarray:
-        return np.array(coder.encode(text), dtype=np.int64)
+    tokens = [written(i) for i in range(coder.get_piece_size())]
+    return Vocabulary(
+        lambda texts: coder.encode(texts, num_threads=1), tokens, lambda ids: b"".join(map(tokens.__getitem__, ids))
+    )
 
-    return Vocabulary(encode, [written(i) for i in range(coder.get_piece_size())])
+
+def tokens_before(ends: np.ndarray, size: int) -> np.ndarray:
+    """How many tokens end at or before each of the bytes 0 to ``size``."""
+    marks = np.zeros(size + 1, dtype=np.int32)
+    marks[ends] = 1
+    return np.cumsum(marks, dtype=np.int32, out=marks)
 
 
 def group_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,9 +99,10 @@ def group_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.n
     the same bytes. Tokens of a group are connected by overlaps.
     """
     n_a, n_b = len(ends_a), len(ends_b)
+    size = int(ends_a[-1]) if n_a else 0
     # the other side's token that has a token's last byte reaches farthest of all that overlap it
-    over_a = np.searchsorted(ends_b, ends_a)
-    over_b = np.searchsorted(ends_a, ends_b)
+    over_a = tokens_before(ends_b, size)[ends_a - 1]
+    over_b = tokens_before(ends_a, size)[ends_b - 1]
     terminal = ends_a[over_b] == ends_b if n_b else np.zeros(0, dtype=bool)
     points = np.concatenate([n_a + over_a, np.where(terminal, n_a + np.arange(n_b), over_b)])
     while not np.array_equal(further := points[points], points):
@@ -99,6 +110,15 @@ def group_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.n
     return points[:n_a] - n_a, points[n_a:] - n_a
 
 
+def _order(values: np.ndarray) -> np.ndarray:
+    """Places of whole numbers from 0 up in order, equal ones as they come: sixteen bits at a time."""
+    order, shift, most = np.argsort(values.astype(np.uint16), kind="stable"), 16, int(values.max(initial=0))
+    while most >> shift:
+        order = order[np.argsort((values >> shift).astype(np.uint16)[order], kind="stable")]
+        shift += 16
+    return order
+
+
 def _planes(values: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers with their bytes in planes, which compress far better."""
     return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
@@ -118,42 +138,47 @@ class _Aligner:
         numbers = np.array([str(i).encode() for i in range(max(len(a.tokens), len(b.tokens)))], dtype=f"S{self.width}")
         self.digits = numbers.view(np.uint8).reshape(len(numbers), self.width)
 
-    def encoded(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of both sides; none where a side does not give back the text's bytes."""
-        none = np.zeros(0, dtype=np.int64)
-        if not text:
-            return none, none
-        raw, sides = b" " + text.encode(), []
-        for vocabulary in (self.a, self.b):
-            ids = vocabulary.encode(text)
-            if b"".join(map(vocabulary.tokens.__getitem__, ids.tolist())) != raw:
-                return none, none
-            sides.append(ids)
-        return sides[0], sides[1]
-
-    def rows(self, chunk: int, doc_ids: list, encoded: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def encoded(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
+        """Ids of both sides for each text; none where a side does not give back the text's bytes."""
+        plain = [text or "" for text in texts]
+        found = []
+        for text, *sides in zip(plain, self.a.encode(plain), self.b.encode(plain), strict=True):
+            raw = b" " + text.encode()
+            same = all(v.decode(ids) == raw for v, ids in zip((self.a, self.b), sides, strict=True))
+            found.append(tuple(sides) if text and same else ([], []))
+        return found
+
+    def rows(self, chunk: int, doc_ids: list, texts: list[str | None]) -> Iterator[pa.RecordBatch]:
         """The chunk's pairs and documents."""
-        docs = len(doc_ids)
-        sides = [np.concatenate([ids[side] for ids in encoded]) for side in (0, 1)]
+        docs, encoded = len(doc_ids), self.encoded(texts)
+        sides = [np.fromiter(chain.from_iterable(ids[side] for ids in encoded), dtype=np.int64) for side in (0, 1)]
         sizes = [np.array([len(ids[side]) for ids in encoded]) for side in (0, 1)]
         ends = [np.cumsum(lengths[ids]) for lengths, ids in zip(self.lengths, sides, strict=True)]
         owners = [np.repeat(np.arange(docs), n) for n in sizes]
         last_a, last_b = group_ends(*ends)
-        terminals = np.unique(last_b)
-        group_a, group_b = np.searchsorted(terminals, last_a), np.searchsorted(terminals, last_b)
-        n_groups = np.bincount(owners[1][terminals], minlength=docs)
+        is_terminal = np.zeros(len(last_b), dtype=bool)
+        is_terminal[last_b] = True
+        group = np.cumsum(is_terminal) - is_terminal
+        group_a, group_b = group[last_a], group[last_b]
+        n_groups = np.bincount(owners[1][is_terminal], minlength=docs)
 
         # all overlapping pairs: of each A token, the B tokens from its first byte's to its last byte's
-        starts_a = ends[0] - self.lengths[0][sides[0]]
-        first = np.searchsorted(ends[1], starts_a, side="right")
-        number = np.searchsorted(ends[1], ends[0]) - first + 1
+        before = tokens_before(ends[1], int(ends[0][-1]) if len(ends[0]) else 0)
+        first = before[ends[0] - self.lengths[0][sides[0]]]
+        number = before[ends[0] - 1] - first + 1
         at_b = np.repeat(first - (np.cumsum(number) - number), number) + np.arange(number.sum())
         keys = np.repeat(sides[0], number) * len(self.b.tokens) + sides[1][at_b]
         owner = np.repeat(owners[0], number)
-        pairs, place = np.unique(keys, return_inverse=True)
-        held, times = np.unique(owner * max(1, len(pairs)) + place, return_counts=True)
-        held_by, held_place = np.divmod(held, max(1, len(pairs)))
+        # links sorted by pair, then document: each pair's documents, and how often a document links it
+        order = _order(keys)
+        keys, linked_by = keys[order], owner[order]
+        new_pair = np.diff(keys, prepend=-1) != 0
+        held = np.flatnonzero(new_pair | (np.diff(linked_by, prepend=-1) != 0))
+        times = np.diff(held, append=len(keys))
+        pairs, held_place, held_by = keys[new_pair], np.cumsum(new_pair)[held] - 1, linked_by[held]
         in_docs = np.bincount(held_place, minlength=len(pairs))
+        order = _order(held_by)
+        held_place, held_by, times = held_place[order], held_by[order], times[order]
         yield self._batch(len(pairs), chunk, pair=pa.array(pairs), docs=pa.array(in_docs))
 
         cuts = np.searchsorted(held_by, np.arange(docs + 1))
@@ -177,8 +202,10 @@ class _Aligner:
         """Digest of each document's groups written out as ``a1,a2|b1;a3|b2,b3``."""
         n_a, n_b = len(sides[0]), len(sides[1])
         # place of a token where a group's A ids come before its B ids
-        place_a = np.arange(n_a) + np.searchsorted(group_b, group_a)
-        place_b = np.arange(n_b) + np.searchsorted(group_a, group_b, side="right")
+        groups = int(group_b[-1]) + 1 if n_b else 0
+        ends_of = [np.cumsum(np.bincount(group, minlength=groups)) for group in (group_a, group_b)]
+        place_a = np.arange(n_a) + np.concatenate([[0], ends_of[1]])[group_a]
+        place_b = np.arange(n_b) + ends_of[0][group_b]
         written = np.zeros((n_a + n_b, self.width + 1), dtype=np.uint8)
         written[place_a, :-1], written[place_b, :-1] = self.digits[sides[0]], self.digits[sides[1]]
         group, side = np.empty(n_a + n_b, dtype=np.int64), np.zeros(n_a + n_b, dtype=bool)
@@ -207,17 +234,17 @@ def _aligned_chunks(docs: DataFrame, a: Callable[[], Vocabulary], b: Callable[[]
         aligner = _Aligner(a(), b())
         # unique in the written table, of which each task's rows are kept once
         chunk = TaskContext.get().partitionId() << 32
-        doc_ids, encoded, size = [], [], 0
+        doc_ids, texts, size = [], [], 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 doc_ids.append(doc_id.as_py())
-                encoded.append(aligner.encoded(text.as_py()))
-                size += len(text.as_py() or "") + 64
+                texts.append(text.as_py())
+                size += len(texts[-1] or "") + 64
                 if size >= chunk_bytes:
-                    yield from aligner.rows(chunk, doc_ids, encoded)
-                    doc_ids, encoded, size, chunk = [], [], 0, chunk + 1
+                    yield from aligner.rows(chunk, doc_ids, texts)
+                    doc_ids, texts, size, chunk = [], [], 0, chunk + 1
         if doc_ids:
-            yield from aligner.rows(chunk, doc_ids, encoded)
+            yield from aligner.rows(chunk, doc_ids, texts)
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     written = f"{shared_folder(docs.sparkSession)}/aligned-{uuid.uuid4().hex}"
