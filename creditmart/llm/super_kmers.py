@@ -7,9 +7,9 @@ bucket of that minimiser; equal windows have equal minimisers, hence meet in a b
 
 1. Texts give (minimiser, start, windows) for each super-k-mer: numbers only. Minimisers that
    occur once leave; their buckets could not hold a window twice.
-2. The others are cut out of their texts and packed. Equal packed strings are brought
-   together by their 128-bit digests on the map side; all but the first are removed as they
-   are, so a passage in a third of all texts is one string per bucket.
+2. The others are cut out of their texts and packed. Equal packed strings are told by their
+   128-bit digests, first within a task, then together; all but the first are removed as
+   they are, so a passage in a third of all texts is one string in its bucket.
 3. A bucket sorts the windows of its packed strings and sees which stand earlier. A bucket
    with more than ``bucket_rows`` different strings (a common line within ever other words)
    is spread out: its windows are grouped one by one by their digests. None is left out.
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from creditmart.llm.common import raw_values, shared_folder
 
 WINDOW = 20
-GRAM = 8
+GRAM = 4
 #: Different packed strings of a minimiser that are sorted together in a task at most.
 BUCKET_ROWS = 20_000
 _LAST = (1 << 63) - 1
@@ -138,32 +138,38 @@ def _all_super_kmers(keyed: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def _packed(keyed: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """Wanted super-k-mers with their words as one string; of equal ones in a text the first.
+    """Wanted super-k-mers with their words as one string.
 
-    The others come without a string: they stand earlier in their own text.
+    Those that the task has met at an earlier place come without a string: they are to be removed.
     """
     lists = wanted.groupBy("order", "key").agg(F.collect_set(F.struct("start", "windows", "minimiser")).alias("wanted"))
     joined = keyed.select("order", "key", "text").join(lists, ["order", "key"])
     schema = "order long, key long, minimiser long, start int, windows int, d1 long, d2 long, packed binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: dict[tuple[int, int], tuple[int, int, int]] = {}
         for batch in batches:
             rows, size = [], 0
             columns = (batch.column(0), batch.column(1), raw_values(batch.column(2)), batch.column(3))
-            for order, key, raw, wanted in zip(*columns, strict=True):  # repeated rows have one list
-                words, seen = raw.split(), set()
-                name = (order.as_py(), key.as_py())
+            for order, key, raw, wanted in zip(*columns, strict=True):
+                words, name = raw.split(), (order.as_py(), key.as_py())
                 asked = wanted.values.flatten()
                 for start, windows, minimiser in sorted(zip(*(column.to_pylist() for column in asked), strict=True)):
                     packed = b" ".join(words[start : start + windows - 1 + window])
-                    digest = _digest(packed)
-                    again = digest in seen
-                    seen.add(digest)
-                    rows.append((*name, minimiser, start, windows, *digest, None if again else packed))
-                    size += 100 + (0 if again else len(packed))
+                    digest, place = _digest(packed), (*name, start)
+                    before = met.get(digest, place)
+                    if digest in met and before == place:
+                        continue  # a row that repeats
+                    later = before[0] < name[0] or (before[:2] == name and before[2] < start)
+                    if before[0] > name[0] or digest not in met:
+                        met[digest] = place
+                    rows.append((*name, minimiser, start, windows, *digest, None if later else packed))
+                    size += 100 + (0 if later else len(packed))
                     if size > 4 << 20:
                         yield _batch(rows, schema)
                         rows, size = [], 0
+                if len(met) > 500_000:
+                    met.clear()
             yield _batch(rows, schema)
 
     return joined.mapInArrow(run, schema)
