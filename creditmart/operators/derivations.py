@@ -62,7 +62,8 @@ def loan_type_indicators(financials: DataFrame, vocabulary: Sequence[str]) -> Da
     """One 0/1 column per loan type of a given vocabulary, from the array of types.
 
     A type counts where a named type is it or has it as whole words. Spellings that
-    share a column name (``Pay Loan``, ``Pay-Loan``) are combined.
+    share a column name (``Pay Loan``, ``Pay-Loan``) are combined. A row without an array
+    (an application without financials) has nulls.
     """
     found: dict[str, list[str]] = {}
     for loan_type in vocabulary:
@@ -72,7 +73,10 @@ def loan_type_indicators(financials: DataFrame, vocabulary: Sequence[str]) -> Da
         found.setdefault(indicator_name(loan_type), []).append(test)
     return project(
         financials,
-        {name: f"CAST(coalesce({' OR '.join(tests)}, false) AS INT)" for name, tests in found.items()},
+        {
+            name: f"CASE WHEN {LOAN_TYPES} IS NOT NULL THEN CAST(coalesce({' OR '.join(tests)}, false) AS INT) END"
+            for name, tests in found.items()
+        },
     )
 
 

@@ -145,18 +145,28 @@ def history_join(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def customer_join(left: DataFrame, right: DataFrame) -> DataFrame:
+def customer_join(left: DataFrame, right: DataFrame, every_row: bool = False) -> DataFrame:
     """Left join on the customer alone, for a table without dates.
 
     Every left row comes once: of several right rows of a customer the greatest is
-    taken, column by column. The names the left side already has are dropped from the
+    taken, column by column. With ``every_row`` a left row comes once for each right row
+    of its customer instead. The names the left side already has are dropped from the
     right one.
     """
     new = [c for c in right.columns if c not in left.columns]
-    payload = F.max(F.struct(*(quoted(c) for c in new))).alias("_row")
-    once = right.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(payload)
+    payload = F.struct(*(quoted(c) for c in new))
+    rows = right.where(F.col(KEY).isNotNull())
+    if every_row:
+        rows = rows.select(KEY, payload.alias("_row"))
+    else:
+        rows = rows.groupBy(KEY).agg(F.max(payload).alias("_row"))
     # a key of its own gives the join a shuffle of its own, whose hot customers the adaptive
     # skew join can split; fed by the aggregate's partitions it could not
-    once = once.select(F.concat(KEY, F.lit("")).alias("_key"), "_row")
-    joined = left.join(once, F.col(KEY) == F.col("_key"), "left")
+    rows = rows.select(F.concat(KEY, F.lit("")).alias("_key"), "_row")
+    matched = F.col(KEY) == F.col("_key")
+    joined = left.join(rows, matched, "left")
+    if every_row:
+        # an inner join lets both sides of a hot customer be split; a left join only the left one
+        keys = rows.select("_key").distinct()
+        joined = left.join(rows, matched).unionByName(left.join(keys, matched, "left_anti"), allowMissingColumns=True)
     return joined.select(*(quoted(c) for c in left.columns), *(f"_row.{quoted(c)}" for c in new))

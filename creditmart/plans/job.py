@@ -1,12 +1,16 @@
 """The job: raw extracts to bronze, silver and gold tables of one run.
 
 Every layer reads the tables of the layer before, so each can run by itself,
-for any range of months, and a range that runs again replaces its months.
+for any range of months, and a range that runs again replaces its months. All
+months that a layer writes become visible together, see ``publication``.
 
     <base>/<run_id>/bronze/...                          raw text, by snapshot_date
     <base>/<run_id>/silver/<table>/period=<month>       typed rows, by bronze month
-    <base>/<run_id>/quarantine/source=/rule=/period=    rows taken out
+    <base>/<run_id>/quarantine/source=/rule=/period=    rows taken out, and malformed lines
     <base>/<run_id>/gold/label_store, feature_store     by snapshot month
+    <base>/<run_id>/vocabulary/version=<n>              loan types named so far
+    <base>/<run_id>/metrics/table=/period=              counts of every month written
+    <base>/<run_id>/manifest                            what the extracts held, see ``refresh``
 """
 
 from __future__ import annotations
@@ -14,27 +18,28 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from creditmart import fixed_values as fixed
-from creditmart.operators import derivations, labels
-from creditmart.operators.pointintime import TIME
-from creditmart.operators.validation import (
-    DROPPED,
-    OUTCOME,
-    QUARANTINED,
-    kept_rows,
-    quarantined_rows,
-)
-from creditmart.plans import layers
-from creditmart.plans.specs import FINANCIALS, LOAN_DAILY, TABLES, TableSpec
+from creditmart.functions import quoted
+from creditmart.operators import changes, derivations, labels, metrics
+from creditmart.operators.pointintime import KEY, TIME
+from creditmart.operators.validation import DROPPED, KEPT, OUTCOME, QUARANTINED
+from creditmart.plans import layers, manifest, vocabulary
+from creditmart.plans.layers import FATE, RULE
+from creditmart.plans.specs import BY_SOURCE, FINANCIALS, LOAN_DAILY, TABLES, TableSpec
 from creditmart.sources import extracts, files, tables
+from creditmart.sources.publication import Publication, discard_unpublished, folder, recover
 
 LAYERS = ("bronze", "silver", "gold")
 PERIOD = "period"
-UNDATED = "undated"
+UNDATED = manifest.UNDATED
+MALFORMED_RULE = "malformed_line"
+
+Months = Callable[[str], bool]
 
 
 @dataclass
@@ -42,7 +47,8 @@ class Run:
     """One run of the datamart and the counts its writes observed.
 
     Without ``first`` and ``last`` it takes all months there are. ``loan_types`` are the
-    types that get an indicator in gold; silver keeps all types of every row.
+    types that get an indicator in gold, by default those of the stored vocabulary; silver
+    keeps all types of every row.
     """
 
     spark: SparkSession
@@ -53,8 +59,10 @@ class Run:
     as_of: dt.date | None = None
     dpd: int = fixed.LABEL_DPD
     mob: int = fixed.LABEL_MOB
-    loan_types: Sequence[str] = tuple(fixed.LOAN_TYPES)
+    loan_types: Sequence[str] | None = None
     rows: dict[str, int] = field(default_factory=dict)
+    #: by table, the months that the last refresh wrote
+    rewritten: dict[str, list[str]] = field(default_factory=dict)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.base.rstrip("/"), self.run_id, *parts])
@@ -64,109 +72,186 @@ class Run:
         after = self.first is None or self.first.replace(day=1).isoformat() <= month
         return after and (self.last is None or month <= self.last.isoformat())
 
+    def _publication(self) -> Publication:
+        discard_unpublished(self.spark, self.path())
+        return Publication(self.spark, self.path())
+
     # ---- bronze ---------------------------------------------------------------
 
     def bronze(self, raw_folder: str) -> None:
         """All extracts found in a folder, each in one pass over all its months."""
+        published = self._publication()
         for source, path in extracts.discover(self.spark, raw_folder).items():
-            raw = extracts.read_extract(self.spark, path)
-            target = self.path("bronze", extracts.bronze_folder(source))
-            rows = layers.bronze(raw, self.first, self.last)
-            if "snapshot_date" in raw.columns:
-                found = Observation()
-                counted = layers.bronze(raw.observe(found, F.count(F.lit(1)).alias("rows")), self.first, self.last)
-                self.rows[f"bronze.{source}"] = tables.replace_partitions(
-                    counted,
-                    target,
-                    ["snapshot_date"],
-                    lambda partition: self.covers(partition["snapshot_date"]),
-                    gather=True,
-                )
-                # where no row stays, the plan may drop the scan and with it the count
-                kept = self.rows[f"bronze.{source}"]
-                all_rows = found.get["rows"] if kept else raw.count()
-                self.rows[f"bronze.{source}.left_out"] = all_rows - kept
-            else:
-                written = Observation()
-                rows.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
-                self.rows[f"bronze.{source}"] = written.get["rows"]
-
-    def bronze_rows(self, spec: TableSpec) -> DataFrame | None:
+            self._bronze_source(published, source, extracts.read_lines(self.spark, path))
+        published.commit()
+
+    def _bronze_source(self, published: Publication, source: str, lines: DataFrame) -> None:
+        """Stage the covered months of a source, and its malformed lines."""
+        found, number = Observation(), F.count(F.lit(1)).alias("lines")
+        malformed = F.count_if(F.col(extracts.MALFORMED).isNotNull()).alias("malformed")
+        _, kept = self._stage_bronze(published, source, extracts.well_formed(lines.observe(found, number, malformed)))
+        # where no row stays, the plan may drop the scan and with it the counts; Spark refuses to
+        # read the malformed lines' text alone
+        counted = found.get if kept else lines.agg(number, malformed, F.count(quoted(lines.columns[0]))).first().asDict()
+        if TIME in lines.columns:
+            self.rows[f"bronze.{source}.left_out"] = counted["lines"] - counted["malformed"] - kept
+        self._quarantine_lines(published, source, lines, counted["malformed"])
+
+    def _stage_bronze(
+        self, published: Publication, source: str, rows: DataFrame, months: set[str] | None = None
+    ) -> tuple[str, int]:
+        """Stage the months of a source that the run covers, or those given; folder and row count."""
+        target = self.path("bronze", extracts.bronze_folder(source))
+        if TIME in rows.columns:
+            dated = layers.bronze(rows, self.first, self.last)
+            if months is not None:
+                dated = dated.where(F.col(TIME).isin([dt.date.fromisoformat(month) for month in sorted(months)]))
+            staged, kept = published.write(dated.hint("rebalance", TIME), [TIME])
+            covers = self.covers if months is None else months.__contains__
+            published.replace_folders(staged, target, [TIME], lambda partition: covers(partition[TIME]))
+        else:
+            staged, kept = published.write(rows)
+            published.moves.append((staged, target))
+        self.rows[f"bronze.{source}"] = kept
+        return staged, kept
+
+    def _quarantine_lines(self, published: Publication, source: str, lines: DataFrame, number: int) -> None:
+        """Malformed lines as text: a pass of their own, where there are some."""
+        self.rows[f"bronze.{source}.{MALFORMED_RULE}"] = number
+        path, values = self.path("quarantine"), {"source": source, "rule": MALFORMED_RULE, PERIOD: UNDATED}
+        if number:
+            staged, _ = published.write(extracts.malformed(lines))
+            published.moves.append((staged, folder(path, values)))
+        elif files.exists(self.spark, folder(path, values)):
+            published.moves.append((None, folder(path, values)))
+
+    def bronze_rows(self, spec: TableSpec, covers: Months | None = None) -> DataFrame | None:
         """Bronze rows of the run's months with their month as ``period``; None if there are none."""
+        covers = covers or self.covers
         path = self.path("bronze", spec.bronze_folder)
-        partitions = tables.partition_values(self.spark, path, ["snapshot_date"])
-        months = [p["snapshot_date"] for p in partitions if self.covers(p["snapshot_date"])]
+        partitions = tables.partition_values(self.spark, path, [TIME])
+        months = [p[TIME] for p in partitions if covers(p[TIME])]
         if not partitions and files.exists(self.spark, path):
             # a source without dates is one table, whatever months the run has
             return self.spark.read.parquet(path)
-        rows = tables.read_partitions(self.spark, path, "snapshot_date", months)
-        return rows and rows.withColumn(PERIOD, F.col("snapshot_date"))
+        rows = tables.read_partitions(self.spark, path, TIME, months)
+        return rows and rows.withColumn(PERIOD, F.col(TIME))
 
     # ---- silver ---------------------------------------------------------------
 
     def silver(self) -> None:
         """All tables with bronze rows in the run's months; loans must have some."""
-        for spec in TABLES.values():
-            raw = self.bronze_rows(spec)
-            if raw is None and spec is LOAN_DAILY:
-                raise FileNotFoundError(f"no bronze loans from {self.first} to {self.last}")
+        if self.bronze_rows(LOAN_DAILY) is None:
+            raise FileNotFoundError(f"no bronze loans from {self.first} to {self.last}")
+        self._silver({spec.name: self.covers for spec in TABLES.values()})
+
+    def _silver(self, wanted: dict[str, Months]) -> None:
+        published = self._publication()
+        for name, covers in wanted.items():
+            spec = TABLES[name]
+            raw = self.bronze_rows(spec, covers)
             if raw is not None:
-                self._silver_table(spec, raw)
+                self._silver_table(published, spec, raw, covers)
+            else:
+                self._remove_months(published, spec, covers)
+        published.commit()
 
-    def _silver_table(self, spec: TableSpec, raw: DataFrame) -> None:
-        flagged = layers.flagged(spec, raw, self.as_of)
+    def _silver_table(self, published: Publication, spec: TableSpec, raw: DataFrame, covers: Months) -> None:
+        """Stage a table's months: one scan and one write for kept and quarantined rows."""
+        dated = PERIOD in raw.columns
+        period = F.col(PERIOD).cast("string") if dated else F.lit(UNDATED)
         fates, outcome = Observation(), F.substring_index(OUTCOME, ":", 1)
-        counted = flagged.observe(
+        counted = layers.flagged(spec, raw, self.as_of).observe(
             fates,
             F.count(F.lit(1)).alias("in"),
             *(F.count_if(outcome == fate).alias(fate) for fate in (DROPPED, QUARANTINED)),
         )
-        typed, path = spec.derive(kept_rows(counted)), self.path("silver", spec.name)
-        if PERIOD in raw.columns:
-            # bronze files hold one month each, so tasks do too: no shuffle needed
-            self.rows[f"silver.{spec.name}"] = tables.replace_partitions(
-                typed,
-                path,
-                [PERIOD],
-                lambda partition: self.covers(partition[PERIOD]),
-                # gold asks for single months on book
-                order_within=["mob"] if spec is LOAN_DAILY else [],
-            )
+        sorted_out = layers.sorted_out(spec, counted).withColumn(PERIOD, period)
+        # bronze files hold one month each, so tasks do too: no shuffle needed.
+        # gold asks for single months on book
+        staged, _ = published.write(sorted_out, [FATE, RULE, PERIOD], ["mob"] if spec is LOAN_DAILY else [])
+        seen = fates.get
+        self.rows[f"silver.{spec.name}"] = seen["in"] - seen[DROPPED] - seen[QUARANTINED]
+        self.rows.update({f"silver.{spec.name}.{fate}": rows for fate, rows in seen.items()})
+
+        schema = sorted_out.drop(FATE, RULE, PERIOD).schema
+        mine = covers if dated else (lambda month: month == UNDATED)
+        kept_folder = f"{staged}/{FATE}={KEPT}/{RULE}=-"
+        if dated:
+            published.replace_folders(kept_folder, self.path("silver", spec.name), [PERIOD], lambda p: mine(p[PERIOD]))
+        elif self.rows[f"silver.{spec.name}"]:
+            published.moves.append((folder(kept_folder, {PERIOD: UNDATED}), self.path("silver", spec.name)))
         else:
-            self.rows[f"silver.{spec.name}"] = tables.replace_table(typed, path)
-        self.rows.update({f"silver.{spec.name}.{fate}": rows for fate, rows in fates.get.items()})
-        self._quarantine(spec, flagged, fates.get[QUARANTINED])
+            published.replace_table(self.spark.createDataFrame([], schema), self.path("silver", spec.name))
+        written = self._staged(staged, schema, [FATE, RULE, PERIOD])
+        self._quarantine(published, spec, written.where(F.col(FATE) == QUARANTINED).drop(FATE), mine)
+        incoming = metrics.of_rows(raw.select(period.alias(PERIOD)), spec.name, F.col(PERIOD), metrics.IN)
+        self._store_metrics(
+            published, incoming.unionByName(metrics.of_sorted_out(written, spec.name, F.col(PERIOD))), spec.name, mine
+        )
+        if spec is FINANCIALS:
+            named = vocabulary.named(written.where(F.col(FATE) == KEPT), F.col(PERIOD))
+            vocabulary.merge(published, self.path("vocabulary"), named)
+
+    def _staged(self, staged: str, schema, partition_by: Sequence[str]) -> DataFrame:
+        """Rows as they are staged, with the columns that their folders name."""
+        for column in partition_by:
+            schema = schema.add(column, "string")
+        return self.spark.read.schema(schema).parquet(staged)
 
-    def _quarantine(self, spec: TableSpec, flagged: DataFrame, rows: int) -> None:
-        """Write the rows taken out; a second pass only where there are or were some."""
+    def _quarantine(self, published: Publication, spec: TableSpec, taken_out: DataFrame, covers: Months) -> None:
+        """Quarantined rows, of which the write has told the number, in few files."""
 
         def replaces(partition: dict[str, str]) -> bool:
-            covered = self.covers(partition[PERIOD]) if PERIOD in flagged.columns else partition[PERIOD] == UNDATED
-            return partition["source"] == spec.name and covered
+            return partition["source"] == spec.name and partition["rule"] != MALFORMED_RULE and covers(partition[PERIOD])
 
         path, partition_by = self.path("quarantine"), ["source", "rule", PERIOD]
-        if rows or any(map(replaces, tables.partition_values(self.spark, path, partition_by))):
-            period = F.col(PERIOD).cast("string") if PERIOD in flagged.columns else F.lit(UNDATED)
-            taken_out = quarantined_rows(flagged, spec.name).withColumn(PERIOD, period)
-            tables.replace_partitions(taken_out, path, partition_by, replaces, gather=True)
+        there = any(map(replaces, tables.partition_values(self.spark, path, partition_by)))
+        if self.rows[f"silver.{spec.name}.{QUARANTINED}"] or there:
+            named = taken_out.withColumn("source", F.lit(spec.name))
+            published.replace_partitions(named, path, partition_by, replaces, gather=True)
+
+    def _remove_months(self, published: Publication, spec: TableSpec, covers: Months) -> None:
+        """Months that bronze has no rows of any more leave silver, quarantine and metrics."""
+        for path, partition_by, of_table in (
+            (self.path("silver", spec.name), [PERIOD], {}),
+            (self.path("quarantine"), ["source", "rule", PERIOD], {"source": spec.name}),
+            (self.path("metrics"), ["table", PERIOD], {"table": spec.name}),
+        ):
+            for values in tables.partition_values(self.spark, path, partition_by):
+                if of_table.items() <= values.items() and values[PERIOD] != UNDATED and covers(values[PERIOD]):
+                    published.moves.append((None, folder(path, values)))
+
+    def _store_metrics(self, published: Publication, counted: DataFrame, table: str, covers: Months) -> None:
+        published.replace_partitions(
+            counted,
+            self.path("metrics"),
+            ["table", PERIOD],
+            lambda partition: partition["table"] == table and covers(partition[PERIOD]),
+            gather=True,
+        )
 
     def vocabulary(self) -> DataFrame:
-        """Loan types of all months and the rows naming them: what ``loan_types`` is picked from."""
-        return derivations.loan_type_vocabulary(self._stored(FINANCIALS))
+        """(loan_type, first_period): the loan types named so far, what indicators are made of."""
+        recover(self.spark, self.path())
+        return vocabulary.read(self.spark, self.path("vocabulary"))
+
+    def indicated_types(self) -> list[str]:
+        """The loan types that get an indicator."""
+        return vocabulary.types(self.vocabulary()) if self.loan_types is None else list(self.loan_types)
 
-    def silver_table(
-        self, spec: TableSpec, months: Callable[[str], bool] = lambda month: True
-    ) -> DataFrame:
+    def silver_table(self, spec: TableSpec, months: Months = lambda month: True) -> DataFrame:
         """The wanted months of a silver table, under the same schema for every month.
 
         A month that was never written is empty. A table whose source has no dates
-        comes whole and without them. Financials have an indicator for each of the
-        run's loan types, made from what silver keeps, so all months have the same.
+        comes whole and without them. Financials have an indicator for each loan type
+        of the run, made from what silver keeps, so all months have the same.
         """
         rows = self._stored(spec, months)
-        return derivations.loan_type_indicators(rows, self.loan_types) if spec is FINANCIALS else rows
+        return derivations.loan_type_indicators(rows, self.indicated_types()) if spec is FINANCIALS else rows
 
-    def _stored(self, spec: TableSpec, months: Callable[[str], bool] = lambda month: True) -> DataFrame:
+    def _stored(self, spec: TableSpec, months: Months = lambda month: True) -> DataFrame:
+        recover(self.spark, self.path())
         empty = layers.silver(spec, spec.empty_raw(self.spark), self.as_of)
         dated = empty.withColumn(PERIOD, F.lit(None).cast("date"))
         path = self.path("silver", spec.name)
@@ -181,47 +266,234 @@ class Run:
     def gold(self) -> None:
         if not files.exists(self.spark, self.path("silver", LOAN_DAILY.name)):
             raise FileNotFoundError("no silver loans: features and labels need them")
-        loans = self.silver_table(LOAN_DAILY, self.covers)
-        self.rows["gold.label_store"] = tables.replace_partitions(
-            labels.label_loans(loans, self.dpd, self.mob),
-            self.path("gold", "label_store"),
-            ["snapshot_date"],
-            lambda partition: self.covers(partition["snapshot_date"]),
+        published = self._publication()
+        self._labels(published, self.covers)
+        self._features(published, self.covers)
+        published.commit()
+
+    def _labels(self, published: Publication, covers: Months) -> None:
+        labelled = labels.label_loans(self._stored(LOAN_DAILY, covers), self.dpd, self.mob)
+        self.rows["gold.label_store"] = published.replace_partitions(
+            labelled, self.path("gold", "label_store"), [TIME], lambda partition: covers(partition[TIME])
         )
 
+    def _features(self, published: Publication, covers: Months) -> None:
+        """Features of the covered months.
+
+        Stored with the array of loan types; readers make the indicators, so that all months
+        have those of the newest vocabulary.
+        """
+        loans = self._stored(LOAN_DAILY, covers)
+        periods = [p[PERIOD] for p in tables.partition_values(self.spark, self.path("silver", LOAN_DAILY.name), [PERIOD])]
+        chosen = sorted(filter(covers, periods))
+        latest = chosen[-1] if chosen else ""
+        oldest = (dt.date.fromisoformat(chosen[0]) - dt.timedelta(fixed.LOOK_BACK_DAYS)).isoformat() if chosen else ""
+
         # the state of a customer may date from any earlier month
         def past(month: str) -> bool:
-            return self.last is None or month <= self.last.isoformat()
+            return month <= latest
 
         def recent(month: str) -> bool:
-            oldest = self.first and self.first.replace(day=1) - dt.timedelta(fixed.LOOK_BACK_DAYS)
-            return (oldest is None or oldest.isoformat() <= month) and past(month)
+            return oldest <= month <= latest
 
         features = layers.feature_store(
             loans.drop(PERIOD),
-            self.silver_table(TABLES["attributes"], past).drop(PERIOD),
-            self.silver_table(FINANCIALS, past).drop(PERIOD),
-            self.silver_table(TABLES["clickstream"], recent).drop(PERIOD),
+            self._stored(TABLES["attributes"], past).drop(PERIOD),
+            self._stored(FINANCIALS, past).drop(PERIOD),
+            self._stored(TABLES["clickstream"], recent).drop(PERIOD),
+            with_loan_types=True,
         )
-        self.rows["gold.feature_store"] = tables.replace_partitions(
+        self.rows["gold.feature_store"] = published.replace_partitions(
             features,
             self.path("gold", "feature_store"),
             ["feature_snapshot_date"],
-            lambda partition: self.covers(partition["feature_snapshot_date"]),
+            lambda partition: covers(partition["feature_snapshot_date"]),
             gather=True,
         )
 
     def label_store(self) -> DataFrame:
         """All labels of the run as one frame."""
+        recover(self.spark, self.path())
         schema = "loan_id string, Customer_ID string, label int, label_def string, snapshot_date date"
         return self.spark.read.schema(schema).parquet(self.path("gold", "label_store"))
 
     def feature_store(self) -> DataFrame:
-        """All features of the run as one frame."""
-        path = self.path("gold", "feature_store")
-        features = self.spark.read.parquet(path)
+        """All features of the run as one frame, with an indicator for each loan type of the run."""
+        recover(self.spark, self.path())
+        features = self.spark.read.parquet(self.path("gold", "feature_store"))
         day = F.col("feature_snapshot_date").cast("string")
-        return features.withColumn("feature_snapshot_date", day)
+        features = features.withColumn("feature_snapshot_date", day)
+        if derivations.LOAN_TYPES not in features.columns:
+            return features
+        indicated = derivations.loan_type_indicators(features, self.indicated_types())
+        new = [c for c in indicated.columns if c not in features.columns]
+        columns: list[str] = []
+        for name in features.columns:
+            columns += new if name == derivations.LOAN_TYPES else [name]
+        return indicated.select(*map(quoted, columns))
+
+    # ---- reports --------------------------------------------------------------
+
+    def metrics(self) -> DataFrame:
+        """(table, period, metric, flag, rows): counts of all months that were written."""
+        recover(self.spark, self.path())
+        return self.spark.read.schema(metrics.SCHEMA).parquet(self.path("metrics"))
+
+    def quality_report(self) -> DataFrame:
+        """Valid, invalid and unknown values per table, period and flag, off the metrics."""
+        return metrics.quality_report(self.metrics())
+
+    def partition_counts(self) -> DataFrame:
+        """Bronze rows per table and period, off the metrics."""
+        return self.metrics().where(F.col("metric") == metrics.IN).select("table", PERIOD, "rows")
+
+    def retention_report(self) -> DataFrame:
+        """Rows in, kept, dropped and quarantined per table, off the metrics."""
+        return metrics.retention_report(self.metrics())
+
+    # ---- increments -----------------------------------------------------------
+
+    def refresh(self, raw_folder: str) -> None:
+        """Take in what changed in the extracts since the last refresh, and nothing else.
+
+        Files with the size and time of the manifest are not read. Months whose content
+        changed are written again in bronze and silver, labels of changed loan months, and
+        features of the months in which an application can see a change: of its own loans, of
+        attributes or financials until the customer's next row, of clicks for the days that are
+        looked back. What changed is kept until the features are there, so a refresh after
+        a lost one finishes its work. The first refresh of a run writes everything.
+        """
+        if self.first or self.last:
+            raise ValueError("a refresh takes all months")
+        self.rewritten = {}
+        published = self._publication()
+        old = manifest.read(self.spark, self.path("manifest"))
+        held, _ = published.write(manifest.scan(self.spark, raw_folder, old))
+        new = self.spark.read.schema(manifest.SCHEMA).parquet(held)
+        pending = self._pending_months()
+        customers = self._pending_customers()
+        for source, months in manifest.changed_months(old, new).items():
+            pending.setdefault(source, set()).update(months)
+            changed = self._refresh_bronze(published, raw_folder, source, months, new)
+            customers = customers if changed is None else customers.unionByName(changed)
+        rows = [(source, month) for source, months in pending.items() for month in sorted(months)]
+        published.replace_table(self.spark.createDataFrame(rows, _PENDING_MONTHS), self.path("pending", "months"))
+        published.replace_table(customers.distinct(), self.path("pending", "customers"))
+        # the manifest goes with the last publication: until then the changes count as not taken in
+        published.moves.append((held, self.path("pending", "manifest")))
+        published.commit()
+        if rows:
+            self._refresh_silver(pending)
+            self._refresh_gold(pending)
+        published = self._publication()
+        published.moves += [(self.path("pending", "manifest"), self.path("manifest")), (None, self.path("pending"))]
+        published.commit()
+
+    def _pending_months(self) -> dict[str, set[str]]:
+        """What a lost refresh has taken in, by source, and not carried to the features."""
+        path, found = self.path("pending", "months"), {}
+        if files.exists(self.spark, path):
+            for row in self.spark.read.schema(_PENDING_MONTHS).parquet(path).collect():
+                found.setdefault(row.source, set()).add(row.month)
+        return found
+
+    def _pending_customers(self) -> DataFrame:
+        path = self.path("pending", "customers")
+        if not files.exists(self.spark, path):
+            return self.spark.createDataFrame([], _PENDING_CUSTOMERS)
+        return self.spark.read.schema(_PENDING_CUSTOMERS).parquet(path)
+
+    def _refresh_bronze(
+        self, published: Publication, raw_folder: str, source: str, months: set[str], new: DataFrame
+    ) -> DataFrame | None:
+        """Stage a source's changed months; its customers whose rows changed, if it is one of the tables."""
+        path = extracts.discover(self.spark, raw_folder).get(source)
+        at = {part.uri: part.path for part in files.parts(self.spark, path)} if path else {}
+
+        def lines(of: set[str]) -> DataFrame | None:
+            holding = [at[uri] for uri in manifest.files_with(new, source, of)]
+            return extracts.read_lines(self.spark, holding) if holding else None
+
+        if manifest.MALFORMED in months:
+            bad = lines({manifest.MALFORMED})
+            number = bad.where(F.col(extracts.MALFORMED).isNotNull()).agg(F.count(bad.columns[0])) if bad else None
+            self._quarantine_lines(published, source, bad, 0 if bad is None else max(1, number.first()[0]))
+        wanted = months - {manifest.MALFORMED, manifest.LEFT_OUT}
+        self.rewritten[f"bronze.{source}"] = sorted(wanted)
+        if not wanted:
+            return None
+        target = self.path("bronze", extracts.bronze_folder(source))
+        there = {values[TIME] for values in tables.partition_values(self.spark, target, [TIME])}
+        if (UNDATED in wanted) and (there or len(wanted) > 1):
+            raise ValueError(f"{source} has dates in one delivery and none in another: start a new run")
+        if UNDATED in wanted:
+            before = self.spark.read.parquet(target) if files.exists(self.spark, target) else None
+        else:
+            before = tables.read_partitions(self.spark, target, TIME, sorted(wanted & there))
+        rows, after = lines(wanted), None
+        if rows is not None:
+            staged, kept = self._stage_bronze(published, source, extracts.well_formed(rows), wanted)
+            after = self.spark.read.parquet(staged) if kept else None
+        else:
+            gone = [folder(target, {TIME: month}) for month in sorted(wanted & there)]
+            published.moves += [(None, path) for path in ([target] if UNDATED in wanted else gone)]
+        if source not in BY_SOURCE:
+            return None
+        by = [KEY] if UNDATED in wanted else [KEY, TIME]
+        frame = before if before is not None else after
+        if frame is None or KEY not in frame.columns:
+            return None
+        sides = [side if side is not None else frame.limit(0) for side in (before, after)]
+        changed = changes.changed_customers(*sides, by)
+        return changed.select(F.lit(source).alias("source"), KEY, (F.col(TIME) if TIME in by else F.lit(None)).cast("date").alias(TIME))
+
+    def _refresh_silver(self, pending: dict[str, set[str]]) -> None:
+        wanted = {}
+        for source, months in pending.items():
+            real = months - {manifest.MALFORMED, manifest.LEFT_OUT}
+            if source in BY_SOURCE and real:
+                name = BY_SOURCE[source].name
+                wanted[name] = real.__contains__
+                self.rewritten[f"silver.{name}"] = sorted(real)
+        self._silver(wanted)
+
+    def _refresh_gold(self, pending: dict[str, set[str]]) -> None:
+        if not files.exists(self.spark, self.path("silver", LOAN_DAILY.name)):
+            raise FileNotFoundError("no silver loans: features and labels need them")
+        of_loans = pending.get(LOAN_DAILY.source, set()) - {manifest.MALFORMED, manifest.LEFT_OUT}
+        touched = of_loans | self._touched_months()
+        published = self._publication()
+        if of_loans:
+            self._labels(published, of_loans.__contains__)
+        if touched:
+            self._features(published, touched.__contains__)
+        published.commit()
+        self.rewritten["gold.label_store"], self.rewritten["gold.feature_store"] = sorted(of_loans), sorted(touched)
+
+    def _touched_months(self) -> set[str]:
+        """Months with applications that can see the pending changes; there are few months."""
+        applications = layers.applications(self._stored(LOAN_DAILY))
+        customers = self._pending_customers()
+        found = []
+        for spec in (TABLES["attributes"], FINANCIALS):
+            changed = customers.where(F.col("source") == spec.source)
+            found.append(changes.touched_as_of(applications, changed.where(f"{TIME} IS NOT NULL"), self._dates(spec)))
+            found.append(changes.touched_undated(applications, changed.where(f"{TIME} IS NULL")))
+        clicked = customers.where(F.col("source") == TABLES["clickstream"].source)
+        found.append(changes.touched_look_back(applications, clicked.where(f"{TIME} IS NOT NULL")))
+        months = reduce(DataFrame.unionByName, found).select(F.trunc(TIME, "month").cast("string").alias("month"))
+        return {row.month for row in months.distinct().collect()}
+
+    def _dates(self, spec: TableSpec) -> DataFrame:
+        """(Customer_ID, snapshot_date) of a silver table; none where it has no dates."""
+        rows = self._stored(spec)
+        if TIME not in rows.columns:
+            return rows.select(KEY, F.lit(None).cast("date").alias(TIME)).limit(0)
+        return rows.select(KEY, TIME)
+
+
+_PENDING_MONTHS = "source string, month string"
+_PENDING_CUSTOMERS = f"source string, {KEY} string, {TIME} date"
 
 
 def run(
@@ -251,3 +523,10 @@ def run(
     if "gold" in only:
         job.gold()
     return job
+
+
+def refresh(spark: SparkSession, raw_folder: str, base: str, run_id: str, **settings) -> Run:
+    """Bring a run up to date with the extracts, see ``Run.refresh``."""
+    job = Run(spark, base, run_id, **settings)
+    job.refresh(raw_folder)
+    return job

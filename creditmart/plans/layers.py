@@ -16,7 +16,7 @@ from creditmart import fixed_values as fixed
 from creditmart.functions import parsing, project, quoted
 from creditmart.operators import derivations, encodings, labels, pointintime
 from creditmart.operators.pointintime import KEY, TIME
-from creditmart.operators.validation import apply_rules, kept_rows, type_columns
+from creditmart.operators.validation import DROPPED, KEPT, OUTCOME, apply_rules, kept_rows, type_columns
 from creditmart.plans.specs import FINANCIALS, TableSpec
 
 # ---- bronze -------------------------------------------------------------------
@@ -58,6 +58,20 @@ def flagged(spec: TableSpec, raw: DataFrame, as_of: dt.date | None = None) -> Da
     return apply_rules(type_columns(raw, spec.types), spec.all_rules(as_of))
 
 
+FATE, RULE = "fate", "rule"
+
+
+def sorted_out(spec: TableSpec, flagged_rows: DataFrame) -> DataFrame:
+    """Kept and quarantined rows with the table's derived columns, in one frame.
+
+    ``fate`` is ``kept`` or ``quarantined`` and ``rule`` the column whose rule decided, so one
+    write, partitioned by both, gives both tables from one scan.
+    """
+    fate = f"substring_index({OUTCOME}, ':', 1)"
+    rule = f"CASE WHEN {OUTCOME} = '{KEPT}' THEN '-' ELSE substring_index({OUTCOME}, ':', -1) END"
+    return spec.derive(project(flagged_rows, {FATE: fate, RULE: rule})).where(F.col(FATE) != DROPPED).drop(OUTCOME)
+
+
 def silver(
     spec: TableSpec,
     raw: DataFrame,
@@ -86,13 +100,15 @@ def attribute_features(attributes: DataFrame, with_flags: bool = False) -> DataF
     return _features(encodings.occupation_group(attributes), "attributes", with_flags)
 
 
-def financial_features(financials: DataFrame, with_flags: bool = False) -> DataFrame:
+def financial_features(
+    financials: DataFrame, with_flags: bool = False, with_loan_types: bool = False
+) -> DataFrame:
     encoded = encodings.payment_behaviour(financials)
     encoded = encodings.credit_mix(encodings.minimum_payment(encoded))
-    return _features(encoded, "financials", with_flags)
+    return _features(encoded, "financials", with_flags, with_loan_types)
 
 
-def _features(encoded: DataFrame, table: str, with_flags: bool) -> DataFrame:
+def _features(encoded: DataFrame, table: str, with_flags: bool, with_loan_types: bool = False) -> DataFrame:
     """Encode first, drop the raw columns afterwards; the contract leaves out audit copies.
 
     Flags come on demand. The two that every table has carry the table's name.
@@ -101,7 +117,9 @@ def _features(encoded: DataFrame, table: str, with_flags: bool) -> DataFrame:
     columns = []
     for name in encodings.drop_non_predictive(encoded).columns:
         is_flag = name.startswith("valid_")
-        if name.endswith("_original") or name == derivations.LOAN_TYPES or (is_flag and not with_flags):
+        if name.endswith("_original") or (is_flag and not with_flags):
+            continue
+        if name == derivations.LOAN_TYPES and not with_loan_types:
             continue
         columns.append(f"{name} AS {table}_{name}" if name in shared else quoted(name))
     if with_flags and "valid_credit_mix" in encoded.columns:
@@ -115,17 +133,22 @@ def feature_store(
     financials: DataFrame,
     clickstream: DataFrame,
     with_flags: bool = False,
+    every_undated_row: bool = False,
+    with_loan_types: bool = False,
 ) -> DataFrame:
     """One row per application with all that was known about its customer then.
 
     The three sources share one customer timeline, so the applications join
     once, on (customer, date), with a side that has unique keys. Attributes or
-    financials without dates join on the customer alone.
+    financials without dates join on the customer alone: with the greatest of the
+    customer's rows, or, with ``every_undated_row``, once with each of them.
+    ``with_loan_types`` keeps the array of loan types that financials have, for indicators
+    of types that are not known yet.
     """
     base = applications(loans)
     tables = {
         "attributes": attribute_features(attributes, with_flags),
-        "financials": financial_features(financials, with_flags),
+        "financials": financial_features(financials, with_flags, with_loan_types),
     }
     states = []
     for table, frame in tables.items():
@@ -133,7 +156,7 @@ def feature_store(
             states.append(pointintime.State(table, frame))
         else:
             payload = F.struct(*(c for c in frame.columns if c != KEY)).alias(table)
-            base = pointintime.customer_join(base, frame.select(KEY, payload))
+            base = pointintime.customer_join(base, frame.select(KEY, payload), every_undated_row)
     clicks = pointintime.LookBack(clickstream)
     # loans give the same (customer, date) pairs as ``base``, without waiting for its distinct
     known = pointintime.timeline(labels.at_month(loans, 0), [*states, clicks])

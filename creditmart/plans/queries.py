@@ -374,6 +374,16 @@ def left_join_customer(spark, folder):
     )
 
 
+@query
+def left_join_customer_rows(spark, folder):
+    """Every application with each attribute row of its customer, whatever its date."""
+    return pointintime.customer_join(
+        layers.applications(loans(spark, folder)),
+        attributes(spark, folder).select("Customer_ID", "Age", "Occupation"),
+        every_row=True,
+    )
+
+
 @query
 def pit_join_attributes(spark, folder):
     """Every earlier attribute row of each application's customer."""

@@ -139,10 +139,12 @@ CLICKSTREAM = [
 def _table(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
     """A test table, dealt out by its key.
 
-    The tables come as one file each, which one task would read and multiply. The
-    plan is the same at every size and on every machine; small shares are merged.
+    The tables come as one file each, which one task would read and multiply. There are as
+    many shares as any shuffle of the session has. Their number is named, because small shares
+    would be merged again for their size before each row is multiplied.
     """
-    return spark.read.parquet(f"{folder}/{name}.parquet").repartition(key)
+    shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spark.read.parquet(f"{folder}/{name}.parquet").repartition(shares, key)
 
 
 def raw_loans(spark: SparkSession, folder: str) -> DataFrame:

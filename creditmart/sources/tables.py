@@ -4,24 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from creditmart.sources import files
+from creditmart.sources.publication import Publication, folder, partition_values
 
-
-def partition_values(spark: SparkSession, path: str, columns: Sequence[str]) -> list[dict[str, str]]:
-    """Values of the partitions a table has, from its folder names."""
-    pattern = "/".join([path.rstrip("/"), *(f"{c}=*" for c in columns)])
-    return [
-        dict(part.split("=", 1) for part in found.split("/")[-len(columns) :])
-        for found in files.matching(spark, pattern)
-    ]
-
-
-def _folder(path: str, values: dict[str, str]) -> str:
-    return "/".join([path.rstrip("/"), *(f"{c}={v}" for c, v in values.items())])
+__all__ = ["partition_values", "preview", "read_partitions", "replace_partitions"]
 
 
 def replace_partitions(
@@ -32,47 +20,11 @@ def replace_partitions(
     gather: bool = False,
     order_within: Sequence[str] = (),
 ) -> int:
-    """Write ``df`` and make it the whole content of the partitions it replaces.
-
-    Partitions with new rows are swapped in by a dynamic overwrite. Partitions
-    that ``replaces`` selects but that got no new rows are removed afterwards,
-    so running a month again never leaves rows of the earlier run behind.
-    Row counts come with the write; nothing is counted twice.
-
-    ``gather`` brings the rows of a partition together first, for inputs in no
-    particular order: otherwise every task would write a file per partition. The
-    rebalance splits a partition that is large, so a heavy month is no hot spot.
-    ``order_within`` sorts each file, for readers that skip pages by these columns.
-    """
-    spark = df.sparkSession
-    old = [v for v in partition_values(spark, path, partition_by) if replaces(v)]
-    written = Observation()
-    # as many values as the write makes folders, however many the table has
-    parts = F.collect_set(F.struct(*(F.col(c).cast("string").alias(c) for c in partition_by)))
-    if gather:
-        df = df.hint("rebalance", *partition_by)
-    # observed above the rebalance: a shuffle that turns out empty is cut away with all below it
-    counted = df.observe(written, F.count(F.lit(1)).alias("rows"), parts.alias("parts"))
-    if order_within:
-        counted = counted.sortWithinPartitions(*partition_by, *order_within)
-    (
-        counted.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
-    new = {tuple(part[c] for c in partition_by) for part in written.get["parts"]}
-    for values in old:
-        if tuple(values[c] for c in partition_by) not in new:
-            files.remove(spark, _folder(path, values))
-    return written.get["rows"]
-
-
-def replace_table(df: DataFrame, path: str) -> int:
-    """Write ``df`` as the whole content of a table without partitions; its row count."""
-    written = Observation()
-    df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return written.get["rows"]
+    """Make ``df`` the whole content of the partitions it replaces, in one publication."""
+    published = Publication(df.sparkSession, path)
+    rows = published.replace_partitions(df, path, partition_by, replaces, gather, order_within)
+    published.commit()
+    return rows
 
 
 def read_partitions(
@@ -90,7 +42,7 @@ def read_partitions(
     """
     if not values:
         return None
-    folders = [_folder(path, {column: value}) for value in values]
+    folders = [folder(path, {column: value}) for value in values]
     reader = spark.read.option("basePath", path)
     reader = reader.schema(schema) if schema else reader.option("mergeSchema", True)
     return reader.parquet(*folders)

@@ -455,6 +455,9 @@ BODIES = {
       FROM applications a LEFT JOIN (
         SELECT * FROM attributes QUALIFY row_number() OVER (PARTITION BY Customer_ID
           ORDER BY Age DESC NULLS LAST, Occupation DESC NULLS LAST) = 1) t ON a.Customer_ID = t.Customer_ID""",
+    "left_join_customer_rows": """
+      SELECT a.loan_id, a.Customer_ID, CAST(a.snapshot_date AS VARCHAR) AS snapshot_date, a.mob, t.Age, t.Occupation
+      FROM applications a LEFT JOIN attributes t ON a.Customer_ID = t.Customer_ID""",
     "pit_join_attributes": """
       SELECT a.loan_id, a.Customer_ID, CAST(a.snapshot_date AS VARCHAR) AS snapshot_date, a.mob, t.Age, t.Occupation,
         CAST(t.snapshot_date AS VARCHAR) AS source_date

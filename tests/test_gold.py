@@ -1,6 +1,7 @@
 """The feature store as a whole."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from creditmart.operators import labels, quality
 from creditmart.plans import layers, queries
@@ -65,10 +66,21 @@ def test_missing_sources_leave_null_features(spark):
 def test_undated_source_joins_on_the_customer(spark):
     loans, clicks = queries.loans(spark, SF), queries.clickstream(spark, SF)
     attributes = queries.attributes(spark, SF).drop("snapshot_date", "valid_snapshot_date")
-    features = layers.feature_store(loans, attributes, queries.financials(spark, SF), clicks)
+    sources = (loans, attributes, queries.financials(spark, SF), clicks)
+    features = layers.feature_store(*sources)
     assert features.where("Occupation = 'LAWYER'").count() > 0
-    expected = layers.applications(loans).join(attributes.select("Customer_ID", "Age"), "Customer_ID", "left")
-    assert features.where("Age IS NOT NULL").count() == expected.where("Age IS NOT NULL").count()
+    applications = layers.applications(loans)
+    matched = applications.join(attributes, "Customer_ID", "left_semi").count()
+    assert features.count() == applications.count()
+    # one row each, and that one of the customer's own
+    of_customer = attributes.select("Customer_ID", F.col("Age").alias("_age"), F.col("Occupation").alias("_occupation"))
+    same = F.col("Age").eqNullSafe(F.col("_age")) & F.col("Occupation").eqNullSafe(F.col("_occupation"))
+    own = features.withColumnRenamed("Customer_ID", "_id").join(of_customer, same & (F.col("_id") == F.col("Customer_ID")), "left_semi")
+    assert own.count() == matched > 0
+    every = layers.feature_store(*sources, every_undated_row=True)
+    expected = applications.join(attributes.select("Customer_ID", "Age"), "Customer_ID", "left")
+    assert every.count() == expected.count() > features.count()
+    assert every.where("Age IS NOT NULL").count() == expected.where("Age IS NOT NULL").count()
 
 
 def test_training_set_pairs_a_loan_with_its_own_outcome(spark, features):
