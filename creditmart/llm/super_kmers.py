@@ -5,14 +5,16 @@ words with the least hash (of equal ones the first). Consecutive windows whose m
 stands at one place form a super-k-mer and travel as one packed string, their words, to the
 bucket of that minimiser; equal windows have equal minimisers, hence meet in a bucket.
 
-1. Texts give (minimiser, start, windows) for each super-k-mer: numbers only. Minimisers that
-   occur once leave; their buckets could not hold a window twice.
-2. The others are cut out of their texts and packed. Equal packed strings are told by their
-   128-bit digests, first within a task, then together; all but the first are removed as
-   they are, so a passage in a third of all texts is one string in its bucket.
-3. A bucket sorts the windows of its packed strings and sees which stand earlier. A bucket
-   with more than ``bucket_rows`` different strings (a common line within ever other words)
-   is spread out: its windows are grouped one by one by their digests. None is left out.
+1. Texts give (minimiser, place) for each super-k-mer: numbers only. Minimisers that occur
+   once leave; their buckets could not hold a window twice.
+2. The others are named by 128-bit digests of their words. Equal ones are told by their
+   names, first within a task, then together; all but the first are removed as they are, so
+   a passage in a third of all texts is one string in its bucket, or none, where no other
+   string has its minimiser.
+3. Strings that share a bucket with others are packed and travel there. The bucket sorts
+   their windows and sees which stand earlier. A bucket with more than ``bucket_rows``
+   different strings (a common line within ever other words) is spread out: its windows are
+   grouped one by one by their digests. None is left out.
 4. Windows that stand earlier come back to their texts, whose covered words are removed.
 
 Texts are ordered by doc_id, rows without one last; a row's windows by their start.
@@ -33,10 +35,12 @@ from pyspark.sql import functions as F
 from creditmart.llm.common import raw_values, shared_folder
 
 WINDOW = 20
-GRAM = 4
+GRAM = 8
 #: Different packed strings of a minimiser that are sorted together in a task at most.
 BUCKET_ROWS = 20_000
 _LAST = (1 << 63) - 1
+#: Bits of a place that hold the number of windows.
+_SHIFT = 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -102,6 +106,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
         text.alias("text"),
         F.coalesce(doc_id, F.lit(_LAST)).alias("order"),
         F.xxhash64(text).alias("key"),
+        # finds a text; texts that share it get each other's places too, which changes nothing
+        F.xxhash64(doc_id, text).alias("row"),
     )
 
 
@@ -112,7 +118,7 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
     fields = [field.split() for field in schema.split(", ")]
     columns = zip(*rows, strict=True) if rows else [[]] * len(fields)
     arrays = [pa.array(column, kinds[kind]) for column, (_, kind) in zip(columns, fields, strict=True)]
@@ -120,59 +126,87 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def _all_super_kmers(keyed: DataFrame, window: int, gram: int) -> DataFrame:
+    """(row, minimiser, place) of every super-k-mer; a place is a start and a number of windows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for batch in batches:
-            found = [super_kmers(raw.split(), hashes, window, gram) for raw in raw_values(batch.column(2))]
+            found = [super_kmers(raw.split(), hashes, window, gram) for raw in raw_values(batch.column(1))]
             if not found:
                 continue
             rows = pa.array(np.repeat(np.arange(len(found)), [len(starts) for _, starts, _ in found]))
-            columns = [pa.array(np.concatenate(column)) for column in zip(*found, strict=True)]
+            minimisers, starts, windows = (np.concatenate(column) for column in zip(*found, strict=True))
+            places = starts.astype(np.int64) << _SHIFT | windows
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), *columns],
-                names=["order", "key", "minimiser", "start", "windows"],
+                [batch.column(0).take(rows), pa.array(minimisers), pa.array(places)], names=["row", "minimiser", "place"]
             )
 
-    schema = "order long, key long, minimiser long, start int, windows int"
-    return keyed.select("order", "key", "text").mapInArrow(run, schema)
+    return keyed.select("row", "text").mapInArrow(run, "row long, minimiser long, place long")
 
 
-def _packed(keyed: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """Wanted super-k-mers with their words as one string.
+def _at(keyed: DataFrame, wanted: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """Texts with lists of their wanted super-k-mers."""
+    lists = wanted.groupBy(*by).agg(F.collect_set(F.struct(*columns)).alias("wanted"))
+    return keyed.select("order", "key", "text", *(c for c in by if c == "row")).join(lists, by).select("order", "key", "text", "wanted")
 
-    Those that the task has met at an earlier place come without a string: they are to be removed.
-    """
-    lists = wanted.groupBy("order", "key").agg(F.collect_set(F.struct("start", "windows", "minimiser")).alias("wanted"))
-    joined = keyed.select("order", "key", "text").join(lists, ["order", "key"])
-    schema = "order long, key long, minimiser long, start int, windows int, d1 long, d2 long, packed binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple]:
+    """(order, key, start, windows, other fields, packed string) of each wanted super-k-mer."""
+    for batch in batches:
+        columns = (batch.column(0), batch.column(1), raw_values(batch.column(2)), batch.column(3))
+        for order, key, raw, wanted in zip(*columns, strict=True):
+            words, name = raw.split(), (order.as_py(), key.as_py())
+            for place, *others in sorted(zip(*(column.to_pylist() for column in wanted.values.flatten()), strict=True)):
+                start, windows = place >> _SHIFT, place & (1 << _SHIFT) - 1
+                end = start + windows - 1 + window
+                if end <= len(words):
+                    yield *name, start, windows, *others, b" ".join(words[start:end])
+
+
+def _batches(rows: Iterator[tuple], schema: str, size: int = 20_000) -> Iterator[pa.RecordBatch]:
+    held: list[tuple] = []
+    for row in rows:
+        held.append(row)
+        if len(held) == size:
+            yield _batch(held, schema)
+            held = []
+    yield _batch(held, schema)
+
+
+def _named(keyed: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+    """Wanted super-k-mers with their names; ``later`` if the task has met one at an earlier place."""
+    schema = "order long, key long, minimiser long, place long, d1 long, d2 long, later boolean"
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         met: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for batch in batches:
-            rows, size = [], 0
-            columns = (batch.column(0), batch.column(1), raw_values(batch.column(2)), batch.column(3))
-            for order, key, raw, wanted in zip(*columns, strict=True):
-                words, name = raw.split(), (order.as_py(), key.as_py())
-                asked = wanted.values.flatten()
-                for start, windows, minimiser in sorted(zip(*(column.to_pylist() for column in asked), strict=True)):
-                    packed = b" ".join(words[start : start + windows - 1 + window])
-                    digest, place = _digest(packed), (*name, start)
-                    before = met.get(digest, place)
-                    if digest in met and before == place:
-                        continue  # a row that repeats
-                    later = before[0] < name[0] or (before[:2] == name and before[2] < start)
-                    if before[0] > name[0] or digest not in met:
-                        met[digest] = place
-                    rows.append((*name, minimiser, start, windows, *digest, None if later else packed))
-                    size += 100 + (0 if later else len(packed))
-                    if size > 4 << 20:
-                        yield _batch(rows, schema)
-                        rows, size = [], 0
+        for order, key, start, windows, minimiser, packed in _cut(batches, window):
+            digest, place = _digest(packed), (order, key, start)
+            before = met.get(digest, place)
+            if digest in met and before == place:
+                continue  # a row that repeats
+            later = before[0] < order or (before[:2] == (order, key) and before[2] < start)
+            if before[0] > order or digest not in met:
                 if len(met) > 500_000:
                     met.clear()
-            yield _batch(rows, schema)
+                met[digest] = place
+            yield order, key, minimiser, start << _SHIFT | windows, *digest, later
 
-    return joined.mapInArrow(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _batches(named(batches), schema)
+
+    return _at(keyed, wanted, ["row"], ["place", "minimiser"]).mapInArrow(run, schema)
+
+
+def _packed(keyed: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+    """Wanted super-k-mers with their words as one string."""
+    schema = "order long, key long, start int, minimiser long, n long, packed binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut = _cut(batches, window)
+        rows = ((order, key, start, *others, packed) for order, key, start, _, *others, packed in cut)
+        yield from _batches(rows, schema)
+
+    return _at(keyed, wanted, ["order", "key"], ["place", "minimiser", "n"]).mapInArrow(run, schema)
 
 
 def _own_shuffle(column: str) -> Column:
@@ -245,24 +279,26 @@ def _repeated(keyed: DataFrame, window: int, gram: int, bucket_rows: int) -> Dat
     again = every.groupBy("minimiser").agg(F.count("*").alias("n")).where("n > 1")
     again = again.select(_own_shuffle("minimiser").alias("_again"))
     shared = every.join(again, _own_shuffle("minimiser") == F.col("_again"), "left_semi")
-    packed = _written(_packed(keyed, shared, window), "packed")
+    named = _written(_named(keyed, shared, window), "named")
 
-    firsts = packed.where("packed IS NOT NULL").groupBy("d1", "d2").agg(F.min("order").alias("first"))
+    firsts = named.where("NOT later").groupBy("d1", "d2").agg(F.min("order").alias("first"))
     firsts = firsts.select(_own_shuffle("d1").alias("_d1"), F.col("d2").alias("_d2"), "first")
-    placed = packed.join(firsts, (_own_shuffle("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2")))
-    is_first = F.col("packed").isNotNull() & (F.col("order") == F.col("first"))
-    placed = placed.withColumn("packed", F.when(is_first, F.col("packed")))
-    placed = _written(placed.select("order", "key", "minimiser", "start", "windows", "packed"), "placed")
-
-    found = placed.where("packed IS NULL").select("order", "key", "start", "windows")
-    rows = placed.where("packed IS NOT NULL")
+    placed = named.join(firsts, (_own_shuffle("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2")))
+    is_first = (~F.col("later") & (F.col("order") == F.col("first"))).alias("is_first")
+    placed = _written(placed.select("order", "key", "minimiser", "place", is_first), "placed")
+
+    start = F.shiftrightunsigned("place", _SHIFT).cast("int").alias("start")
+    windows = F.col("place").bitwiseAND(F.lit((1 << _SHIFT) - 1)).cast("int").alias("windows")
+    found = placed.where("NOT is_first").select("order", "key", start, windows)
+    rows = placed.where("is_first")
     buckets = rows.groupBy("minimiser").agg(F.count("*").alias("n")).where("n > 1")
     buckets = buckets.select(_own_shuffle("minimiser").alias("_bucket"), "n")
-    crowded = buckets.where(F.col("n") > bucket_rows)
-    met = rows.join(buckets, _own_shuffle("minimiser") == F.col("_bucket"))
+    together = rows.join(buckets, _own_shuffle("minimiser") == F.col("_bucket"))
+    met = _written(_packed(keyed, together, window), "packed")
     found = found.unionByName(_searched_buckets(met.where(F.col("n") <= bucket_rows), window))
+    crowded = met.where(F.col("n") > bucket_rows)
     if not crowded.isEmpty():
-        found = found.unionByName(_grouped_windows(met.where(F.col("n") > bucket_rows), window))
+        found = found.unionByName(_grouped_windows(crowded, window))
     return found.groupBy("order", "key").agg(F.collect_set(F.struct("start", "windows")).alias("found"))
 
 
