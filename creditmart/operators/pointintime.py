@@ -49,21 +49,30 @@ class State:
         return [f"last({self.name}, true) OVER ({_window('UNBOUNDED')}) AS {self.name}"]
 
 
+def daily_totals(frame: DataFrame, features: Sequence[str] = tuple(fixed.CLICK_FEATURES)) -> DataFrame:
+    """Rows, and sum and count of each feature, per customer and day: what means over any span
+    of days are made of. Stored by month, a month's rows are read once for all later windows."""
+    totals = [F.expr(f"sum({quoted(f)})").alias(f"_sum_{f}") for f in features]
+    counts = [F.expr(f"count({quoted(f)})").alias(f"_n_{f}") for f in features]
+    return _dated(frame).groupBy(KEY, TIME).agg(F.expr("count(*) AS _rows"), *totals, *counts)
+
+
 @dataclass(frozen=True)
 class LookBack:
-    """Means of ``features`` over the ``days`` before the lookup date, both ends in."""
+    """Means of ``features`` over the ``days`` before the lookup date, both ends in.
+
+    ``frame`` has the rows, or, with ``of_totals``, their daily totals.
+    """
 
     frame: DataFrame
     features: Sequence[str] = tuple(fixed.CLICK_FEATURES)
     days: int = fixed.LOOK_BACK_DAYS
     suffix: str = "last_6m"
     count_name: str = "clickstream_snapshot_count"
+    of_totals: bool = False
 
     def per_day(self) -> DataFrame:
-        totals = [F.expr(f"sum({f}) AS _sum_{f}") for f in self.features]
-        counts = [F.expr(f"count({f}) AS _n_{f}") for f in self.features]
-        rows = F.expr("count(*) AS _rows")
-        return _dated(self.frame).groupBy(KEY, TIME).agg(rows, *totals, *counts)
+        return self.frame if self.of_totals else daily_totals(self.frame, self.features)
 
     def lookups(self) -> list[str]:
         def total(column: str) -> str:
@@ -145,6 +154,31 @@ def history_join(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+def bucketed_history_join(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``history_join`` on (customer, month), for customers with a large part of all rows.
+
+    The right side is keyed by the month of its date, the left side by every month from its
+    customer's first one to its own; the dates are compared in the last of them only. So a
+    customer's rows spread over as many keys as there are months, and with the skew join's
+    splits over more. A left row is copied once per month, a match found once as before.
+    """
+    new = [c for c in right.columns if c not in left.columns]
+    states = _dated(right).select(
+        F.col(KEY).alias("_key"), F.col(TIME).alias("source_date"), F.trunc(TIME, "month").alias("_month"), *map(quoted, new)
+    )
+    first = states.groupBy("_key").agg(F.min("source_date").alias("_first"))
+    # a key of its own gives the join a shuffle of its own, whose hot customers can be split
+    first = first.select(F.concat("_key", F.lit("")).alias("_customer"), "_first")
+    known = (F.col(KEY) == F.col("_customer")) & (F.col("_first") <= F.col(TIME))
+    rows = left.select(F.struct(*map(quoted, left.columns)).alias("_row"), KEY, TIME)
+    months = F.sequence(F.trunc("_first", "month"), F.trunc(TIME, "month"), F.expr("INTERVAL 1 MONTH"))
+    probes = rows.join(first, known).select("_row", KEY, TIME, F.explode(months).alias("_bucket"))
+    met = (F.col(KEY) == F.col("_key")) & (F.col("_bucket") == F.col("_month")) & (F.col("source_date") <= F.col(TIME))
+    matched = probes.join(states, met).select("_row.*", *map(quoted, new), "source_date")
+    unmatched = left.join(first, known, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True).select(*map(quoted, left.columns), *map(quoted, new), "source_date")
+
+
 def customer_join(left: DataFrame, right: DataFrame, every_row: bool = False) -> DataFrame:
     """Left join on the customer alone, for a table without dates.
 

@@ -6,6 +6,7 @@ months that a layer writes become visible together, see ``publication``.
 
     <base>/<run_id>/bronze/...                          raw text, by snapshot_date
     <base>/<run_id>/silver/<table>/period=<month>       typed rows, by bronze month
+    <base>/<run_id>/silver/click_totals/period=<month>  clicks summed by customer and day
     <base>/<run_id>/quarantine/source=/rule=/period=    rows taken out, and malformed lines
     <base>/<run_id>/gold/label_store, feature_store     by snapshot month
     <base>/<run_id>/vocabulary/version=<n>              loan types named so far
@@ -25,17 +26,18 @@ from pyspark.sql import functions as F
 
 from creditmart import fixed_values as fixed
 from creditmart.functions import quoted
-from creditmart.operators import changes, derivations, labels, metrics
+from creditmart.operators import changes, derivations, labels, metrics, pointintime
 from creditmart.operators.pointintime import KEY, TIME
 from creditmart.operators.validation import DROPPED, KEPT, OUTCOME, QUARANTINED
 from creditmart.plans import layers, manifest, vocabulary
 from creditmart.plans.layers import FATE, RULE
-from creditmart.plans.specs import BY_SOURCE, FINANCIALS, LOAN_DAILY, TABLES, TableSpec
+from creditmart.plans.specs import BY_SOURCE, CLICKSTREAM, FINANCIALS, LOAN_DAILY, TABLES, TableSpec
 from creditmart.sources import extracts, files, tables
 from creditmart.sources.publication import Publication, discard_unpublished, folder, recover
 
 LAYERS = ("bronze", "silver", "gold")
 PERIOD = "period"
+TOTALS = "click_totals"
 UNDATED = manifest.UNDATED
 MALFORMED_RULE = "malformed_line"
 
@@ -189,6 +191,11 @@ class Run:
         self._store_metrics(
             published, incoming.unionByName(metrics.of_sorted_out(written, spec.name, F.col(PERIOD))), spec.name, mine
         )
+        if spec is CLICKSTREAM and dated:
+            # later months look back on these totals and read no clicks of this one again
+            totals = pointintime.daily_totals(written.where(F.col(FATE) == KEPT).withColumn(TIME, F.col(PERIOD).cast("date")))
+            totals = totals.withColumn(PERIOD, F.col(TIME).cast("string"))
+            published.replace_partitions(totals, self.path("silver", TOTALS), [PERIOD], lambda p: mine(p[PERIOD]), gather=True)
         if spec is FINANCIALS:
             named = vocabulary.named(written.where(F.col(FATE) == KEPT), F.col(PERIOD))
             vocabulary.merge(published, self.path("vocabulary"), named)
@@ -215,6 +222,7 @@ class Run:
         """Months that bronze has no rows of any more leave silver, quarantine and metrics."""
         for path, partition_by, of_table in (
             (self.path("silver", spec.name), [PERIOD], {}),
+            *([(self.path("silver", TOTALS), [PERIOD], {})] if spec is CLICKSTREAM else []),
             (self.path("quarantine"), ["source", "rule", PERIOD], {"source": spec.name}),
             (self.path("metrics"), ["table", PERIOD], {"table": spec.name}),
         ):
@@ -261,6 +269,16 @@ class Run:
         rows = tables.read_partitions(self.spark, path, PERIOD, [m for m in written if months(m)], dated.schema)
         return dated if rows is None else rows
 
+    def click_totals(self, months: Months = lambda month: True) -> DataFrame:
+        """Daily totals of the wanted months' clicks."""
+        path = self.path("silver", TOTALS)
+        written = [p[PERIOD] for p in tables.partition_values(self.spark, path, [PERIOD])]
+        empty = pointintime.daily_totals(layers.silver(CLICKSTREAM, CLICKSTREAM.empty_raw(self.spark), self.as_of))
+        rows = tables.read_partitions(
+            self.spark, path, PERIOD, [m for m in written if months(m)], empty.schema.add(PERIOD, "date")
+        )
+        return empty if rows is None else rows.drop(PERIOD)
+
     # ---- gold -----------------------------------------------------------------
 
     def gold(self) -> None:
@@ -300,8 +318,9 @@ class Run:
             loans.drop(PERIOD),
             self._stored(TABLES["attributes"], past).drop(PERIOD),
             self._stored(FINANCIALS, past).drop(PERIOD),
-            self._stored(TABLES["clickstream"], recent).drop(PERIOD),
+            self.click_totals(recent),
             with_loan_types=True,
+            clicks_are_totals=True,
         )
         self.rows["gold.feature_store"] = published.replace_partitions(
             features,

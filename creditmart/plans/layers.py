@@ -135,6 +135,7 @@ def feature_store(
     with_flags: bool = False,
     every_undated_row: bool = False,
     with_loan_types: bool = False,
+    clicks_are_totals: bool = False,
 ) -> DataFrame:
     """One row per application with all that was known about its customer then.
 
@@ -143,7 +144,8 @@ def feature_store(
     financials without dates join on the customer alone: with the greatest of the
     customer's rows, or, with ``every_undated_row``, once with each of them.
     ``with_loan_types`` keeps the array of loan types that financials have, for indicators
-    of types that are not known yet.
+    of types that are not known yet. With ``clicks_are_totals`` the clickstream comes as
+    daily totals.
     """
     base = applications(loans)
     tables = {
@@ -157,7 +159,7 @@ def feature_store(
         else:
             payload = F.struct(*(c for c in frame.columns if c != KEY)).alias(table)
             base = pointintime.customer_join(base, frame.select(KEY, payload), every_undated_row)
-    clicks = pointintime.LookBack(clickstream)
+    clicks = pointintime.LookBack(clickstream, of_totals=clicks_are_totals)
     # loans give the same (customer, date) pairs as ``base``, without waiting for its distinct
     known = pointintime.timeline(labels.at_month(loans, 0), [*states, clicks])
     taken = {*APPLICATION_COLUMNS, *(f"avg_{f}_last_6m" for f in fixed.CLICK_FEATURES), clicks.count_name}

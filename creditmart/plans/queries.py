@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from creditmart import fixed_values as fixed
 from creditmart.functions import checks, parsing, project, quoted
-from creditmart.operators import derivations, encodings, labels, pointintime, quality
+from creditmart.operators import changes, derivations, encodings, labels, metrics, pointintime, quality
 from creditmart.operators.validation import kept_rows, quarantined_rows, type_columns
-from creditmart.plans import layers
+from creditmart.plans import layers, vocabulary
 from creditmart.plans.specs import ATTRIBUTES, CLICKSTREAM, FINANCIALS, LOAN_DAILY, TABLES
 from creditmart.session import tune
 from creditmart.sources import roles, tables
@@ -511,3 +511,115 @@ def retention_report(spark, folder):
 @query
 def quarantine_counts(spark, folder):
     return quality.quarantine_counts(quarantined_rows(flagged("financials", spark, folder), "financials"))
+
+
+@query
+def table_metrics(spark, folder):
+    """Counts of two tables by month: rows that came in, stayed, were quarantined, and states of flags."""
+    counted = []
+    for name in ("loan_daily", "financials"):
+        day, spec = F.col("snapshot_date"), TABLES[name]
+        counted.append(metrics.of_rows(typed(name, spark, folder).select(day), name, day, metrics.IN))
+        counted.append(metrics.of_sorted_out(layers.sorted_out(spec, flagged(name, spark, folder)), name, day))
+    return metrics.together(counted)
+
+
+@query
+def quality_off_metrics(spark, folder):
+    """The quality report of the loans, read off their metrics."""
+    day = F.col("snapshot_date")
+    rows = layers.sorted_out(LOAN_DAILY, flagged("loan_daily", spark, folder))
+    return metrics.quality_report(metrics.of_sorted_out(rows, "loan_daily", day))
+
+
+# ---- increments ---------------------------------------------------------------
+
+
+def _before(rows: DataFrame) -> DataFrame:
+    """The delivery of a source before: some customers' rows of a year differ, others lack."""
+    rows = rows.where("NOT (snapshot_date LIKE '2022%' AND Customer_ID LIKE '%a')")
+    value = next(c for c in rows.columns if c not in ("Customer_ID", "snapshot_date", "Name"))
+    changed = "snapshot_date LIKE '2021%' AND Customer_ID LIKE '%7'"
+    return project(rows, {value: f"CASE WHEN {changed} THEN '77' ELSE {quoted(value)} END"})
+
+
+def _changed(raw: DataFrame) -> DataFrame:
+    versions = [project(rows, {"snapshot_date": parsing.to_date("snapshot_date")}) for rows in (_before(raw), raw)]
+    return changes.changed_customers(*versions)
+
+
+@query
+def month_fingerprints(spark, folder):
+    """Rows and digest of every month of the attributes and the clicks."""
+    found = []
+    for name in ("attributes", "clickstream"):
+        counted = changes.fingerprints(roles.RAW[name](spark, folder), ["snapshot_date"])
+        found.append(counted.withColumn("source", F.lit(name)))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def changed_months(spark, folder):
+    """Months of the attributes that differ from the delivery before."""
+    raw = roles.raw_attributes(spark, folder)
+    versions = [changes.fingerprints(rows, ["snapshot_date"]) for rows in (_before(raw), raw)]
+    return changes.differing(*versions, ["snapshot_date"])
+
+
+@query
+def changed_customers(spark, folder):
+    """Customers and days of the attributes that differ from the delivery before."""
+    return _changed(roles.raw_attributes(spark, folder))
+
+
+@query
+def touched_as_of(spark, folder):
+    """Applications that see a changed attribute row, by month."""
+    touched = changes.touched_as_of(
+        layers.applications(loans(spark, folder)),
+        _changed(roles.raw_attributes(spark, folder)),
+        attributes(spark, folder).where("snapshot_date IS NOT NULL"),
+    )
+    return touched.groupBy("snapshot_date").agg(F.count("*").alias("applications"))
+
+
+@query
+def touched_look_back(spark, folder):
+    """Applications that look back on changed clicks, by month."""
+    touched = changes.touched_look_back(
+        layers.applications(loans(spark, folder)), _changed(roles.raw_clickstream(spark, folder))
+    )
+    return touched.groupBy("snapshot_date").agg(F.count("*").alias("applications"))
+
+
+@query
+def vocabulary_by_period(spark, folder):
+    """Loan types and the first month that names each."""
+    return vocabulary.named(layers.silver(FINANCIALS, roles.raw_financials(spark, folder), AS_OF), F.col("snapshot_date"))
+
+
+# ---- other ways to the same rows ------------------------------------------------
+
+
+@query
+def click_daily_totals(spark, folder):
+    return pointintime.daily_totals(clickstream(spark, folder))
+
+
+@query
+def clickstream_window_totals(spark, folder):
+    """The look-back averages, from daily totals."""
+    return pointintime.look_back_join(
+        layers.applications(loans(spark, folder)),
+        pointintime.daily_totals(clickstream(spark, folder)),
+        of_totals=True,
+    )
+
+
+@query
+def pit_join_bucketed(spark, folder):
+    """Every earlier attribute row of each application's customer, joined by customer and month."""
+    return pointintime.bucketed_history_join(
+        layers.applications(loans(spark, folder)),
+        attributes(spark, folder).select("Customer_ID", "snapshot_date", "Age", "Occupation"),
+    )

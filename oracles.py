@@ -525,4 +525,103 @@ BODIES = {
       WHERE fate NOT IN ('kept', 'dropped') GROUP BY fate""",
 }
 
+BODIES["clickstream_window_totals"] = BODIES["clickstream_window"]
+BODIES["pit_join_bucketed"] = BODIES["pit_join_attributes"]
+
+# ---- metrics --------------------------------------------------------------------
+
+
+def _metrics(table: str, flagged: str, typed: str, kept: str, quarantined: str, silver: str, flags: list[str]) -> str:
+    def rows(metric: str, flag: str, counted: str, source: str) -> str:
+        return (
+            f"SELECT '{table}' AS table, CAST(snapshot_date AS VARCHAR) AS period, '{metric}' AS metric,"
+            f" {flag} AS flag, {counted} AS rows FROM {source} GROUP BY snapshot_date"
+        )
+
+    left = f"(SELECT snapshot_date, {kept} AS is_kept FROM {flagged} WHERE {kept} OR {quarantined})"
+    parts = [
+        rows("in", "CAST(NULL AS VARCHAR)", "count(*)", typed),
+        rows("kept", "CAST(NULL AS VARCHAR)", "count(*) FILTER (is_kept)", left),
+        rows("quarantined", "CAST(NULL AS VARCHAR)", "count(*) FILTER (NOT is_kept)", left),
+    ]
+    for state, test in (("valid", "{}"), ("invalid", "NOT {}"), ("unknown", "{} IS NULL")):
+        parts += [
+            f"SELECT '{table}' AS table, CAST(p.snapshot_date AS VARCHAR) AS period, '{state}' AS metric, '{flag}' AS flag,"
+            f" count(*) FILTER ({test.format('s.' + flag)} AND s.snapshot_date IS NOT NULL) AS rows"
+            f" FROM (SELECT DISTINCT snapshot_date FROM {left}) p LEFT JOIN {silver} s ON p.snapshot_date = s.snapshot_date"
+            " GROUP BY p.snapshot_date"
+            for flag in flags
+        ]
+    return "\nUNION ALL ".join(parts)
+
+
+BODIES["table_metrics"] = "\nUNION ALL ".join([
+    _metrics("loan_daily", "flagged_loans", "typed_loans", f"(NOT {_BAD_ROW})", "false", "loans",
+             COMMON_FLAGS + [f"valid_{a}" for a in LOAN_AMOUNTS]),
+    _metrics("financials", "flagged_financials", "typed_financials", "(fate = 'kept')",
+             "(fate NOT IN ('kept', 'dropped'))", "financials", COMMON_FLAGS + FIN_FLAGS),
+])
+BODIES["quality_off_metrics"] = (
+    "SELECT * EXCLUDE (snapshot_date), snapshot_date AS period FROM ("
+    + _quality("loans", COMMON_FLAGS + [f"valid_{a}" for a in LOAN_AMOUNTS]) + " )"
+)
+
+# ---- increments -----------------------------------------------------------------
+
+
+def _digest(columns: list[str]) -> str:
+    values = " || '|' || ".join(f"coalesce(CAST(length({c}) AS VARCHAR) || ':' || {c}, '-')" for c in columns)
+    return f"CAST(sum(CAST('0x' || substr(md5({values}), 1, 15) AS BIGINT)) AS VARCHAR)"
+
+
+ATTRIBUTE_VALUES = ["Customer_ID", "Name", "Age", "SSN", "Occupation"]
+
+
+def _before(raw: str, value: str) -> str:
+    return f"""SELECT * REPLACE (CASE WHEN snapshot_date LIKE '2021%' AND Customer_ID LIKE '%7' THEN '77' ELSE {value} END AS {value})
+      FROM {raw} WHERE NOT (snapshot_date LIKE '2022%' AND Customer_ID LIKE '%a')"""
+
+
+def _changed(raw: str, by: list[str], values: list[str], value: str) -> str:
+    def side(rows: str) -> str:
+        return f"(SELECT {', '.join(by)}, count(*) AS rows, {_digest(values)} AS digest FROM ({rows} ) GROUP BY {', '.join(by)})"
+
+    names = ", ".join(f"coalesce(o.{c}, n.{c}) AS {c}" for c in by)
+    same = " AND ".join(f"o.{c} = n.{c}" for c in by)
+    return f"""SELECT {names} FROM {side(_before(raw, value))} o FULL JOIN {side('SELECT * FROM ' + raw)} n ON {same}
+      WHERE o.rows IS DISTINCT FROM n.rows OR o.digest IS DISTINCT FROM n.digest"""
+
+
+BODIES["month_fingerprints"] = "\nUNION ALL ".join(
+    f"SELECT '{source}' AS source, snapshot_date, count(*) AS rows, {_digest(values)} AS digest FROM {raw} GROUP BY snapshot_date"
+    for source, raw, values in (
+        ("attributes", "raw_attributes", ATTRIBUTE_VALUES),
+        ("clickstream", "raw_clickstream", ["Customer_ID", *FE]),
+    )
+)
+BODIES["changed_months"] = _changed("raw_attributes", ["snapshot_date"], ATTRIBUTE_VALUES, "Age")
+_CUSTOMERS = ["Customer_ID", "snapshot_date"]
+BODIES["changed_customers"] = _changed("raw_attributes", _CUSTOMERS, ATTRIBUTE_VALUES[1:], "Age")
+BODIES["touched_as_of"] = f"""
+  SELECT CAST(snapshot_date AS VARCHAR) AS snapshot_date, count(*) AS applications FROM (
+    SELECT DISTINCT a.Customer_ID, a.snapshot_date FROM applications a
+    JOIN ({BODIES["changed_customers"]} ) c ON a.Customer_ID = c.Customer_ID AND a.snapshot_date >= CAST(c.snapshot_date AS DATE)
+    WHERE NOT EXISTS (SELECT 1 FROM attributes t WHERE t.Customer_ID = c.Customer_ID
+      AND t.snapshot_date > CAST(c.snapshot_date AS DATE) AND t.snapshot_date <= a.snapshot_date))
+  GROUP BY snapshot_date"""
+BODIES["touched_look_back"] = f"""
+  SELECT CAST(snapshot_date AS VARCHAR) AS snapshot_date, count(*) AS applications FROM (
+    SELECT DISTINCT a.Customer_ID, a.snapshot_date FROM applications a
+    JOIN ({_changed("raw_clickstream", _CUSTOMERS, FE, FE[0])} ) c ON a.Customer_ID = c.Customer_ID
+      AND a.snapshot_date - CAST(c.snapshot_date AS DATE) BETWEEN 0 AND 180)
+  GROUP BY snapshot_date"""
+BODIES["vocabulary_by_period"] = f"""
+  SELECT loan_type, CAST(min(snapshot_date) AS VARCHAR) AS first_period FROM (
+    SELECT snapshot_date, trim(unnest(string_split(replace(Type_of_Loan, ' and ', ','), ','))) AS loan_type
+    FROM ({_KEPT})) WHERE contains(loan_type, 'Loan') GROUP BY loan_type"""
+BODIES["click_daily_totals"] = f"""
+  SELECT Customer_ID, CAST(snapshot_date AS VARCHAR) AS snapshot_date, count(*) AS _rows,
+    {_lines([f"CAST(sum({f}) AS BIGINT) AS _sum_{f}" for f in FE] + [f"count({f}) AS _n_{f}" for f in FE])}
+  FROM clickstream WHERE Customer_ID IS NOT NULL AND snapshot_date IS NOT NULL GROUP BY Customer_ID, clickstream.snapshot_date"""
+
 ORACLE_SQL = {name: _with(body) for name, body in BODIES.items()}

@@ -46,9 +46,11 @@ def exchanges(text):
 def stored(spark, tmp_path_factory):
     """Silver tables of the role views."""
     run = job.Run(spark, str(tmp_path_factory.mktemp("mart")), "r", dt.date(2023, 1, 1), dt.date(2023, 12, 1), queries.AS_OF)
+    published = run._publication()
     for name, spec in TABLES.items():
         raw = layers.bronze(roles.RAW[name](spark, SF), run.first, run.last)
-        run._silver_table(spec, raw.withColumn(job.PERIOD, F.col("snapshot_date")))
+        run._silver_table(published, spec, raw.withColumn(job.PERIOD, F.col("snapshot_date")), run.covers)
+    published.commit()
     return run
 
 

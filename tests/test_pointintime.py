@@ -157,3 +157,42 @@ def test_skewed_row_side_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot_customer(spark):
+    customer = "IF(id % 3 = 0, 'hot', concat('c', id % 50)) AS Customer_ID"
+    day_of = "date_add(DATE '2021-01-15', CAST(id * {} % 1000 AS INT)) AS snapshot_date"
+    applications = spark.range(900).selectExpr("concat('L', id) AS loan_id", customer, day_of.format(37), "0 AS mob")
+    states = spark.range(2000).selectExpr(customer, day_of.format(53), "CAST(id % 90 AS INT) AS Age", "'P' AS Job")
+    nobody = spark.createDataFrame([("N", None, day(7), 0), ("E", "early", dt.date(2020, 1, 1), 0)], applications.schema)
+    early = spark.createDataFrame([("early", dt.date(2022, 1, 1), 1, "P"), (None, day(7), 2, "P"), ("hot", None, 3, "P")], states.schema)
+    return applications.unionByName(nobody), states.unionByName(early)
+
+
+def test_month_buckets_give_the_same_history(spark):
+    applications, states = hot_customer(spark)
+    plain = pointintime.history_join(applications, states)
+    bucketed = pointintime.bucketed_history_join(applications, states)
+    assert bucketed.columns == plain.columns
+    assert bucketed.exceptAll(plain).isEmpty() and plain.exceptAll(bucketed).isEmpty()
+
+
+def test_month_buckets_spread_a_hot_customer(spark):
+    """A customer with a third of all rows is joined under as many keys as there are months."""
+    applications, states = hot_customer(spark)
+    plan = pointintime.bucketed_history_join(applications, states)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_bucket" in plan and "_month" in plan
+    keyed = states.selectExpr("Customer_ID", "trunc(snapshot_date, 'month') AS month").where("Customer_ID IS NOT NULL AND month IS NOT NULL")
+    largest = keyed.groupBy("Customer_ID", "month").count().agg({"count": "max"}).first()[0]
+    assert keyed.where("Customer_ID = 'hot'").count() > 600 and largest < 60
+
+
+def test_daily_totals_give_the_same_averages(spark):
+    applications = spark.createDataFrame([("L", "c", day(7)), ("M", "c", day(3)), ("N", "x", day(7))], APPLICATIONS)
+    rows = [("c", day(m, d), m * d, None if d == 2 else 5) for m in range(1, 8) for d in (1, 1, 2)] + [(None, day(7), 1, 1)]
+    clicks = spark.createDataFrame(rows, CLICKS)
+    direct = pointintime.look_back_join(applications, clicks, features=("a", "b"))
+    # totals of two parts of the months, as a run stores them
+    parts = [pointintime.daily_totals(clicks.where(part), ("a", "b")) for part in ("month(snapshot_date) < 4", "month(snapshot_date) >= 4")]
+    stored = pointintime.look_back_join(applications, parts[0].unionByName(parts[1]), features=("a", "b"), of_totals=True)
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, direct.collect()))
