@@ -3,7 +3,8 @@
 A vocabulary learned from ordinary text covers ordinary strings with few tokens. A run
 of letters and digits that needs many tokens for its length is random, and random runs
 are keys. Runs that are known to be random for other reasons (digests of the usual
-lengths, UUIDs, numbers, words, names of files and links) are excluded first.
+lengths, UUIDs, numbers) are excluded first; words, names of files and links have ratios
+above the limits.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from creditmart.llm.tokenizing import encoder
 KINDS = ("assign", "access", "hex", "random")
 #: A run is random if its characters per token are below this.
 MAX_CHARS_PER_TOKEN = 2.0
-MIN_RUN = 20
+#: Characters of the shortest run that is looked at.
+MIN_RUN = 16
 MASK = "[SECRET]"
 
 # letters of the keywords in either case, and no other letters that fold to them
@@ -38,6 +40,7 @@ _HEX = re.compile(r"[0-9a-f]+")
 _LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 _RUN = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{MIN_RUN},}}={{0,2}}(?![A-Za-z0-9+/_-])")
 _DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})", re.IGNORECASE)
+_HEX_DIGITS = re.compile(r"[0-9A-Fa-f]+")
 _UUID = re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", re.IGNORECASE)
 
 
@@ -53,14 +56,32 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return found
 
 
+def limit(run: str, max_chars_per_token: float = MAX_CHARS_PER_TOKEN) -> float:
+    """Characters per token below which a run is random, by its length and its kinds of characters.
+
+    Short runs vary more, so they have to be a little denser. Sixteen letters as in ``0-9A-F``
+    find longer tokens by chance. Small letters alone are often compounds of syllables that
+    the vocabulary lacks; they count from 32 letters on, or where hardly two share a token.
+    """
+    letters = run.rstrip("=")
+    digits = any(c.isdigit() for c in letters)
+    small = any(c.islower() for c in letters)
+    # the first letter of a word may be a capital
+    capital = any(c.isupper() for c in letters[1:]) or (not small and letters[:1].isupper())
+    if digits + small + capital >= 2:
+        if _HEX_DIGITS.fullmatch(letters):
+            return 1.15 * max_chars_per_token
+        return max_chars_per_token if len(letters) >= 20 else 0.95 * max_chars_per_token
+    if capital or (small and len(letters) >= 32):
+        return 0.95 * max_chars_per_token
+    return 0.75 * max_chars_per_token if small else 0.0  # a number
+
+
 def is_random(run: str, coder, max_chars_per_token: float) -> bool:
-    """Whether a run of letters and digits is neither a known identifier nor spelled with ease."""
+    """Whether a run of letters and digits is no known identifier and spelled with many tokens."""
     if _DIGEST.fullmatch(run) or _UUID.fullmatch(run):
         return False
-    kinds = (any(c.isdigit() for c in run), any(c.islower() for c in run), any(c.isupper() for c in run))
-    if not kinds[0] or sum(kinds) < 2:
-        return False  # a number, or words joined
-    return len(run) < max_chars_per_token * len(coder.encode_ordinary(run))
+    return len(run) < limit(run, max_chars_per_token) * len(coder.encode_ordinary(run))
 
 
 def spans(text: str, coder, max_chars_per_token: float = MAX_CHARS_PER_TOKEN) -> list[tuple[int, str, int]]:

@@ -44,6 +44,43 @@ def test_base_spans(found):
         assert all(s.startswith("random:") for s in set(r.spans.split(",")) - set(listed.split(",")) if s)
 
 
+ALPHABETS = {
+    "mixed and digits": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
+    "mixed letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+    "capitals": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "small and digits": "abcdefghijklmnopqrstuvwxyz0123456789",
+    "hexadecimal": "0123456789ABCDEF",
+    "with signs": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+}
+
+
+@pytest.mark.parametrize("kind", ALPHABETS)
+@pytest.mark.parametrize("size", [16, 19, 20, 32, 64])
+def test_keys_of_all_lengths(kind, size):
+    coder, draw = encoder(), random.Random(size)
+    keys = ["".join(draw.choices(ALPHABETS[kind], k=size)) for _ in range(300)]
+    digest = kind == "hexadecimal" and size in (32, 64)  # looks like one, and is excluded
+    caught = sum(bool(secret_scan.spans(f"see {key} there", coder)) for key in keys)
+    assert caught == 0 if digest else caught >= 0.95 * len(keys)
+
+
+def test_small_letters_alone_from_32_on():
+    coder, draw = encoder(), random.Random(2)
+    for size, least in ((32, 0.9), (64, 0.95)):
+        keys = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=size)) for _ in range(300)]
+        assert sum(bool(secret_scan.spans(f"see {key} there", coder)) for key in keys) >= least * len(keys)
+
+
+def test_clean_texts_have_no_random_spans(spark):
+    """Texts that are labelled good: what stands in them is words, whatever their length."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    good = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("quality = 1").select("doc_id")
+    texts = [r.text or "" for r in docs.join(good, "doc_id").select("text").collect()]
+    coder = encoder()
+    found = [s for t in texts for s in secret_scan.spans(t, coder) if s[1] == "random"]
+    assert len(texts) >= 1000 and found == []
+
+
 def test_random_strings_by_tokens():
     coder = encoder()
     rng = random.Random(1)
