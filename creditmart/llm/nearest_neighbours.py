@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from creditmart.llm.common import durable
+
 NEIGHBOURS = 5
 TABLES = 10
 HASHES = 8
@@ -189,6 +191,9 @@ def nearest(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of each row for which ``is_query`` holds.
 
+    A query whose buckets hold fewer than ``k`` rows is compared with all rows, so it has
+    ``k`` neighbours, or all there are.
+
     Score is the cosine in double precision on the vectors as given; ties go to the
     smaller vec_id. Vectors that are null, zero or have null or non-finite components
     take no part, nor do those of another length than most have, nor rows without a
@@ -210,23 +215,34 @@ def nearest(
         counts = hashed.groupBy("tab", "bucket").count()
         return counts.select("tab", "bucket", F.ceil(F.col("count") / size).cast("int").alias(name))
 
-    cut = blocks(index, BLOCK_ROWS, "row_blocks").join(blocks(queries, BLOCK_QUERIES, "query_blocks"), ["tab", "bucket"])
-    own = F.xxhash64("vec_id")
-    keys = ["tab", "bucket", "row_block", "query_block"]
-
-    def every(blocks: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
-
-    row_side = index.join(cut, ["tab", "bucket"]).withColumn("row_block", F.pmod(own, F.col("row_blocks")).cast("int"))
-    row_side = row_side.withColumn("query_block", every("query_blocks")).select(*keys, "vec_id", "vector")
-    query_side = queries.join(cut, ["tab", "bucket"])
-    query_side = query_side.withColumn("query_block", F.pmod(own, F.col("query_blocks")).cast("int"))
-    query_side = query_side.withColumn("row_block", every("row_blocks")).select(*keys, "vec_id", "vector")
-    both = query_side.withColumn("is_row", F.lit(False)).unionByName(row_side.withColumn("is_row", F.lit(True)))
-    both = both.repartition(*keys).sortWithinPartitions(*keys, "is_row").select(*keys, "is_row", "vec_id", "vector")
-    search = _search_blocks(dims, _number_type(rows), k)
-    best = both.mapInArrow(search, "query_id long, vec_id long, score double")
-    merged = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    def searched(index: DataFrame, queries: DataFrame) -> DataFrame:
+        """The best of each query in each bucket that it visits."""
+        cut = blocks(index, BLOCK_ROWS, "row_blocks").join(blocks(queries, BLOCK_QUERIES, "query_blocks"), ["tab", "bucket"])
+        own = F.xxhash64("vec_id")
+        keys = ["tab", "bucket", "row_block", "query_block"]
+
+        def every(blocks: str) -> Column:
+            return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+        row_side = index.join(cut, ["tab", "bucket"]).withColumn("row_block", F.pmod(own, F.col("row_blocks")).cast("int"))
+        row_side = row_side.withColumn("query_block", every("query_blocks")).select(*keys, "vec_id", "vector")
+        query_side = queries.join(cut, ["tab", "bucket"])
+        query_side = query_side.withColumn("query_block", F.pmod(own, F.col("query_blocks")).cast("int"))
+        query_side = query_side.withColumn("row_block", every("row_blocks")).select(*keys, "vec_id", "vector")
+        both = query_side.withColumn("is_row", F.lit(False)).unionByName(row_side.withColumn("is_row", F.lit(True)))
+        both = both.repartition(*keys).sortWithinPartitions(*keys, "is_row").select(*keys, "is_row", "vec_id", "vector")
+        search = _search_blocks(dims, _number_type(rows), k)
+        best = both.mapInArrow(search, "query_id long, vec_id long, score double")
+        return best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+
+    found = durable(searched(index, queries))
+    enough = found.groupBy("query_id").count().where(F.col("count") >= k).select(F.col("query_id").alias("vec_id"))
+    # one bucket that all rows are in: the exact way for queries whose buckets hold too few
+    together = [F.lit(0).alias("tab"), F.lit(0).cast("long").alias("bucket"), "vec_id", "vector"]
+    short = queries.where("tab = 0").select(*together).distinct().join(enough, "vec_id", "left_anti").select(*together[:2], "vec_id", "vector")
+    if not short.isEmpty():
+        exact = searched(index.where("tab = 0").select(*together), short)
+        found = found.unionByName(exact).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

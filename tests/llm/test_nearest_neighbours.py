@@ -39,6 +39,21 @@ def test_recall(spark):
     assert hits >= 0.9 * 5 * len(wanted)
 
 
+def test_as_many_neighbours_as_there_are(spark):
+    """Candidates that point the other way, and clusters of equal ones, lie in no visited bucket."""
+    draw = np.random.default_rng(3)
+    rows, wanted = [], {}
+    for candidates in (1, 2, 4, 5, 20):
+        away = [[-1.0 + float(draw.normal() / 50), float(draw.normal() / 50), float(draw.normal() / 50)] for _ in range(candidates)]
+        rows = [(0, [1.0, 0.0, 0.0]), *((i, v) for i, v in enumerate(away, start=1))]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        found = ann.nearest(df, "vec_id % 50 = 0", tables=2, probes=3).orderBy("rank").collect()
+        wanted = [i for i, _ in exact(rows)[0]]
+        assert [r.vec_id for r in found] == wanted and len(found) == min(5, candidates)
+    one = spark.createDataFrame(rows[:1], "vec_id long, embedding array<double>")
+    assert ann.nearest(one, "vec_id % 50 = 0").collect() == []
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     same = [(i, [1.0, 2.0, 3.0]) for i in range(100, 160)]
