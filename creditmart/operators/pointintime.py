@@ -30,6 +30,7 @@ TIME = "snapshot_date"
 
 _DAY = "_day"
 _LOOKUP = "_is_lookup"
+_CUSTOMER = "_customer"
 
 
 @dataclass(frozen=True)
@@ -86,7 +87,7 @@ class LookBack:
 
 
 def _window(days_before: int | str) -> str:
-    return f"PARTITION BY {KEY} ORDER BY {_DAY} RANGE BETWEEN {days_before} PRECEDING AND CURRENT ROW"
+    return f"PARTITION BY {_CUSTOMER} ORDER BY {_DAY} RANGE BETWEEN {days_before} PRECEDING AND CURRENT ROW"
 
 
 def _dated(frame: DataFrame) -> DataFrame:
@@ -95,14 +96,19 @@ def _dated(frame: DataFrame) -> DataFrame:
 
 
 def timeline(lookups: DataFrame, sources: Sequence[State | LookBack]) -> DataFrame:
-    """For every distinct (customer, date) of ``lookups``, what the sources knew then."""
+    """For every distinct (customer, date) of ``lookups``, what the sources knew then.
+
+    Over sources that are stored by customer (``sources.bucketed``) nothing is shuffled.
+    """
     wanted = _dated(lookups.select(KEY, TIME)).distinct().selectExpr("*", f"true AS {_LOOKUP}")
-    rows = reduce(
-        lambda left, right: left.unionByName(right, allowMissingColumns=True),
-        [wanted, *(source.per_day() for source in sources)],
-    ).selectExpr("*", f"unix_date({TIME}) AS {_DAY}")
+    # under a name of its own the key is one and the same column for the planner in all parts, and
+    # the union keeps a partitioning that they share
+    parts = [part.withColumnRenamed(KEY, _CUSTOMER) for part in (wanted, *(source.per_day() for source in sources))]
+    rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
     answers = [column for source in sources for column in source.lookups()]
-    return rows.selectExpr(KEY, TIME, _LOOKUP, *answers).where(_LOOKUP).drop(_LOOKUP)
+    dated = rows.selectExpr("*", f"unix_date({TIME}) AS {_DAY}")
+    known = dated.selectExpr(_CUSTOMER, TIME, _LOOKUP, *answers).where(_LOOKUP).drop(_LOOKUP)
+    return known.withColumnRenamed(_CUSTOMER, KEY)
 
 
 def as_of_join(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from creditmart.operators.validation import DROPPED, KEPT, OUTCOME, QUARANTINED
 from creditmart.plans import layers, manifest, vocabulary
 from creditmart.plans.layers import FATE, RULE
 from creditmart.plans.specs import BY_SOURCE, CLICKSTREAM, FINANCIALS, LOAN_DAILY, TABLES, TableSpec
-from creditmart.sources import extracts, files, tables
+from creditmart.sources import bucketed, extracts, files, tables
 from creditmart.sources.publication import Publication, discard_unpublished, folder, recover
 
 LAYERS = ("bronze", "silver", "gold")
@@ -62,6 +62,8 @@ class Run:
     dpd: int = fixed.LABEL_DPD
     mob: int = fixed.LABEL_MOB
     loan_types: Sequence[str] | None = None
+    #: parts into which silver tables are cut by customer, so that features shuffle less; a run keeps its number
+    buckets: int | None = None
     rows: dict[str, int] = field(default_factory=dict)
     #: by table, the months that the last refresh wrote
     rewritten: dict[str, list[str]] = field(default_factory=dict)
@@ -171,7 +173,8 @@ class Run:
         sorted_out = layers.sorted_out(spec, counted).withColumn(PERIOD, period)
         # bronze files hold one month each, so tasks do too: no shuffle needed.
         # gold asks for single months on book
-        staged, _ = published.write(sorted_out, [FATE, RULE, PERIOD], ["mob"] if spec is LOAN_DAILY else [])
+        cut = self._buckets() if dated and TIME in sorted_out.columns else None
+        staged, _ = published.write(sorted_out, [FATE, RULE, PERIOD], ["mob"] if spec is LOAN_DAILY else [], cut)
         seen = fates.get
         self.rows[f"silver.{spec.name}"] = seen["in"] - seen[DROPPED] - seen[QUARANTINED]
         self.rows.update({f"silver.{spec.name}.{fate}": rows for fate, rows in seen.items()})
@@ -195,11 +198,24 @@ class Run:
             # later months look back on these totals and read no clicks of this one again
             totals = pointintime.daily_totals(written.where(F.col(FATE) == KEPT).withColumn(TIME, F.col(PERIOD).cast("date")))
             totals = totals.withColumn(PERIOD, F.col(TIME).cast("string"))
-            published.replace_partitions(totals, self.path("silver", TOTALS), [PERIOD], lambda p: mine(p[PERIOD]), gather=True)
+            target = self.path("silver", TOTALS)
+            published.replace_partitions(totals, target, [PERIOD], lambda p: mine(p[PERIOD]), gather=True, buckets=cut)
         if spec is FINANCIALS:
             named = vocabulary.named(written.where(F.col(FATE) == KEPT), F.col(PERIOD))
             vocabulary.merge(published, self.path("vocabulary"), named)
 
+    def _buckets(self) -> int | None:
+        return bucketed.agreed(self.spark, self.path("buckets"), self.buckets)
+
+    def _months_of(self, path: str, schema, months: Months) -> DataFrame | None:
+        """The wanted months of a silver table, in its buckets if it has some; None if there are none."""
+        wanted = [p[PERIOD] for p in tables.partition_values(self.spark, path, [PERIOD]) if months(p[PERIOD])]
+        buckets = self._buckets()
+        if not wanted or not buckets:
+            return tables.read_partitions(self.spark, path, PERIOD, wanted, schema)
+        rows = bucketed.read(self.spark, path, schema, [PERIOD], buckets)
+        return rows.where(F.col(PERIOD).isin([dt.date.fromisoformat(month) for month in wanted])).select(*map(quoted, schema.names))
+
     def _staged(self, staged: str, schema, partition_by: Sequence[str]) -> DataFrame:
         """Rows as they are staged, with the columns that their folders name."""
         for column in partition_by:
@@ -266,17 +282,13 @@ class Run:
         written = [p[PERIOD] for p in tables.partition_values(self.spark, path, [PERIOD])]
         if not written and files.exists(self.spark, path):
             return self.spark.read.schema(empty.drop(TIME, f"valid_{TIME}").schema).parquet(path)
-        rows = tables.read_partitions(self.spark, path, PERIOD, [m for m in written if months(m)], dated.schema)
+        rows = self._months_of(path, dated.schema, months)
         return dated if rows is None else rows
 
     def click_totals(self, months: Months = lambda month: True) -> DataFrame:
         """Daily totals of the wanted months' clicks."""
-        path = self.path("silver", TOTALS)
-        written = [p[PERIOD] for p in tables.partition_values(self.spark, path, [PERIOD])]
         empty = pointintime.daily_totals(layers.silver(CLICKSTREAM, CLICKSTREAM.empty_raw(self.spark), self.as_of))
-        rows = tables.read_partitions(
-            self.spark, path, PERIOD, [m for m in written if months(m)], empty.schema.add(PERIOD, "date")
-        )
+        rows = self._months_of(self.path("silver", TOTALS), empty.schema.add(PERIOD, "date"), months)
         return empty if rows is None else rows.drop(PERIOD)
 
     # ---- gold -----------------------------------------------------------------

@@ -18,7 +18,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from creditmart.sources import files
+from creditmart.operators.pointintime import KEY
+from creditmart.sources import bucketed, files
 
 STAGED = "_staged"
 JOURNAL = "_journal"
@@ -47,16 +48,30 @@ class Publication:
         self.moves: list[tuple[str | None, str]] = []
         self._number = 0
 
-    def write(self, df: DataFrame, partition_by: Sequence[str] = (), order_within: Sequence[str] = ()) -> tuple[str, int]:
-        """Write ``df`` where nobody looks; the folder, and the rows as the write observed them."""
+    def write(
+        self,
+        df: DataFrame,
+        partition_by: Sequence[str] = (),
+        order_within: Sequence[str] = (),
+        buckets: int | None = None,
+    ) -> tuple[str, int]:
+        """Write ``df`` where nobody looks; the folder, and the rows as the write observed them.
+
+        With a number of ``buckets`` the rows are dealt out by customer, see ``bucketed``.
+        """
         self._number += 1
         staged = f"{self.root}/{STAGED}/{self.token}/{self._number}"
         written = Observation()
         rows = df.observe(written, F.count(F.lit(1)).alias("rows"))
-        if order_within:
+        if buckets:
+            rows = rows.repartition(buckets, KEY)
+        elif order_within:
             rows = rows.sortWithinPartitions(*partition_by, *order_within)
         writer = rows.write.partitionBy(*partition_by) if partition_by else rows.write
-        writer.parquet(staged)
+        if buckets:
+            bucketed.write(writer, staged, buckets)
+        else:
+            writer.parquet(staged)
         return staged, written.get["rows"]
 
     def replace_table(self, df: DataFrame, path: str) -> int:
@@ -73,6 +88,7 @@ class Publication:
         replaces: Callable[[dict[str, str]], bool],
         gather: bool = False,
         order_within: Sequence[str] = (),
+        buckets: int | None = None,
     ) -> int:
         """``df`` as the whole content of the partitions it replaces; its row count.
 
@@ -84,9 +100,9 @@ class Publication:
         rebalance splits a partition that is large, so a heavy month is no hot spot.
         ``order_within`` sorts each file, for readers that skip pages by these columns.
         """
-        if gather:
+        if gather and not buckets:
             df = df.hint("rebalance", *partition_by)
-        staged, rows = self.write(df, partition_by, order_within)
+        staged, rows = self.write(df, partition_by, order_within, buckets)
         self.replace_folders(staged, path, partition_by, replaces)
         return rows
 

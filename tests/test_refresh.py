@@ -269,3 +269,25 @@ def test_manifest_reads_new_files_only(spark, tmp_path):
     new = manifest.scan(spark, folder, old)
     assert manifest.changed_months(old, new) == {"features_attributes": {"2023-02-01"}}
     assert len(manifest.files_with(new, "features_attributes", {"2023-02-01"})) == 2
+
+
+def test_tables_by_customer_shuffle_nothing_below_the_timeline(spark, raw, tmp_path):
+    from creditmart.operators import labels, pointintime
+
+    settings = dict(as_of=AS_OF, run_id="b")
+    plain = job.run(spark, raw, str(tmp_path / "plain"), **settings)
+    # in two parts, so that a table's months come from several writes
+    first = dict(first=None, last=dt.date(2023, 3, 1))
+    job.run(spark, raw, str(tmp_path / "cut"), buckets=4, only=["bronze", "silver"], **settings)
+    done = job.run(spark, raw, str(tmp_path / "cut"), only=["bronze", "silver"], **settings, **first)
+    done = job.run(spark, raw, str(tmp_path / "cut"), only=["gold"], **settings)
+    assert content(done.feature_store()) == content(plain.feature_store())
+    assert content(done.label_store()) == content(plain.label_store())
+    loans = done.silver_table(TABLES["loan_daily"])
+    states = [pointintime.State(n, done.silver_table(TABLES[n]).drop("period")) for n in ("attributes", "financials")]
+    clicks = pointintime.LookBack(done.click_totals(), of_totals=True)
+    known = pointintime.timeline(labels.at_month(loans, 0), [*states, clicks])
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and plan.count("Bucketed: true") == 4 and "Exchange" not in plan
+    with pytest.raises(ValueError, match="4 buckets"):
+        job.run(spark, raw, str(tmp_path / "cut"), buckets=8, only=["silver"], **settings)
