@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,6 +112,19 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def _squeezed(keyed: DataFrame) -> DataFrame:
+    """``keyed`` with compressed texts, for joins that move them: half of what shuffles write else."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            packed = pa.array(map(coder.compress, raw_values(batch.column(0))), pa.binary())
+            yield pa.RecordBatch.from_arrays([packed, *batch.columns[1:]], names=batch.schema.names)
+
+    chosen = keyed.select("text", "doc_id", "order", "key", "row")
+    return chosen.mapInArrow(run, "text binary, doc_id long, order long, key long, row long")
+
+
 def _written(df: DataFrame, name: str) -> DataFrame:
     folder = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(folder)
@@ -147,15 +161,17 @@ def _all_super_kmers(keyed: DataFrame, window: int, gram: int) -> DataFrame:
 def _at(keyed: DataFrame, wanted: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
     """Texts with lists of their wanted super-k-mers."""
     lists = wanted.groupBy(*by).agg(F.collect_set(F.struct(*columns)).alias("wanted"))
-    return keyed.select("order", "key", "text", *(c for c in by if c == "row")).join(lists, by).select("order", "key", "text", "wanted")
+    rows = _squeezed(keyed).select("order", "key", "text", *(c for c in by if c == "row"))
+    return rows.join(lists, by).select("order", "key", "text", "wanted")
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple]:
     """(order, key, start, windows, other fields, packed string) of each wanted super-k-mer."""
+    coder = zstandard.ZstdDecompressor()
     for batch in batches:
         columns = (batch.column(0), batch.column(1), raw_values(batch.column(2)), batch.column(3))
         for order, key, raw, wanted in zip(*columns, strict=True):
-            words, name = raw.split(), (order.as_py(), key.as_py())
+            words, name = coder.decompress(raw).split(), (order.as_py(), key.as_py())
             for place, *others in sorted(zip(*(column.to_pylist() for column in wanted.values.flatten()), strict=True)):
                 start, windows = place >> _SHIFT, place & (1 << _SHIFT) - 1
                 end = start + windows - 1 + window
@@ -316,15 +332,16 @@ def deduplicated(
     """
     keyed = _keyed(docs)
     marks = _repeated(keyed, window, gram, bucket_rows)
-    joined = keyed.join(marks, ["order", "key"], "left").select("doc_id", "text", "found")
+    joined = _squeezed(keyed).join(marks, ["order", "key"], "left").select("doc_id", "text", "found")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = zstandard.ZstdDecompressor()
         for batch in batches:
             for part in (batch.slice(at, 512) for at in range(0, batch.num_rows, 512)):
                 rows = []
                 for doc_id, raw, found in zip(part.column(0), raw_values(part.column(1)), part.column(2), strict=True):
-                    words = kept = raw.split()
+                    words = kept = coder.decompress(raw).split()
                     if found.is_valid:
                         edges = np.zeros(len(words) + 1, dtype=np.int64)
                         start, windows = (column.to_numpy() for column in found.values.flatten())
