@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 
@@ -31,11 +32,14 @@ def word_count(text: Column) -> Column:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: the one of spark.checkpoint.dir.
 
-    A temporary one is made only where the session names none, as in tests.
+    Where the session names none, a temporary one is made if everything runs in one process,
+    as in tests; on a cluster that is an error, since executors would not share it.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
     return context.getCheckpointDir()
 

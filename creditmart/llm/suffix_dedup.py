@@ -327,8 +327,12 @@ def _counted_windows(parts: DataFrame, length: int) -> DataFrame:
 
     chosen = parts.dropDuplicates(["anchor", "whole"]).select("key", "start", "windows", "n", "part")
     windows = chosen.mapInArrow(run, "h1 long, h2 long, key long, first int, n long")
-    counts = windows.groupBy("h1", "h2").agg(F.sum("n").alias("all")).where("all > 1").select("h1", "h2")
-    hits = windows.where("n = 1").join(counts, ["h1", "h2"], "left_semi")
+    counts = windows.groupBy("h1", "h2").agg(F.sum("n").alias("all")).where("all > 1")
+    # a key of its own gives the join a shuffle of its own, whose hot windows the adaptive skew
+    # join can split; fed by the aggregate's partitions it could not
+    own = F.col("h1").bitwiseXOR(F.lit(1))
+    counts = counts.select(own.alias("_h1"), F.col("h2").alias("_h2"))
+    hits = windows.where("n = 1").join(counts, (own == F.col("_h1")) & (F.col("h2") == F.col("_h2")), "left_semi")
     return hits.select("key", "first", F.lit(1).cast("int").alias("windows"))
 
 
