@@ -60,3 +60,36 @@ def test_the_tree_finds_noise_without_names(spark):
 
 def test_empty_table(spark):
     assert extraction.extracted(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_importances_against_their_definition(spark):
+    """Entropies computed page by page, from the texts and children of every node."""
+    import math
+    from collections import defaultdict
+
+    pages = [
+        f"<body><div><p>Top {i % 3}</p></div><section><p>Story {i}.</p>{'<ul><li>one</ul>' * (i % 2)}<p>Same end</p></section></body>"
+        for i in range(24)
+    ]
+    seen_texts, shapes, may = defaultdict(lambda: defaultdict(set)), defaultdict(list), {}
+    for number, page in enumerate(pages):
+        found, nodes = extraction.blocks(page)
+        for path, (shape, kept) in nodes.items():
+            shapes[path].append(shape)
+            may[path] = may.get(path, True) and kept
+        for path, _, _, words in found:
+            seen_texts[path][words].add(number)
+    df = spark.createDataFrame([(i, "http://h.example/", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    tree = {r.node % (1 << 64): r for r in extraction.style_tree(df).collect()}
+    assert set(tree) == set(shapes)
+    for path, of_pages in shapes.items():
+        m = len(of_pages)
+        base = math.log(max(m, 2))
+        texts = [math.log(len(on)) for on in seen_texts[path].values()]
+        content = 1 - (sum(texts) / len(texts) if texts else 0.0) / base
+        shares = [of_pages.count(s) / m for s in set(of_pages)]
+        presentation = -sum(p * math.log(p) for p in shares) / base if m > 1 else 1.0
+        own = extraction.CONTENT_SHARE * content + (1 - extraction.CONTENT_SHARE) * presentation
+        wanted = (m * own + extraction.PRIOR_PAGES * may[path]) / (m + extraction.PRIOR_PAGES)
+        assert tree[path].m == m and math.isclose(tree[path].importance, wanted, abs_tol=1e-9)
+    assert min(r.importance for r in tree.values()) < 0.5 < max(r.importance for r in tree.values())
