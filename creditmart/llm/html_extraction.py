@@ -1,15 +1,18 @@
 """Main text of web pages by site style trees.
 
-1. Each page is read into nodes, named by the path of elements and their classes. Pages
-   of one host are merged: for every node, the tree counts on how many pages it stands,
-   with which texts, and with which children (its presentation).
+1. Each page is read into nodes, named by the path of elements, their classes and their
+   places: the second box of a page is another node than the first, while paragraphs,
+   items, rows and headings of a parent are one. Pages of one host are merged: for every
+   node, the tree counts on how many pages it stands, with which texts, and with which
+   children (its presentation).
 2. A text that stands on n of the m pages of a node has entropy log n / log m; content
    importance is one less the mean entropy of the node's texts, so a text that repeats
    over the host is noise and one that stands on a single page is content. Varied
    presentation adds importance. Where a host has few pages for a node, what its
    elements are for (menus, footers, adverts) stands in for pages not seen.
 3. Nodes of low importance leave, and so do elements that are no article by their name
-   alone. A branch leaves when all its nodes do.
+   alone. What a page marks as its article needs stronger evidence to be noise than a
+   box that says nothing of itself. A branch leaves when all its nodes do.
 
 Only hashes and counts are shuffled for the tree; equal pages of a host count once. A
 host may hold a third of all pages: its counts are combined on the map side. What
@@ -31,8 +34,11 @@ from pyspark.sql import functions as F
 
 from creditmart.llm.common import raw_values, shared_folder
 
-#: Nodes of lower importance are noise.
+#: Nodes of lower importance are noise: inside a marked article, and elsewhere.
 MIN_IMPORTANCE = 0.35
+MIN_IMPORTANCE_UNMARKED = 0.85
+#: Different pages on which a node that nothing marks has to stand before it can be noise.
+MIN_PAGES = 5
 #: Pages that the purpose of a node's elements counts for.
 PRIOR_PAGES = 10
 #: Share of content, against presentation, in a node's importance.
@@ -56,6 +62,8 @@ NOT_ARTICLE_NAMES = frozenset(
     " share sharing social related recommended widget toolbar pagination pager".split()
 )
 ARTICLE = frozenset(("article", "main"))
+#: Elements that repeat below a parent and are one node there.
+REPEATED = frozenset("p li dt dd tr td th option h1 h2 h3 h4 h5 h6".split())
 #: Elements that end an open paragraph, and what ends an open item of its kind.
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main"
@@ -80,12 +88,13 @@ _ABOUT = re.compile(r"(?<!\S)(?:category|tag|has|with|no)-\S*")
 class _Node:
     """An open element: its label and path, what it is for, and what stands in it."""
 
-    __slots__ = ("block", "children", "kept", "path", "skipped", "tag")
+    __slots__ = ("block", "children", "kept", "path", "places", "skipped", "tag")
 
     def __init__(self, tag: str, path: int, block: "_Node | None", kept: bool, skipped: bool):
         self.tag, self.path, self.kept, self.skipped = tag, path, kept, skipped
         self.block = block or self
         self.children: list[str] = []
+        self.places: dict[str, int] = {}
 
 
 def _purpose(tag: str, raw: str) -> tuple[str, bool]:
@@ -109,11 +118,12 @@ def _purpose(tag: str, raw: str) -> tuple[str, bool]:
     return label, not (hidden or role or named)
 
 
-def blocks(html: str) -> tuple[list[tuple[int, bool, bool, str]], dict[int, tuple[int, bool]]]:
-    """Texts of a page in order as (path, may be article, inside an article, text), and
-    the presentation of each node: hash of its children's labels and whether it may be article."""
+def blocks(html: str) -> tuple[list[tuple[int, bool, bool, str]], dict[int, tuple[int, bool, bool]]]:
+    """Texts of a page in order as (path, may be article, inside an article, text), and the
+    presentation of each node: hash of its children's labels, whether it may be article, and
+    whether it stands inside a marked one."""
     found: list[tuple[int, bool, bool, str]] = []
-    shapes: dict[int, tuple[int, bool]] = {}
+    shapes: dict[int, tuple[int, bool, bool]] = {}
     root = _Node("", 0, None, True, False)
     stack, parts, inside = [root], [], 0
 
@@ -128,9 +138,9 @@ def blocks(html: str) -> tuple[list[tuple[int, bool, bool, str]], dict[int, tupl
     def pop() -> None:
         nonlocal inside
         node = stack.pop()
-        inside -= node.tag in ARTICLE and node.kept
         if node.block is node:
-            shapes[node.path] = (xxhash.xxh64_intdigest(" ".join(node.children)), node.kept)
+            shapes[node.path] = (xxhash.xxh64_intdigest(" ".join(node.children)), node.kept, inside > 0)
+        inside -= node.tag in ARTICLE and node.kept
 
     def close(tags: tuple[str, ...], scopes: frozenset[str]) -> None:
         for at in range(len(stack) - 1, 0, -1):
@@ -187,7 +197,11 @@ def blocks(html: str) -> tuple[list[tuple[int, bool, bool, str]], dict[int, tupl
         if tag in INLINE:
             node = _Node(tag, parent.path, parent.block, parent.kept and kept, skipped)
         else:
-            path = xxhash.xxh64_intdigest(f"{parent.path:x}/{label}")
+            step = label
+            if not inside and tag not in REPEATED:
+                place = parent.block.places[label] = parent.block.places.get(label, 0) + 1
+                step = f"{label}#{place}"
+            path = xxhash.xxh64_intdigest(f"{parent.path:x}/{step}")
             node = _Node(tag, path, None, parent.kept and kept, skipped)
             siblings = parent.block.children
             if not siblings or siblings[-1] != label:
@@ -223,8 +237,8 @@ def _host(url: Column) -> Column:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, node, expected, m, importance) of every node of every host, merged from its pages."""
-    schema = "host string, page long, node long, kind int, feature long, expected boolean"
+    """(host, node, expected, marked, m, importance) of every node of every host, merged from its pages."""
+    schema = "host string, page long, node long, kind int, feature long, expected boolean, marked boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,28 +246,29 @@ def style_tree(pages: DataFrame) -> DataFrame:
             for number, raw in enumerate(raw_values(batch.column(1))):
                 found, shapes = blocks(raw.decode("utf-8", "replace"))
                 page = _signed(xxhash.xxh64_intdigest(raw))
-                for path, (shape, kept) in shapes.items():
-                    rows.append((page, _signed(path), 2, _signed(shape), kept))
-                texts = {(path, kept, xxhash.xxh64_intdigest(text)) for path, kept, _, text in found}
-                rows += [(page, _signed(path), 1, _signed(text), kept) for path, kept, text in texts]
+                for path, (shape, kept, marked) in shapes.items():
+                    rows.append((page, _signed(path), 2, _signed(shape), kept, marked))
+                texts = {(path, kept, marked, xxhash.xxh64_intdigest(text)) for path, kept, marked, text in found}
+                rows += [(page, _signed(path), 1, _signed(text), kept, marked) for path, kept, marked, text in texts]
                 owner += [number] * (len(shapes) + len(texts))
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_())
-            columns = zip(*rows, strict=True) if rows else [[]] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.bool_())
+            columns = zip(*rows, strict=True) if rows else [[]] * 6
             arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
             hosts = batch.column(0).take(pa.array(owner, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [hosts, *arrays], names=["host", "page", "node", "kind", "feature", "expected"]
+                [hosts, *arrays], names=["host", "page", "node", "kind", "feature", "expected", "marked"]
             )
 
     seen = pages.select(_host(F.col("url")).alias("host"), "html").mapInArrow(run, schema)
     # every page has one presentation of a node that stands on it, so those rows count its pages
     counts = seen.groupBy("host", "node", "kind", "feature").agg(
-        F.countDistinct("page").alias("n"), F.min("expected").alias("expected")
+        F.countDistinct("page").alias("n"), F.min("expected").alias("expected"), F.max("marked").alias("marked")
     )
     m = F.sum(F.when(F.col("kind") == 2, F.col("n")))
     nodes = counts.groupBy("host", "node").agg(
         m.alias("m"),
         F.min("expected").alias("expected"),
+        F.max("marked").alias("marked"),
         F.avg(F.when(F.col("kind") == 1, F.ln("n"))).alias("text_log"),
         F.sum(F.when(F.col("kind") == 2, F.col("n") * F.ln("n"))).alias("shape_log"),
     )
@@ -263,10 +278,12 @@ def style_tree(pages: DataFrame) -> DataFrame:
     seen_importance = CONTENT_SHARE * content + (1 - CONTENT_SHARE) * presentation
     prior = F.col("expected").cast("double")
     blended = (F.col("m") * seen_importance + PRIOR_PAGES * prior) / (F.col("m") + PRIOR_PAGES)
-    return nodes.select("host", "node", "expected", "m", blended.alias("importance"))
+    return nodes.select("host", "node", "expected", "marked", "m", blended.alias("importance"))
 
 
-def extracted(pages: DataFrame, min_importance: float = MIN_IMPORTANCE) -> DataFrame:
+def extracted(
+    pages: DataFrame, min_importance: float = MIN_IMPORTANCE, min_unmarked: float = MIN_IMPORTANCE_UNMARKED
+) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html).
 
     Null and empty pages have the empty text. Pages without a url are one host. Rows
@@ -274,7 +291,9 @@ def extracted(pages: DataFrame, min_importance: float = MIN_IMPORTANCE) -> DataF
     are left out; an empty table gives an empty result.
     """
     spark = pages.sparkSession
-    noisy = style_tree(pages).where(F.col("importance") < min_importance)
+    least = F.when(F.col("marked") | ~F.col("expected"), F.lit(min_importance))
+    least = least.when(F.col("m") >= MIN_PAGES, F.lit(min_unmarked)).otherwise(F.lit(min_importance))
+    noisy = style_tree(pages).where(F.col("importance") < least)
     written = f"{shared_folder(spark)}/style-trees-{uuid.uuid4().hex}"
     noisy.groupBy("host").agg(F.collect_set("node").alias("noisy")).write.parquet(written)
     lists = spark.read.parquet(written).withColumnRenamed("host", "_host")

@@ -74,7 +74,7 @@ def test_importances_against_their_definition(spark):
     seen_texts, shapes, may = defaultdict(lambda: defaultdict(set)), defaultdict(list), {}
     for number, page in enumerate(pages):
         found, nodes = extraction.blocks(page)
-        for path, (shape, kept) in nodes.items():
+        for path, (shape, kept, _) in nodes.items():
             shapes[path].append(shape)
             may[path] = may.get(path, True) and kept
         for path, _, _, words in found:
@@ -93,3 +93,39 @@ def test_importances_against_their_definition(spark):
         wanted = (m * own + extraction.PRIOR_PAGES * may[path]) / (m + extraction.PRIOR_PAGES)
         assert tree[path].m == m and math.isclose(tree[path].importance, wanted, abs_tol=1e-9)
     assert min(r.importance for r in tree.values()) < 0.5 < max(r.importance for r in tree.values())
+
+
+def bare(page):
+    """A page whose menu, advert, article and footer are boxes that say nothing of themselves."""
+    page = re.sub(r"</?(nav|article|footer)>", lambda tag: tag.group().replace(tag.group(1), "div"), page)
+    return re.sub(r' class="[^"]*"', "", page)
+
+
+def test_the_tree_alone_leaves_the_articles(spark):
+    """On hosts of 150 pages and more exactly the article stays; on smaller ones it stays whole."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url", "html")
+    wanted = {r.page_id: r.text for r in extraction.extracted(pages).collect()}
+    rows = [(r.page_id, r.url, bare(r.html)) for r in pages.collect()]
+    plain = spark.createDataFrame(rows, pages.schema)
+    found = {r.page_id: r.text for r in extraction.extracted(plain).collect()}
+    of_host = {}
+    for page_id, url, _ in rows:
+        of_host.setdefault(url.split("/")[2].lower(), []).append(page_id)
+    large = [page for of_it in of_host.values() if len(of_it) >= 150 for page in of_it]
+    assert len(large) > 300
+    assert all(found[page] == wanted[page] for page in large)
+    assert all(wanted[page] in found[page] for page in found)
+    untouched = {r.page_id: r.text for r in extraction.extracted(plain, -1, -1).collect()}
+    assert all(untouched[page] != wanted[page] for page in large)
+
+
+def test_the_place_of_a_box_tells_it_apart(spark):
+    rows = [
+        (i, "http://h.example/", f"<div><p>Menu {i % 2}</p></div><div><h1>Title {i}</h1><p>Story {i}.</p><p>Its end {i}.</p></div><div>Foot</div>")
+        for i in range(40)
+    ]
+    few = [(100 + i, "http://few.example/", f"<div>Top</div><div>Story {i} on a host of three pages.</div>") for i in range(3)]
+    df = spark.createDataFrame(rows + few, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in extraction.extracted(df).collect()}
+    assert all(found[i] == f"Title {i} Story {i}. Its end {i}." for i in range(40))
+    assert found[101] == "Top Story 1 on a host of three pages."
