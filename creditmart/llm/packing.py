@@ -6,7 +6,11 @@
    of each length: at most as many numbers as the window has tokens, on the driver.
 3. Each piece belongs to the tier of the smallest context size that holds it. From the
    longest tier down, pieces go into gaps of windows already open, the tightest first,
-   so that long windows are filled from shorter tiers; then they open windows.
+   so that long windows are filled from shorter tiers; then they open windows of their
+   own tier's size. A short window that comes out full stays as it is and needs no
+   padding; the pieces of the others are packed into windows of full length.
+   While those are padded by more than ``PADDING`` of all tokens, full short windows of the
+   smallest pieces are opened again to fill their gaps, twice as many each time.
 4. Windows are numbered by attention cost and dealt to steps back and forth, so that
    steps have equal numbers of windows and about equal costs.
 5. A piece finds its place by its rank among those of its length. Ranks come from
@@ -32,6 +36,8 @@ WINDOW = 2048
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 STEP_WINDOWS = 64
+#: Share of padding in all tokens from which short windows are given up.
+PADDING = 0.001
 #: Pieces that are ranked together.
 RANKED_TOGETHER = 5_000
 
@@ -58,62 +64,101 @@ def pieces(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, ranks_pa
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _PIECES)
 
 
-def plan(counts: dict[int, int], window: int = WINDOW, tiers: tuple[int, ...] = TIERS) -> list[tuple[int, list[tuple[int, int]]]]:
+Kind = tuple[int, list[tuple[int, int]]]
+
+
+class _Windows:
+    """Open windows by the gap that is left; those that are alike are one kind."""
+
+    def __init__(self) -> None:
+        self.kinds: dict[int, list[tuple[int, Kind]]] = {}  # (size, kind)
+        self.gaps: list[int] = []  # ascending, those with kinds
+
+    def put(self, size: int, gap: int, kind: Kind) -> None:
+        if gap not in self.kinds:
+            self.kinds[gap] = []
+            insort(self.gaps, gap)
+        self.kinds[gap].append((size, kind))
+
+    def take(self, gap: int) -> tuple[int, Kind]:
+        found = self.kinds[gap].pop()
+        if not self.kinds[gap]:
+            del self.kinds[gap]
+            self.gaps.remove(gap)
+        return found
+
+    def place(self, length: int, left: int, size: int) -> None:
+        """``left`` pieces go into the tightest gaps, and what finds none into new windows of ``size``."""
+        while left and (at := bisect_left(self.gaps, length)) < len(self.gaps):
+            gap = self.gaps[at]
+            of_size, (windows, inside) = self.take(gap)
+            if windows > left:
+                self.put(of_size, gap, (windows - left, inside))
+                windows = left
+            self.put(of_size, gap - length, (windows, [*inside, (length, 1)]))
+            left -= windows
+        fit = size // length
+        if left >= fit:
+            self.put(size, size - fit * length, (left // fit, [(length, fit)]))
+        if left % fit:
+            self.put(size, size - left % fit * length, (1, [(length, left % fit)]))
+
+
+def _packed_by_tier(counts: dict[int, int], sizes: list[int]) -> _Windows:
+    opened = _Windows()
+    for length in sorted(counts, reverse=True):
+        opened.place(length, counts[length], sizes[bisect_left(sizes, length)])
+    return opened
+
+
+def plan(counts: dict[int, int], window: int = WINDOW, tiers: tuple[int, ...] = TIERS) -> list[Kind]:
     """Kinds of windows as (number of windows, [(length, pieces of it in each window)]).
 
-    ``counts`` has the number of pieces of each length.
+    ``counts`` has the number of pieces of each length. Windows are full at the size of a
+    shorter tier, or belong to windows of full length.
     """
-    open_kinds: dict[int, list[tuple[int, list[tuple[int, int]]]]] = {}  # by the gap that is left
-    gaps: list[int] = []  # ascending, those with kinds
-
-    def put(gap: int, windows: int, inside: list[tuple[int, int]]) -> None:
-        if gap not in open_kinds:
-            open_kinds[gap] = []
-            insort(gaps, gap)
-        open_kinds[gap].append((windows, inside))
-
-    def take(gap: int) -> tuple[int, list[tuple[int, int]]]:
-        kind = open_kinds[gap].pop()
-        if not open_kinds[gap]:
-            del open_kinds[gap]
-            gaps.remove(gap)
-        return kind
-
-    lower = 0
-    by_tier = []
-    for size in sorted({*tiers, window}):
-        by_tier.append([n for n in sorted(counts, reverse=True) if lower < n <= size])
-        lower = size
-    for lengths in reversed(by_tier):
-        for length in lengths:
-            left = counts[length]
-            while left and (at := bisect_left(gaps, length)) < len(gaps):
-                gap = gaps[at]
-                windows, inside = take(gap)
-                if windows > left:
-                    put(gap, windows - left, inside)
-                    windows = left
-                put(gap - length, windows, [*inside, (length, 1)])
-                left -= windows
-            fit = window // length
-            if left >= fit:
-                put(window - fit * length, left // fit, [(length, fit)])
-            if left % fit:
-                put(window - left % fit * length, 1, [(length, left % fit)])
-    return [kind for gap in gaps for kind in open_kinds[gap]]
-
-
-def _slots(kinds: list[tuple[int, list[tuple[int, int]]]]) -> list[tuple[int, int, int, int, int, int]]:
-    """(length, first rank, last rank + 1, first sequence, windows, offset) of the plan's slots."""
+    sizes = sorted({window, *(size for size in tiers if size < window)})
+    full = _packed_by_tier(counts, sizes).kinds.get(0, [])
+    short = sorted(
+        (kind for size, kind in full if size < window), key=lambda kind: max(n for n, _ in kind[1]), reverse=True
+    )
+    rest = dict(counts)
+    for windows, inside in short:
+        for n, each in inside:
+            rest[n] -= windows * each
+    total = sum(n * number for n, number in counts.items())
+    give_back = 0
+    while True:
+        long = _packed_by_tier({n: number for n, number in rest.items() if number}, [window])
+        kinds = [kind for gap in long.gaps for _, kind in long.kinds[gap]]
+        padding = sum(gap * windows for gap in long.gaps for _, (windows, _) in long.kinds[gap])
+        least = -sum(n * number for n, number in rest.items()) % window
+        if not short or padding <= max(least, PADDING * total):
+            return kinds + short
+        left = give_back = max(padding, 2 * give_back)
+        while short and left > 0:  # those of the smallest pieces come last
+            windows, inside = short.pop()
+            size = sum(n * each for n, each in inside)
+            opened = min(windows, -(-left // size))
+            for n, each in inside:
+                rest[n] += opened * each
+            left -= opened * size
+            if opened < windows:
+                short.append((windows - opened, inside))
+
+
+def _slots(kinds: list[Kind], window: int, tiers: tuple[int, ...]) -> list[tuple[int, int, int, int, int, int, int]]:
+    """(length, first rank, last rank + 1, first sequence, windows, offset, context) of the plan's slots."""
     costly_first = sorted(kinds, key=lambda kind: -sum(n * n * k for n, k in kind[1]))
     used: dict[int, int] = {}
     slots, sequence = [], 0
     for windows, inside in costly_first:
-        offset = 0
+        offset, fill = 0, sum(n * k for n, k in inside)
+        context = fill if fill in tiers else window
         for length, each in inside:
             first = used.get(length, 0)
             used[length] = first + windows * each
-            slots.append((length, first, used[length], sequence, windows, offset))
+            slots.append((length, first, used[length], sequence, windows, offset, context))
             offset += each * length
         sequence += windows
     return slots
@@ -126,8 +171,10 @@ def packed(
     step_windows: int = STEP_WINDOWS,
     ranks_path: str | None = None,
 ) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, tier, step.
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, tier, step, context.
 
+    ``tier`` is the context size that a piece is routed to, ``context`` that of its sequence: shorter
+    than ``window`` where a sequence fills a shorter tier's window.
     A null or empty text is its end id alone. Rows that repeat a doc_id are documents of
     their own. Pieces of equal length swap places at will, in an order fixed by doc_id, start and
     checksum. Other columns are left out. An empty table gives an empty result.
@@ -135,8 +182,8 @@ def packed(
     spark = docs.sparkSession
     rows = durable(pieces(docs, window, ranks_path=ranks_path))
     counts = {row["length"]: row["count"] for row in rows.groupBy("length").count().collect()}  # at most ``window``
-    slots = _slots(plan(counts, window, tiers))
-    sequences = sum(windows for windows in {first: n for _, _, _, first, n, _ in slots}.values())
+    slots = _slots(plan(counts, window, tiers), window, tiers)
+    sequences = sum(windows for windows in {first: n for _, _, _, first, n, _, _ in slots}.values())
     steps = max(1, -(-sequences // step_windows))
     buckets = max(1, -(-sum(counts.values()) // RANKED_TOGETHER))
 
@@ -149,7 +196,7 @@ def packed(
     ranked = ranked.withColumn("rank", F.col("before") + F.col("own") - 1).drop("before", "own", "bucket")
 
     places = spark.createDataFrame(
-        slots, "slot_length long, first long, beyond long, sequence long, windows long, slot_offset long"
+        slots, "slot_length long, first long, beyond long, sequence long, windows long, slot_offset long, context long"
     )
     # slots: a few for each of at most ``window`` lengths, whatever the corpus
     inside = (F.col("length") == F.col("slot_length")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("beyond"))
@@ -167,5 +214,5 @@ def packed(
             }
         )
         .withColumn("step", F.when(lap % 2 == 0, place).otherwise(steps - 1 - place))
-        .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step")
+        .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step", "context")
     )

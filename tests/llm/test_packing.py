@@ -83,3 +83,42 @@ def test_hot_length_and_empty_table(spark):
     found = packing.packed(df).collect()
     assert len({(r.sequence_id, r.offset) for r in found}) == 3000
     assert packing.packed(df.where("doc_id < 0")).collect() == []
+
+
+def padded(kinds):
+    fills = [(windows, sum(n * k for n, k in inside)) for windows, inside in kinds]
+    return sum(windows * (2048 - fill) for windows, fill in fills if fill & (fill - 1))
+
+
+def test_tiers_make_short_windows_and_little_padding(case):
+    _, found = case
+    random = np.random.default_rng(5)
+    for _ in range(20):
+        lengths = np.minimum(2048, random.lognormal(5.5, 1.2, 20_000).astype(int) + 1)
+        counts = {int(n): int(k) for n, k in zip(*np.unique(lengths, return_counts=True), strict=True)}
+        tiered, flat = packing.plan(counts), packing.plan(counts, tiers=(2048,))
+        fills = defaultdict(int)
+        for windows, inside in tiered:
+            fills[sum(n * k for n, k in inside)] += windows
+        assert fills[256] + fills[512] + fills[1024] > 100
+        assert padded(tiered) <= max(padded(flat), 0.001 * lengths.sum()) + 2048
+        # attention within windows costs less than without tiers
+        cost = [sum(w * sum(n * k for n, k in inside) ** 2 for w, inside in kinds) for kinds in (tiered, flat)]
+        assert cost[0] < cost[1]
+    fills, contexts = defaultdict(int), {}
+    for r in found:
+        fills[r.sequence_id] += r.length
+        contexts.setdefault(r.sequence_id, set()).add(r.context)
+    for sequence, fill in fills.items():
+        assert contexts[sequence] == {fill if fill in packing.TIERS else 2048}
+
+
+def test_short_windows_give_way_to_gaps():
+    """Small pieces that fill windows of their own are what long windows lack."""
+    counts = {2000: 1000, 48: 200, 128: 2000, 1990: 500, 58: 10}
+    placed = defaultdict(int)
+    for windows, inside in packing.plan(counts):
+        for n, k in inside:
+            placed[n] += windows * k
+    assert placed == counts
+    assert padded(packing.plan(counts)) <= padded(packing.plan(counts, tiers=(2048,)))
