@@ -34,7 +34,9 @@ def to_date(value: str) -> str:
     # Turned into ISO and cast: parsing with a pattern throws and catches inside
     # the JVM for every text of the other form.
     slashes = r"^0*(\d{1,2})/0*(\d{1,2})/(\d\d)\z"
-    return f"try_cast(regexp_replace(CAST({value} AS STRING), r'{slashes}', '20$3-$2-$1') AS DATE)"
+    text = f"CAST({value} AS STRING)"
+    # the pattern is tried only where it can match
+    return f"try_cast(CASE WHEN contains({text}, '/') THEN regexp_replace({text}, r'{slashes}', '20$3-$2-$1') ELSE {text} END AS DATE)"
 
 
 def standardise(value: str) -> str:

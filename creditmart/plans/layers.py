@@ -8,6 +8,7 @@ months at once. Reading and writing tables is up to ``job``.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from creditmart.functions import parsing, project, quoted
 from creditmart.operators import derivations, encodings, labels, pointintime
 from creditmart.operators.pointintime import KEY, TIME
 from creditmart.operators.validation import DROPPED, KEPT, OUTCOME, apply_rules, kept_rows, type_columns
-from creditmart.plans.specs import FINANCIALS, TableSpec
+from creditmart.plans.specs import FINANCIALS, LOAN_DAILY, TableSpec
 
 # ---- bronze -------------------------------------------------------------------
 
@@ -81,6 +82,13 @@ def silver(
     return spec.derive(kept_rows(flagged(spec, raw, as_of)))
 
 
+def loans_on_book(raw: DataFrame, mobs: Sequence[int], as_of: dt.date | None = None) -> DataFrame:
+    """Silver loans in some of their months on book; rows of other months leave before any check."""
+    # the month on book is the installment number, and rules neither change nor check that
+    wanted = F.expr(parsing.to_int("installment_num")).isin(list(mobs))
+    return silver(LOAN_DAILY, raw.where(wanted), as_of)
+
+
 def loan_type_vocabulary(financials_raw: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """Loan types named in the kept rows of a raw or bronze financials table."""
     return derivations.loan_type_vocabulary(silver(FINANCIALS, financials_raw, as_of))
@@ -96,6 +104,17 @@ def applications(loans: DataFrame) -> DataFrame:
     return labels.at_month(loans, 0).select(APPLICATION_COLUMNS).distinct()
 
 
+def shared_applications(loans: DataFrame) -> DataFrame:
+    """``applications`` of loans with customer and date, for a plan that reads them more than once.
+
+    The shuffle of the repeats is the same one for all readers, so the loans are read and
+    cleaned once. Without the repartition, which the planner takes out again because the rows
+    already lie that way, a reader's own distinct would be moved below it.
+    """
+    known = F.col(KEY).isNotNull() & F.col(TIME).isNotNull()
+    return applications(loans.where(known)).repartition(*APPLICATION_COLUMNS)
+
+
 def attribute_features(attributes: DataFrame, with_flags: bool = False) -> DataFrame:
     return _features(encodings.occupation_group(attributes), "attributes", with_flags)
 

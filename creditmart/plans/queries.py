@@ -67,6 +67,15 @@ def loans(spark: SparkSession, folder: str) -> DataFrame:
     return layers.silver(LOAN_DAILY, roles.raw_loans(spark, folder), AS_OF)
 
 
+def loans_on_book(spark: SparkSession, folder: str, *mobs: int) -> DataFrame:
+    return layers.loans_on_book(roles.raw_loans(spark, folder), mobs, AS_OF)
+
+
+def applications(spark: SparkSession, folder: str) -> DataFrame:
+    # loans without customer or date are dropped by their rules
+    return layers.shared_applications(loans_on_book(spark, folder, 0))
+
+
 def attributes(spark: SparkSession, folder: str) -> DataFrame:
     return layers.silver(ATTRIBUTES, roles.raw_attributes(spark, folder), AS_OF)
 
@@ -80,9 +89,11 @@ def financials(spark: SparkSession, folder: str) -> DataFrame:
     return derivations.loan_type_indicators(silver, LOAN_TYPES).drop(derivations.LOAN_TYPES)
 
 
-def features(spark: SparkSession, folder: str, with_flags: bool = False) -> DataFrame:
+def features(
+    spark: SparkSession, folder: str, with_flags: bool = False, of: DataFrame | None = None
+) -> DataFrame:
     return layers.feature_store(
-        loans(spark, folder),
+        applications(spark, folder) if of is None else of,
         attributes(spark, folder),
         financials(spark, folder),
         clickstream(spark, folder),
@@ -363,13 +374,13 @@ def gold_attributes_columns(spark, folder):
 
 @query
 def applications_mob0(spark, folder):
-    return layers.applications(loans(spark, folder))
+    return applications(spark, folder)
 
 
 @query
 def left_join_customer(spark, folder):
     return pointintime.customer_join(
-        layers.applications(loans(spark, folder)),
+        applications(spark, folder),
         attributes(spark, folder).select("Customer_ID", "Age", "Occupation"),
     )
 
@@ -378,7 +389,7 @@ def left_join_customer(spark, folder):
 def left_join_customer_rows(spark, folder):
     """Every application with each attribute row of its customer, whatever its date."""
     return pointintime.customer_join(
-        layers.applications(loans(spark, folder)),
+        applications(spark, folder),
         attributes(spark, folder).select("Customer_ID", "Age", "Occupation"),
         every_row=True,
     )
@@ -388,7 +399,7 @@ def left_join_customer_rows(spark, folder):
 def pit_join_attributes(spark, folder):
     """Every earlier attribute row of each application's customer."""
     return pointintime.history_join(
-        layers.applications(loans(spark, folder)),
+        applications(spark, folder),
         attributes(spark, folder).select("Customer_ID", "snapshot_date", "Age", "Occupation"),
     )
 
@@ -397,7 +408,7 @@ def pit_join_attributes(spark, folder):
 def asof_attributes(spark, folder):
     """The latest earlier attribute row of each application's customer."""
     return pointintime.as_of_join(
-        layers.applications(loans(spark, folder)),
+        applications(spark, folder),
         attributes(spark, folder).select("Customer_ID", "snapshot_date", "Age", "Occupation"),
     )
 
@@ -405,7 +416,7 @@ def asof_attributes(spark, folder):
 @query
 def asof_financials(spark, folder):
     return pointintime.as_of_join(
-        layers.applications(loans(spark, folder)),
+        applications(spark, folder),
         kept_rows(flagged("financials", spark, folder)).select(
             "Customer_ID", "snapshot_date", "Annual_Income", "Outstanding_Debt", "Credit_Mix"
         ),
@@ -415,7 +426,7 @@ def asof_financials(spark, folder):
 @query
 def clickstream_window(spark, folder):
     return pointintime.look_back_join(
-        layers.applications(loans(spark, folder)), clickstream(spark, folder)
+        applications(spark, folder), clickstream(spark, folder)
     )
 
 
@@ -424,14 +435,14 @@ def clickstream_window(spark, folder):
 
 @query
 def label_store(spark, folder):
-    return labels.label_loans(loans(spark, folder))
+    return labels.label_loans(loans_on_book(spark, folder, fixed.LABEL_MOB))
 
 
 @query
 def label_store_all(spark, folder):
     """All months' labels as one frame: rows, defaults and span per definition."""
     return (
-        labels.label_loans(loans(spark, folder))
+        labels.label_loans(loans_on_book(spark, folder, fixed.LABEL_MOB))
         .groupBy("label_def")
         .agg(
             F.count("*").alias("rows"),
@@ -444,12 +455,12 @@ def label_store_all(spark, folder):
 
 @query
 def label_definitions(spark, folder):
-    return labels.label_sweep(loans(spark, folder))
+    return labels.label_sweep(loans_on_book(spark, folder, *fixed.SWEEP_MOB))
 
 
 @query
 def label_distribution(spark, folder):
-    return labels.label_distribution(labels.label_sweep(loans(spark, folder)))
+    return labels.label_distribution(labels.label_sweep(loans_on_book(spark, folder, *fixed.SWEEP_MOB)))
 
 
 @query
@@ -471,13 +482,15 @@ def feature_preview(spark, folder):
 
 @query
 def training_set(spark, folder):
-    return labels.training_set(features(spark, folder), labels.label_loans(loans(spark, folder)))
+    # only loans with an id have an outcome to be joined with
+    named = applications(spark, folder).where("loan_id IS NOT NULL")
+    return labels.training_set(features(spark, folder, of=named), labels.label_loans(loans_on_book(spark, folder, fixed.LABEL_MOB)))
 
 
 @query
 def temporal_split(spark, folder):
     """Applications with the split their date puts them in."""
-    return labels.time_split(layers.applications(loans(spark, folder)))
+    return labels.time_split(applications(spark, folder))
 
 
 # ---- quality ------------------------------------------------------------------
@@ -576,7 +589,7 @@ def changed_customers(spark, folder):
 def touched_as_of(spark, folder):
     """Applications that see a changed attribute row, by month."""
     touched = changes.touched_as_of(
-        layers.applications(loans(spark, folder)),
+        applications(spark, folder),
         _changed(roles.raw_attributes(spark, folder)),
         attributes(spark, folder).where("snapshot_date IS NOT NULL"),
     )
@@ -587,7 +600,7 @@ def touched_as_of(spark, folder):
 def touched_look_back(spark, folder):
     """Applications that look back on changed clicks, by month."""
     touched = changes.touched_look_back(
-        layers.applications(loans(spark, folder)), _changed(roles.raw_clickstream(spark, folder))
+        applications(spark, folder), _changed(roles.raw_clickstream(spark, folder))
     )
     return touched.groupBy("snapshot_date").agg(F.count("*").alias("applications"))
 
@@ -610,7 +623,7 @@ def click_daily_totals(spark, folder):
 def clickstream_window_totals(spark, folder):
     """The look-back averages, from daily totals."""
     return pointintime.look_back_join(
-        layers.applications(loans(spark, folder)),
+        applications(spark, folder),
         pointintime.daily_totals(clickstream(spark, folder)),
         of_totals=True,
     )
@@ -620,6 +633,6 @@ def clickstream_window_totals(spark, folder):
 def pit_join_bucketed(spark, folder):
     """Every earlier attribute row of each application's customer, joined by customer and month."""
     return pointintime.bucketed_history_join(
-        layers.applications(loans(spark, folder)),
+        applications(spark, folder),
         attributes(spark, folder).select("Customer_ID", "snapshot_date", "Age", "Occupation"),
     )

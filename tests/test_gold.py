@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from creditmart.operators import labels, quality
 from creditmart.plans import layers, queries
-from creditmart.plans.specs import TABLES
+from creditmart.plans.specs import LOAN_DAILY, TABLES
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,6 +28,26 @@ def test_no_identifiers_and_no_audit_columns(spark):
     assert len(set(columns)) == len(columns)
 
 
+def test_months_on_book_chosen_early_are_those_of_silver(spark):
+    """Whatever the installment number looks like, and with rows the rules drop."""
+    texts = ["0", "_0", "0.9", " 0 ", "-0", "-.5", "0e0", "6", "6.", "$6", "16", "", "x", None]
+    rows = [
+        (f"LN{i}", customer, text, day)
+        for i, text in enumerate(texts)
+        for customer in ("CUS_0x1", "BAD", None)
+        for day in ("2023-01-01", "1/2/23", "2031-01-01", "31/2/23", None)
+    ]
+    chosen = spark.createDataFrame(rows + rows[:40], "loan_id string, Customer_ID string, installment_num string, snapshot_date string")
+    empty = LOAN_DAILY.empty_raw(spark)
+    raw = empty.unionByName(chosen, allowMissingColumns=True)
+    silver = layers.silver(LOAN_DAILY, raw, queries.AS_OF)
+    for mobs in ([0], [6], [0, 6]):
+        wanted = sorted(map(str, silver.where(F.col("mob").isin(mobs)).collect()))
+        assert sorted(map(str, layers.loans_on_book(raw, mobs, queries.AS_OF).collect())) == wanted != []
+    at_0 = layers.shared_applications(layers.loans_on_book(raw, [0], queries.AS_OF))
+    assert sorted(map(str, at_0.collect())) == sorted(map(str, layers.applications(silver).collect()))
+
+
 def test_repeated_applications_collapse(spark):
     loans = queries.loans(spark, SF)
     twice = layers.applications(loans.unionByName(loans))

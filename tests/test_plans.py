@@ -82,6 +82,30 @@ def test_features_share_one_timeline(spark, stored):
     assert len(re.findall(r"^\(\d+\) \w*Aggregate", text, re.M)) == 10
 
 
+def final_plan(df):
+    """The plan as it ran, with the shuffles that were used twice."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+# the outcomes of a training set are a read of their own
+@pytest.mark.parametrize(
+    "name, reads", [("training_set", 2), ("asof_attributes", 1)]
+)
+def test_applications_are_read_and_cleaned_once(spark, name, reads):
+    text = final_plan(queries.QUERIES[name](spark, SF))
+    assert len(re.findall(r"FileScan parquet \[o_orderkey", text)) == reads
+
+
+@pytest.mark.parametrize("name", ["training_set", "label_store", "label_definitions"])
+def test_months_on_book_are_chosen_before_any_check(spark, name):
+    text = queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    # one filter over the exploded months: the month's test has to stand before the customer's pattern
+    filters = [part.split("Generate explode", 1)[0] for part in re.split(r"[-:] Filter ", text) if "Generate explode" in part]
+    checks = [f for f in filters if "RLIKE" in f and "BAD_" in f]  # those of loans
+    assert checks and all(re.search(r"\bk#", f).start() < f.index("RLIKE") for f in checks)
+
+
 def test_hot_month_is_split_on_write(spark, tmp_path):
     """A month with most of the rows is written by several tasks."""
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
