@@ -472,12 +472,10 @@ def feature_store(spark, folder):
 def feature_preview(spark, folder):
     """The first ten rows of the feature store."""
     # one row per application, so the first ten applications have the first ten rows
-    first = tables.preview(layers.applications(loans(spark, folder)), 10, "loan_id").select("loan_id")
-    chosen = labels.at_month(loans(spark, folder), 0).join(first, "loan_id", "left_semi")
-    rows = layers.feature_store(
-        chosen, attributes(spark, folder), financials(spark, folder), clickstream(spark, folder)
-    )
-    return tables.preview(rows, 10, "loan_id")
+    first = tables.preview(applications(spark, folder), 10, "loan_id").select("loan_id").distinct()
+    # a semi-join would move below the shuffle, and the loans would be read for it once more
+    chosen = applications(spark, folder).join(first, "loan_id")
+    return tables.preview(features(spark, folder, of=chosen), 10, "loan_id")
 
 
 @query
