@@ -90,14 +90,14 @@ def final_plan(df):
 
 # the outcomes of a training set and the choice of a preview's rows are reads of their own
 @pytest.mark.parametrize(
-    "name, reads", [("training_set", 2), ("feature_preview", 2), ("asof_attributes", 1)]
+    "name, reads", [("feature_store", 1), ("training_set", 2), ("feature_preview", 2), ("asof_attributes", 1)]
 )
 def test_applications_are_read_and_cleaned_once(spark, name, reads):
     text = final_plan(queries.QUERIES[name](spark, SF))
     assert len(re.findall(r"FileScan parquet \[o_orderkey", text)) == reads
 
 
-@pytest.mark.parametrize("name", ["training_set", "feature_preview", "label_store", "label_definitions"])
+@pytest.mark.parametrize("name", ["feature_store", "training_set", "feature_preview", "label_store", "label_definitions"])
 def test_months_on_book_are_chosen_before_any_check(spark, name):
     text = queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     # one filter over the exploded months: the month's test has to stand before the customer's pattern
