@@ -35,8 +35,8 @@ def to_date(value: str) -> str:
     # the JVM for every text of the other form.
     slashes = r"^0*(\d{1,2})/0*(\d{1,2})/(\d\d)\z"
     text = f"CAST({value} AS STRING)"
-    # the pattern is tried only where it can match
-    return f"try_cast(CASE WHEN contains({text}, '/') THEN regexp_replace({text}, r'{slashes}', '20$3-$2-$1') ELSE {text} END AS DATE)"
+    # the text is named once: it may be a long expression by itself
+    return f"try_cast(regexp_replace({text}, r'{slashes}', '20$3-$2-$1') AS DATE)"
 
 
 def standardise(value: str) -> str:
@@ -47,8 +47,8 @@ def history_months(age: str) -> str:
     """``10 Years and 9 Months`` as 129; a missing part counts as 0, null stays null."""
 
     def part(pattern: str) -> str:
-        # regexp_extract gives '' where nothing matches
-        return f"CAST(coalesce(try_cast(regexp_extract({age}, r'{pattern}', 1) AS INT), 0) AS BIGINT)"
+        # regexp_extract gives '' where nothing matches; with the zero that is a number, as casts that fail are slow
+        return f"CAST(coalesce(try_cast(concat('0', regexp_extract({age}, r'{pattern}', 1)) AS INT), 0) AS BIGINT)"
 
     months = f"{part(fixed.YEARS_PATTERN)} * 12 + {part(fixed.MONTHS_PATTERN)}"
     return f"CASE WHEN {age} IS NOT NULL THEN try_cast({months} AS INT) END"

@@ -31,6 +31,8 @@ TIME = "snapshot_date"
 _DAY = "_day"
 _LOOKUP = "_is_lookup"
 _CUSTOMER = "_customer"
+_TOTALS = "_totals"
+_PLACE = "_place"
 
 
 @dataclass(frozen=True)
@@ -49,6 +51,9 @@ class State:
     def lookups(self) -> list[str]:
         return [f"last({self.name}, true) OVER ({_window('UNBOUNDED')}) AS {self.name}"]
 
+    def answers(self) -> list[str]:
+        return [self.name]
+
 
 def daily_totals(frame: DataFrame, features: Sequence[str] = tuple(fixed.CLICK_FEATURES)) -> DataFrame:
     """Rows, and sum and count of each feature, per customer and day: what means over any span
@@ -72,22 +77,38 @@ class LookBack:
     count_name: str = "clickstream_snapshot_count"
     of_totals: bool = False
 
-    def per_day(self) -> DataFrame:
+    def totals(self) -> DataFrame:
         return self.frame if self.of_totals else daily_totals(self.frame, self.features)
 
+    def per_day(self) -> DataFrame:
+        """Rows, and the features' totals in one struct: most rows of a timeline have no clicks, and a
+        null struct is one field to sort and to copy, where the totals would be two for each feature."""
+        totals = [f"_{kind}_{feature}" for feature in self.features for kind in ("sum", "n")]
+        return self.totals().select(KEY, TIME, "_rows", F.struct(*totals).alias(_TOTALS))
+
     def lookups(self) -> list[str]:
+        # the totals of a frame's days, one more than ``days`` at most, are handed on and added up for the
+        # lookups alone: window sums of every feature would be made anew for each row of the timeline
+        window = _window(self.days)
+        return [f"collect_list({_TOTALS}) OVER ({window}) AS {_TOTALS}", f"sum(_rows) OVER ({window}) AS _rows"]
+
+    def answers(self) -> list[str]:
         def total(column: str) -> str:
-            return f"sum({column}) OVER ({_window(self.days)})"
+            kind = kinds[column]
+            added = f"CAST(total + coalesce(day.{quoted(column)}, 0) AS {kind})"
+            return f"aggregate({_TOTALS}, CAST(0 AS {kind}), (total, day) -> {added})"
 
+        kinds = dict(self.totals().dtypes)
         means = [
-            f"try_divide(CAST({total(f'_sum_{f}')} AS DOUBLE), {total(f'_n_{f}')}) AS avg_{f}_{self.suffix}"
+            f"CASE WHEN _rows > 0 THEN try_divide(CAST({total(f'_sum_{f}')} AS DOUBLE), {total(f'_n_{f}')}) END"
+            f" AS avg_{f}_{self.suffix}"
             for f in self.features
         ]
-        return [*means, f"coalesce({total('_rows')}, 0) AS {self.count_name}"]
+        return [*means, f"coalesce(_rows, 0) AS {self.count_name}"]
 
 
 def _window(days_before: int | str) -> str:
-    return f"PARTITION BY {_CUSTOMER} ORDER BY {_DAY} RANGE BETWEEN {days_before} PRECEDING AND CURRENT ROW"
+    return f"PARTITION BY {_PLACE}, {_CUSTOMER} ORDER BY {_DAY} RANGE BETWEEN {days_before} PRECEDING AND CURRENT ROW"
 
 
 def _dated(frame: DataFrame) -> DataFrame:
@@ -105,10 +126,19 @@ def timeline(lookups: DataFrame, sources: Sequence[State | LookBack]) -> DataFra
     # the union keeps a partitioning that they share
     parts = [part.withColumnRenamed(KEY, _CUSTOMER) for part in (wanted, *(source.per_day() for source in sources))]
     rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
-    answers = [column for source in sources for column in source.lookups()]
-    dated = rows.selectExpr("*", f"unix_date({TIME}) AS {_DAY}")
-    known = dated.selectExpr(_CUSTOMER, TIME, _LOOKUP, *answers).where(_LOOKUP).drop(_LOOKUP)
-    return known.withColumnRenamed(_CUSTOMER, KEY)
+    lookups = [column for source in sources for column in source.lookups()]
+    answers = [column for source in sources for column in source.answers()]
+    # sorted by a number first: ids begin alike, and a sort looks at the first bytes of its first key
+    dated = rows.selectExpr("*", f"hash({_CUSTOMER}) AS {_PLACE}", f"unix_date({TIME}) AS {_DAY}")
+    known = dated.selectExpr(_CUSTOMER, TIME, _LOOKUP, *lookups).where(_LOOKUP)
+    return known.selectExpr(f"{_CUSTOMER} AS {KEY}", TIME, *answers)
+
+
+def with_answers(left: DataFrame, known: DataFrame) -> DataFrame:
+    """Left join of rows with what a timeline knows at their customer and date."""
+    # here too the sort goes by a number first
+    place = F.hash(KEY, TIME).alias(_PLACE)
+    return left.select("*", place).join(known.select("*", place), [_PLACE, KEY, TIME], "left").drop(_PLACE)
 
 
 def as_of_join(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -120,7 +150,7 @@ def as_of_join(left: DataFrame, right: DataFrame) -> DataFrame:
     """
     known = timeline(left, [State("state", right)])
     new = [c for c in right.columns if c not in left.columns]
-    return left.join(known, [KEY, TIME], "left").selectExpr(
+    return with_answers(left, known).selectExpr(
         *(quoted(c) for c in left.columns),
         *(f"state.{quoted(c)} AS {quoted(c)}" for c in new),
         f"state.{TIME} AS source_date",
@@ -132,7 +162,7 @@ def look_back_join(left: DataFrame, clicks: DataFrame, **window) -> DataFrame:
     look_back = LookBack(clicks, **window)
     known = timeline(left, [look_back])
     means = [f"avg_{f}_{look_back.suffix}" for f in look_back.features]
-    return left.join(known, [KEY, TIME], "left").selectExpr(
+    return with_answers(left, known).selectExpr(
         *(quoted(c) for c in left.columns),
         *means,
         f"coalesce({look_back.count_name}, 0) AS {look_back.count_name}",

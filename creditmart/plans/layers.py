@@ -192,4 +192,4 @@ def feature_store(
     columns += [f"avg_{feature}_last_6m" for feature in fixed.CLICK_FEATURES]
     columns.append(f"coalesce({clicks.count_name}, 0) AS {clicks.count_name}")
     columns.append("date_format(snapshot_date, 'yyyy-MM-dd') AS feature_snapshot_date")
-    return base.join(known, [KEY, TIME], "left").selectExpr(columns)
+    return pointintime.with_answers(base, known).selectExpr(columns)

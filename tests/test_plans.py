@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from creditmart.operators import labels
+from creditmart.operators import labels, pointintime
 from creditmart.plans import job, layers, queries
 from creditmart.plans.specs import LOAN_DAILY, TABLES
 from creditmart.sources import roles, tables
@@ -106,6 +106,45 @@ def test_months_on_book_are_chosen_before_any_check(spark, name):
     assert checks and all(re.search(r"\bk#", f).start() < f.index("RLIKE") for f in checks)
 
 
+def test_loans_are_exploded_and_checked_in_generated_code(spark):
+    """The stage's longest method is within the limit beyond which Spark runs a stage without its code."""
+    rows = queries.applications(spark, SF)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        executed = rows.select("*")._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    found = debug.codegenStringSeq(executed)
+    stages = [found.apply(i) for i in range(found.size())]
+    lengths = [stage._3().maxMethodCodeSize() for stage in stages if "Generate explode" in stage._1()]
+    assert lengths and max(lengths) <= int(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))
+
+
+def window_functions(df):
+    """Names of the functions that the plan's window computes."""
+    windows = re.findall(r"^Window \[(.*)$|Window \[(.*)", df._jdf.queryExecution().optimizedPlan().toString())
+    return sorted(re.findall(r"(\w+)\([^()]*\) windowspecdefinition", " ".join(map("".join, windows))))
+
+
+def test_window_has_one_value_for_all_features(spark):
+    clicks = queries.clickstream(spark, SF)
+    looked_back = pointintime.look_back_join(queries.applications(spark, SF), clicks)
+    assert window_functions(looked_back) == ["collect_list", "sum"]
+    # a reader of the counts alone needs no totals
+    assert window_functions(looked_back.select("loan_id", "clickstream_snapshot_count")) == ["sum"]
+
+
+def test_timeline_is_sorted_by_a_number_first(spark):
+    """Ids begin alike, and a sort compares the first bytes of its first key."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = queries.QUERIES["asof_attributes"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(re.findall(r"Sort \[_place#", text)) == 3  # the window, and both sides of the join
+
+
 def test_hot_month_is_split_on_write(spark, tmp_path):
     """A month with most of the rows is written by several tasks."""
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")

@@ -196,3 +196,13 @@ def test_daily_totals_give_the_same_averages(spark):
     parts = [pointintime.daily_totals(clicks.where(part), ("a", "b")) for part in ("month(snapshot_date) < 4", "month(snapshot_date) >= 4")]
     stored = pointintime.look_back_join(applications, parts[0].unionByName(parts[1]), features=("a", "b"), of_totals=True)
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, direct.collect()))
+
+
+def test_look_back_over_other_kinds_of_numbers(spark):
+    rows = [("c", day(1), 1.5, "1.50", 2**62), ("c", day(2), None, "2.25", 5), ("c", day(3), 4.0, None, 7), ("d", day(2), None, None, None)]
+    clicks = spark.createDataFrame(rows, "Customer_ID string, snapshot_date date, a double, b string, c long")
+    clicks = clicks.selectExpr("Customer_ID", "snapshot_date", "a", "CAST(b AS DECIMAL(38,2)) AS b", "c")
+    applications = spark.createDataFrame([("L", "c", day(3)), ("M", "c", day(1)), ("N", "d", day(4)), ("O", "e", day(4))], APPLICATIONS)
+    found = pointintime.look_back_join(applications, clicks, features=("a", "b", "c"))
+    rows = {r.loan_id: tuple(r)[-4:] for r in found.collect()}
+    assert rows == {"L": (2.75, 1.875, (2**62 + 12) / 3, 3), "M": (1.5, 1.5, 2.0**62, 1), "N": (None, None, None, 1), "O": (None, None, None, 0)}
